@@ -43,6 +43,26 @@ def explode_map(df: DataFrame, payload: Column, *keep, key: str = "record_id", v
     return rows.filter(~F.col(key).isin(*exclude)) if exclude else rows
 
 
+def explode_records(df: DataFrame, texts: Column, record_ddl: str, *keep, alias: str = "record") -> DataFrame:
+    """One row per record text, decoded.
+
+    Decoding happens inside the generator, so filters on decoded fields stop there.  Decoding in a later
+    projection would let the optimizer push such a filter below it together with a copy of the JSON parse for every
+    mention of a field.
+    """
+    decoded = F.transform(texts, lambda x: F.from_json(x, record_ddl))
+    return df.select(*keep, F.explode(decoded).alias(alias)).filter(F.col(alias).isNotNull())
+
+
+def explode_map_records(df: DataFrame, payload: Column, record_ddl: str, *keep, key: str = "record_id",
+                        alias: str = "record", exclude=BOOKKEEPING_KEYS) -> DataFrame:
+    """One row per entry of a JSON object of records: key and decoded record, bookkeeping entries left out."""
+    entries = F.map_entries(F.from_json(payload, "MAP<STRING,STRING>"))
+    records = F.filter(entries, lambda e: ~e["key"].isin(*exclude)) if exclude else entries
+    decoded = F.transform(records, lambda e: F.struct(e["key"].alias(key), F.from_json(e["value"], record_ddl).alias(alias)))
+    return df.select(*keep, F.inline(decoded)).filter(F.col(alias).isNotNull())
+
+
 def first_json_element(text: Column) -> Column:
     return F.get(F.from_json(text, "ARRAY<STRING>"), F.lit(0))
 
@@ -56,8 +76,14 @@ def record_texts(payload: Column, id_field: str) -> Column:
 
     Handles a single record, an array of records, an array of maps of records, and a map of
     records; an entry that is itself an array gives its first element.  One expression and one explode
-    over one scan; malformed payloads give null.
+    over one scan; malformed payloads give no record.
     """
+    # Binding the payload to a lambda variable keeps it from being located anew at each mention.
+    return F.flatten(F.transform(F.array(payload), lambda p: F.coalesce(
+        _record_texts(p, id_field), F.array().cast("array<string>"))))
+
+
+def _record_texts(payload: Column, id_field: str) -> Column:
     id_path = f"$.{id_field}"
     no_texts = F.array().cast("array<string>")
 

@@ -17,6 +17,9 @@ PII_PATTERNS = {
     "dob": r"\b\d{4}-\d{2}-\d{2}\b",
 }
 
+# Every pattern needs a digit, an "@" or a ":"; a value without any of them skips all nine searches.
+CANDIDATE = "[0-9@:]"
+
 
 def _keep_ends(v: Column, head: int, tail: int) -> Column:
     return F.concat(F.left(v, F.lit(head)), F.lit("****"), F.right(v, F.lit(tail)))
@@ -38,10 +41,11 @@ _MASKS = {
 
 def pii_kind(c: Column) -> Column:
     """Name of the first pattern found in the value, null if none is."""
-    chain = F
+    none = F.lit(None).cast("string")
+    chain = F.when(~c.rlike(CANDIDATE), none)
     for kind, pattern in PII_PATTERNS.items():
         chain = chain.when(c.rlike(pattern), F.lit(kind))
-    return chain.otherwise(F.lit(None).cast("string"))
+    return chain.otherwise(none)
 
 
 def mask_as(kind: Column, c: Column) -> Column:
@@ -54,7 +58,7 @@ def mask_as(kind: Column, c: Column) -> Column:
 
 def mask_pii(c: Column) -> Column:
     """The whole value masked by the rule of the first pattern it contains; null stays null."""
-    chain = F
+    chain = F.when(~c.rlike(CANDIDATE), c)
     for kind, pattern in PII_PATTERNS.items():
         chain = chain.when(c.rlike(pattern), _MASKS[kind](c))
     return chain.otherwise(c)

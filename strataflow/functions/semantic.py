@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
+from .casts import to_double
 from .temporal import DATE_FORMATS, parse_date
 from .text import any_of, matches_fully, strip
 
@@ -89,7 +90,7 @@ def _latlong(text: Column, rules=None) -> Column:
         return shape
     bounds = (rules.get("latitude_range", LATITUDE_RANGE), rules.get("longitude_range", LONGITUDE_RANGE))
     # Nested WHEN: the numbers are only extracted once the shape is known to fit.
-    parts = [F.regexp_extract(text, rf"\A{LATLONG_PATTERN}\z", i + 1).try_cast("double") for i in (0, 1)]
+    parts = [to_double(F.regexp_extract(text, rf"\A{LATLONG_PATTERN}\z", i + 1)) for i in (0, 1)]
     inside = [p.between(*b) for p, b in zip(parts, bounds)]
     return F.when(shape, inside[0] & inside[1]).otherwise(F.lit(False))
 

@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+from .casts import to_int, to_long
+
 # Accepted input formats, tried in this order.
 DATE_FORMATS = ("dd-MMM-yyyy", "yyyy-MM-dd")
 TIMESTAMP_FORMATS = ("dd-MMM-yyyy hh:mm a", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss")
@@ -57,7 +59,7 @@ def time_of_day(text: Column, formats=TIME_OF_DAY_FORMATS) -> Column:
 
 def epoch_millis(text: Column) -> Column:
     """Epoch milliseconds held as text or number to a timestamp."""
-    return F.timestamp_millis(text.try_cast("bigint"))
+    return F.timestamp_millis(to_long(text))
 
 
 def epoch_or_text(text: Column, fmt: str = TEXT_STAMP_FORMAT) -> Column:
@@ -69,7 +71,7 @@ def epoch_or_text(text: Column, fmt: str = TEXT_STAMP_FORMAT) -> Column:
 def clock_to_minutes(text: Column) -> Column:
     """``HH:MM`` to whole minutes; null unless both parts are numbers."""
     parts = F.split(text, ":")
-    hours, minutes = (F.get(parts, F.lit(i)).try_cast("int") for i in (0, 1))
+    hours, minutes = (to_int(F.get(parts, F.lit(i))) for i in (0, 1))
     return F.try_add(F.try_multiply(hours, F.lit(60)), minutes)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from ..functions import pii
+from ..functions.casts import to_long
 from ..functions.semantic import fits_catalog_type
 from ..functions.text import is_mostly_special, is_non_ascii, matches_fully, strip
 from .sets import schema_issues, union_all
@@ -104,7 +105,7 @@ def first_issues(issues: DataFrame, n: int = 5) -> DataFrame:
 
     The row id is text; numeric ids are ordered as numbers.
     """
-    order = [F.col("row_id").try_cast("bigint").asc_nulls_last(), F.col("row_id"), F.col("issue")]
+    order = [to_long(F.col("row_id")).asc_nulls_last(), F.col("row_id"), F.col("issue")]
     rank = F.row_number().over(Window.partitionBy("column").orderBy(*order))
     return issues.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from ..functions.casts import to_int
 from ..functions.text import blank_to_null, header_name
 
 
@@ -78,5 +79,5 @@ def add_constants(df: DataFrame, constants: dict[str, object], typed_nulls: dict
 
 def hours_and_overtime(df: DataFrame, hours_col: str, limit: int = 8) -> DataFrame:
     """Whole hours from text and a flag for more than ``limit`` of them."""
-    hours = F.col(hours_col).try_cast("int")
+    hours = to_int(F.col(hours_col))
     return df.withColumn("hours_worked", hours).withColumn("is_overtime", hours > F.lit(limit))

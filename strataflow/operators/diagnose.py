@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import labelled_value
 from .blocks import running_index
+from .layout import stage
 
 # Labels, defaults, categories and routes.
 CLASSIFICATION_LABELS = {
@@ -91,6 +92,8 @@ def error_report(groups: DataFrame, job: str = "job_id") -> DataFrame:
     message, part) with ``runs``, ``error_type``, ``severity_score`` and ``diagnosis``.  The report stays rows, sorted when written,
     so a job with any number of errors never becomes one value.
     """
+    # Every section reads the groups: they are stored once instead of being worked out four times.
+    groups = stage(groups, "error-groups")
     kind = F.coalesce(F.col("error_type"), F.lit(DEFAULT_ERROR_TYPE))
     whole = groups.select(job, "task_name", "message", "error_type").dropDuplicates([job, "task_name", "message"])
     heading = groups.select(job).distinct().select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import one_line, run_label, strip
 from .blocks import carry_forward, integer_block, running_index
+from .layout import stage
 
 # Log line patterns and defaults.
 JOB_ID_PATTERN = r"ID:\s*(\d+)"
@@ -17,8 +18,16 @@ UNKNOWN_JOB = "UNKNOWN"
 FIRST_GROUP_NUMBER = 100
 
 
-def _group(text: Column, pattern: str, index: int) -> Column:
-    return strip(F.regexp_extract(text, pattern, index))
+_MARK = "\u0001"
+
+
+def _parts(text: Column, pattern: str, *groups: int) -> Column:
+    """Several groups of a pattern from one match: rewritten to marked text, then split.
+
+    Only the last group may contain the mark, and the split leaves it whole.
+    """
+    marked = F.regexp_replace(text, pattern, _MARK.join(f"${g}" for g in groups))
+    return F.split(marked, _MARK, len(groups))
 
 
 def parse_error_log(lines: DataFrame, source: str = "source", order: str = "line_no", line: str = "line",
@@ -28,30 +37,33 @@ def parse_error_log(lines: DataFrame, source: str = "source", order: str = "line
     A run header sets run id and start for the lines after it, a run id inside the message overrides the carried one,
     the first job id of a source applies to the whole source.  Lines that are none of these are dropped before
     the shuffle.  A source may be of any size: it is worked on in blocks of consecutive lines (``block``; for line
-    numbers, ranges of them; for files, the input split from :func:`strataflow.sources.files.read_log_lines`).
+    numbers, ranges of them; for files, the input split from :func:`strataflow.sources.files.read_log_lines`).  The matched
+    lines, usually a small part of a log, are stored once because two branches of the plan read them.
     """
-    text = strip(F.col(line))
-    is_header = text.rlike(RUN_HEADER_PATTERN)
-    is_error = ~is_header & text.rlike(ERROR_LINE_PATTERN)
-    has_job = text.rlike(JOB_ID_PATTERN)
     cut = integer_block(F.col(order)) if block is None else block
-    rows = lines.select(source, order, text.alias("_text"), cut.alias("_cut"), is_header.alias("_is_header"),
-                        is_error.alias("_is_error"), has_job.alias("_has_job")) \
-        .filter(F.col("_is_header") | F.col("_is_error") | F.col("_has_job"))
-    body = F.col("_text")
-    header = F.struct(_group(body, RUN_HEADER_PATTERN, 1).alias("run_id"), _group(body, RUN_HEADER_PATTERN, 2).alias("start"))
-    carried = carry_forward(rows, [source], order, F.col("_cut"),
-                            {"_header": F.when(F.col("_is_header"), header)},
-                            {"_job": F.when(F.col("_has_job"), F.regexp_extract(body, JOB_ID_PATTERN, 1))})
-    errors = carried.filter(F.col("_is_error"))
-    message = _group(body, ERROR_LINE_PATTERN, 4)
-    from_task = message.rlike(TASK_MESSAGE_PATTERN)
-    run_id = F.when(from_task, _group(message, TASK_MESSAGE_PATTERN, 2)).otherwise(F.col("_header.run_id"))
-    return errors.select(
-        source, order, run_label(run_id, F.col("_header.start")).alias("runs"),
-        F.coalesce("_job", F.lit(UNKNOWN_JOB)).alias("job_id"),
-        F.when(from_task, _group(message, TASK_MESSAGE_PATTERN, 1)).otherwise(_group(body, ERROR_LINE_PATTERN, 3)).alias("task_name"),
-        F.when(from_task, _group(message, TASK_MESSAGE_PATTERN, 3)).otherwise(message).alias("message"))
+    body, message = F.col("_text"), F.col("_message")
+    kind = F.when(body.rlike(RUN_HEADER_PATTERN), "header").when(body.rlike(ERROR_LINE_PATTERN), "error") \
+        .when(body.rlike(JOB_ID_PATTERN), "job")
+    rows = lines.select(source, order, strip(F.col(line)).alias("_text"), cut.alias("_cut")) \
+        .withColumn("_kind", kind).filter(F.col("_kind").isNotNull())
+    header = F.when(F.col("_kind") == "header", _parts(body, rf"^.*?{RUN_HEADER_PATTERN}.*$", 1, 2))
+    error = F.when(F.col("_kind") == "error", _parts(body, ERROR_LINE_PATTERN, 3, 4))
+    rows = rows.select(source, order, "_cut", "_kind", header.alias("_h"), error.alias("_e"),
+                       F.nullif(F.regexp_extract(body, JOB_ID_PATTERN, 1), F.lit("")).alias("_job_id"))
+    rows = rows.withColumn("_message", strip(F.get("_e", F.lit(1))))
+    inner = F.when(message.rlike(TASK_MESSAGE_PATTERN), _parts(message, rf"^.*?{TASK_MESSAGE_PATTERN}$", 1, 2, 3))
+    rows = stage(rows.withColumn("_t", inner).select(
+        source, order, "_cut", "_job_id", (F.col("_kind") == "error").alias("_is_error"),
+        F.when(F.col("_h").isNotNull(), F.struct(F.get("_h", F.lit(0)).alias("run_id"),
+                                                 strip(F.get("_h", F.lit(1))).alias("start"))).alias("_header"),
+        F.get("_t", F.lit(1)).alias("_run_id"),
+        F.coalesce(strip(F.get("_t", F.lit(0))), F.get("_e", F.lit(0))).alias("task_name"),
+        F.coalesce(strip(F.get("_t", F.lit(2))), message).alias("message")), "log-lines")
+    carried = carry_forward(rows, [source], order, F.col("_cut"), {"_run": F.col("_header")}, {"_job": F.col("_job_id")})
+    run_id = F.coalesce("_run_id", F.col("_run.run_id"))
+    return carried.filter("_is_error").select(
+        source, order, run_label(run_id, F.col("_run.start")).alias("runs"), F.coalesce("_job", F.lit(UNKNOWN_JOB)).alias("job_id"),
+        "task_name", "message")
 
 
 def group_errors(parsed: DataFrame, max_runs: int = 10_000) -> DataFrame:

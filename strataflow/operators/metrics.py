@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from .checks import CellCheck, cell_text
+from .layout import stage
 from ..functions.text import any_of
 
 LONG_VALUE = 64
@@ -91,12 +92,15 @@ def column_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("column").agg(F.sum("n").alias("total_issues"))
 
 
-def quality_report(df: DataFrame, issues: DataFrame, columns=None) -> DataFrame:
+def quality_report(df: DataFrame, issues: DataFrame, columns=None, is_stored: bool = False) -> DataFrame:
     """The report as rows ``(section, column, item, number)``.
 
     Sections: ``summary`` (total rows, total issues), ``issues_by_column`` and ``quality_metrics``.  ``issues`` is read
-    twice; pass a stored issue table rather than a plan that checks the data again.
+    several times; unless it ``is_stored`` already, its keys are stored first so that the data is checked once.
     """
+    issues = issues.select("row_id", "column", "issue")
+    if not is_stored:
+        issues = stage(issues, "issues")
     profile_flags = flagged_rows(issues)
     metrics = quality_metrics(df, profile_flags, columns).select(
         F.lit("quality_metrics").alias("section"), "column",

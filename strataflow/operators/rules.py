@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.casts import to_double
 from ..functions.semantic import LATITUDE_RANGE, LONGITUDE_RANGE, fits_semantic_type
 from ..functions.text import is_mostly_special, is_non_ascii, matches_prefix
 from .checks import row_key
@@ -57,7 +58,7 @@ class RuleSet:
     def _constraints(self, column: str) -> dict[str, Column]:
         rules = self.rules[column]
         cell = F.col(f"`{column}`")
-        text, number = cell.cast("string"), cell.try_cast("double")
+        text, number = cell.cast("string"), to_double(cell)
         numeric = self.type_of(column) in ("integer", "float") and "data_type" in rules
         found: dict[str, Column] = {}
         if rules.get("required"):
@@ -160,16 +161,20 @@ def repair_log(df: DataFrame, rules: RuleSet, row_id: str | None = None, flags:
 
     ``old_value`` is what the previous repair of the same cell left, or the cell's own value.
     """
-    def steps_of(column: str) -> Column:
-        original, steps = F.col(f"`{column}`").cast("string"), _applied(rules, column, flags)
-        return F.transform(steps, lambda step, i: F.struct(
+    names = rules.columns_of(df)
+    # The steps are a column of their own: the old value of a step refers back to them.
+    cells = df.select(row_key(df, row_id).alias("row_id"),
+                      *[F.col(f"`{c}`").cast("string").alias(f"o{i}") for i, c in enumerate(names)],
+                      *[_applied(rules, c, flags).alias(f"s{i}") for i, c in enumerate(names)])
+
+    def entries(i: int, column: str) -> Column:
+        return F.transform(f"s{i}", lambda step, at: F.struct(
             F.lit(column).alias("column"), step["ord"].alias("ord"), step["issue"].alias("issue"),
-            F.when(i == 0, original).otherwise(F.get(steps, i - 1)["new_value"]).alias("old_value"),
+            F.when(at == 0, F.col(f"o{i}")).otherwise(F.get(F.col(f"s{i}"), at - 1)["new_value"]).alias("old_value"),
             step["new_value"].alias("new_value")))
 
-    per_column = [steps_of(c) for c in rules.columns_of(df)]
-    logs = F.flatten(F.array_compact(F.array(*per_column)))
-    return df.select(row_key(df, row_id).alias("row_id"), F.inline(logs))
+    logs = F.flatten(F.array_compact(F.array(*[entries(i, c) for i, c in enumerate(names)])))
+    return cells.select("row_id", F.inline(logs))
 
 
 def column_analysis(issues: DataFrame, rules: RuleSet) -> DataFrame:

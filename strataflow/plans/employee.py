@@ -48,9 +48,8 @@ NOT_HASHED = ("employee_id", "dw_load_timestamp", "record_hash", "ingest_timesta
 def decode(bronze: DataFrame) -> DataFrame:
     """One row per employee record, whatever shape the payload has."""
     payload = P.locate(F.col("raw_json"), P.EMPLOYEE_PATHS, or_whole_line=True)
-    texts = bronze.select("ingest_timestamp", F.explode(P.record_texts(payload, "EmployeeID")).alias("record_json"))
-    records = texts.select("ingest_timestamp", F.from_json("record_json", P.struct_ddl(FIELDS)).alias("record"))
-    return records.filter(F.col("record").isNotNull()).select("ingest_timestamp", *P.renamed("record", FIELDS))
+    records = P.explode_records(bronze, P.record_texts(payload, "EmployeeID"), P.struct_ddl(FIELDS), "ingest_timestamp")
+    return records.select("ingest_timestamp", *P.renamed("record", FIELDS))
 
 
 def clean(decoded: DataFrame, parity_hash: bool = False) -> DataFrame:

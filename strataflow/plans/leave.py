@@ -26,8 +26,7 @@ FACT_COLUMNS = (
 
 def decode(bronze: DataFrame) -> DataFrame:
     payload = P.locate(F.col("raw_json"), P.LEAVE_PATHS)
-    entries = P.explode_map(bronze, payload, "ingest_timestamp", key="zoho_record_id")
-    records = entries.select("ingest_timestamp", "zoho_record_id", F.from_json("record_json", RECORD).alias("r"))
+    records = P.explode_map_records(bronze, payload, RECORD, "ingest_timestamp", key="zoho_record_id", alias="r")
     return records.select("ingest_timestamp", "zoho_record_id", "r.*").filter(F.col("EmployeeId").isNotNull())
 
 

@@ -35,7 +35,7 @@ def check_tables(spark: SparkSession, tables: DataFrame, out: str, now_epoch: in
         found = validate_table(df, rules, row_id, (patterns or {}).get(rules["full_name"]), rules["pii_columns"] or None)
         found.write.mode("overwrite").parquet(issues_path)
         stored = spark.read.schema(found.schema).parquet(issues_path)
-        write_json(tag_table(quality_report(df, stored), row.table_id), f"{out}/report/table_id={row.table_id}")
+        write_json(tag_table(quality_report(df, stored, is_stored=True), row.table_id), f"{out}/report/table_id={row.table_id}")
         done.append((row.table_id,))
     checked = spark.createDataFrame(done, due.schema) if done else due.limit(0)
     return stamp_checked(tables, checked, now_epoch)

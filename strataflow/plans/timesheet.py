@@ -56,9 +56,8 @@ _CASTS = {"text": lambda c: c, "long": to_long, "int": to_int, "flag": to_flag}
 def silver(bronze: DataFrame) -> DataFrame:
     """Typed time logs, latest per log id.  Each log text is parsed once, whatever the number of fields."""
     payload = P.locate(F.col("raw_json"), P.TIMESHEET_PATHS)
-    texts = P.explode_texts(bronze, payload, "ingest_timestamp")
     layout = P.struct_ddl(list(FIELDS) + list(KEPT_AS_TEXT))
-    logs = texts.select("ingest_timestamp", F.from_json("record_json", layout).alias("r"))
+    logs = P.explode_records(bronze, F.from_json(payload, "ARRAY<STRING>"), layout, "ingest_timestamp", alias="r")
     typed = logs.select("ingest_timestamp",
                         *[_CASTS[kind](F.col(f"r.`{source}`")).alias(name) for source, (name, kind) in FIELDS.items()],
                         parse_date(F.col("r.workDate")).alias("work_date"), F.col("r.employeeMailId").alias("email"),

@@ -49,7 +49,7 @@ def attendance_lines(t):
     result = F.array(record)
     line = F.when(kind == "error", nested_json(result)).when(kind == "view", nested_json(result, "_airbyte_data")) \
         .otherwise(nested_json(result, "_airbyte_data", "response", "result"))
-    return t.events.select(line.alias("raw_json"), F.col("ts").cast("timestamp").alias("ingest_timestamp"))
+    return t.spread("events").select(line.alias("raw_json"), F.col("ts").cast("timestamp").alias("ingest_timestamp"))
 
 
 @query("fact_attendance", ATTENDANCE_SQL)
@@ -74,7 +74,7 @@ def fact_attendance(t):
 def fact_attendance_biometric(t):
     minutes = F.floor("o_totalprice").cast("bigint") % 1440
     clock = F.format_string("%02d:%02d", F.floor(minutes / 60), minutes % 60)
-    report = t.orders.select(
+    report = t.spread("orders").select(
         text("o_custkey").alias("E. Code"), F.col("o_orderpriority").alias("EmpName"), F.lit("GS").alias("Shift"),
         clock.alias("A.InTime"), clock.alias("A OutTime"), clock.alias("Work Dur."), F.lit("--").alias("OT"),
         F.when(F.col("o_orderstatus") != "P", clock).otherwise(F.lit("0800")).alias("Tot.  Dur."),
@@ -103,7 +103,7 @@ def leave_lines(t):
     line = F.when(status == "F", F.concat(F.lit('{"_airbyte_data":{"response":{"result":'), body, F.lit("}}}"))) \
         .when(status == "O", F.concat(F.lit('{"response":{"result":'), body, F.lit("}}"))) \
         .otherwise(F.concat(F.lit('{"result":'), body, F.lit("}")))
-    return t.orders.select(line.alias("raw_json"), F.col("o_orderdate").cast("timestamp").alias("ingest_timestamp"))
+    return t.spread("orders").select(line.alias("raw_json"), F.col("o_orderdate").cast("timestamp").alias("ingest_timestamp"))
 
 
 @query("fact_leave", """
@@ -150,7 +150,7 @@ def fact_timesheet(t):
         F.col("l_quantity").cast("int").alias("hoursInMins"), (F.col("l_returnflag") == "R").alias("isEditAllowed"),
         F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("timerLog"), F.col("l_returnflag").alias("jobName"),
         F.col("l_orderkey").alias("fromTime"), F.concat(F.lit("s"), text("l_suppkey"), F.lit("@corp.example")).alias("employeeMailId")))
-    lines = t.lineitem.select(nested_json(F.array(log), "response", "result").alias("raw_json"),
+    lines = t.spread("lineitem").select(nested_json(F.array(log), "response", "result").alias("raw_json"),
                               micros_after("l_shipdate", F.col("l_partkey") * 1000000 + F.col("l_suppkey")).alias("ingest_timestamp"))
     people = t.supplier.select(F.col("s_suppkey").alias("dim_employee_key"), text("s_suppkey").alias("employee_id"),
                                F.concat(F.lit("s"), text("s_suppkey"), F.lit("@corp.example")).alias("email_id"),
@@ -176,9 +176,9 @@ def dim_employee(t):
         lines = polymorphic_lines(customers).select("raw_json", F.lit(when).cast("timestamp").alias("ingest_timestamp"))
         return employee.silver(lines)
 
-    first = snapshot(t.customer, FIRST_LOAD)
+    first = snapshot(t.spread("customer"), FIRST_LOAD)
     # The record is changed inside the JSON text, so the payload shapes of the second load stay as they are.
-    lines = polymorphic_lines(t.customer)
+    lines = polymorphic_lines(t.spread("customer"))
     moved = F.when(F.col("c_acctbal") < 0, F.regexp_replace("raw_json", '"Department":"[A-Z]+"', '"Department":"ARREARS"')) \
         .otherwise(F.col("raw_json"))
     second = employee.silver(lines.select(moved.alias("raw_json"), F.lit(SECOND_LOAD).cast("timestamp").alias("ingest_timestamp")))
@@ -203,7 +203,7 @@ def fact_orders(t):
     from ..operators.latest import keep_latest
     record = F.struct(text("o_orderkey").alias("id"), text("o_custkey").alias("employee_id"), money("o_totalprice").alias("amount"),
                       F.date_format("o_orderdate", "dd-MMM-yyyy").alias("Date"))
-    lines = t.orders.select(nested_json(F.array(record), "_airbyte_data", "response", "result").alias("raw_json"))
+    lines = t.spread("orders").select(nested_json(F.array(record), "_airbyte_data", "response", "result").alias("raw_json"))
     rows = P.explode_structs(lines, P.locate(F.col("raw_json"), P.ATTENDANCE_PATHS, True),
                              P.struct_ddl(("id", "employee_id", "amount", "Date")))
     typed = rows.select(to_long(F.col("record.id")).alias("order_id"), "record.employee_id", parse_date(F.col("record.Date")).alias("work_date"),

@@ -26,7 +26,7 @@ def log_lines(t):
                                         F.lit(" ERROR: boom "), k)) \
         .when(kind == "click", F.concat(head, F.lit("101 - ERROR - step-"), k, F.lit(" - plain failure"))) \
         .otherwise(F.concat(head, F.lit("0 - INFO - app - fine")))
-    return t.events.select(F.concat(F.lit("log"), user).alias("source"), F.col("event_id").alias("line_no"), line.alias("line"))
+    return t.spread("events").select(F.concat(F.lit("log"), user).alias("source"), F.col("event_id").alias("line_no"), line.alias("line"))
 
 
 PARSED_SQL = """
@@ -99,7 +99,7 @@ def number_error_groups_query(t):
     k = F.get_json_object("props", "$.k")
     error = F.when(kind == "error", F.concat(F.lit("Job aborted\r\nTask load-"), k, F.lit(" failed"))) \
         .when(kind != "view", F.concat(F.lit("bad input "), k))
-    errors = t.events.select(F.col("user_id").alias("job_id"), F.col("event_id").alias("ord"), kind.alias("task_key"),
+    errors = t.spread("events").select(F.col("user_id").alias("job_id"), F.col("event_id").alias("ord"), kind.alias("task_key"),
                              error.alias("error_text"))
     numbered = number_error_groups(errors, block_rows=1 << 10)
     return numbered.select("job_id", "ord", "source", "group_no", "error_index")

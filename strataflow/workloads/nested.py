@@ -41,7 +41,7 @@ def json_array_struct_explode(t):
                         value.alias("Amount"))
     result = F.array(entry("price", money("o_totalprice")), entry("priority", F.col("o_orderpriority")))
     status = F.col("o_orderstatus")
-    lines = t.orders.select(
+    lines = t.spread("orders").select(
         F.when(status == "F", nested_json(result, "_airbyte_data", "response", "result"))
         .when(status == "O", nested_json(result, "_airbyte_data"))
         .otherwise(nested_json(result)).alias("raw_json"))
@@ -62,7 +62,7 @@ def json_string_array_project(t):
         text("l_orderkey").alias("id"), text("l_linenumber").alias("line"),
         F.col("l_quantity").cast("int").cast("string").alias("qty"), money("l_extendedprice").alias("price"),
         F.date_format("l_shipdate", "dd-MMM-yyyy").alias("date")))
-    lines = t.lineitem.select(nested_json(F.array(log), "response", "result").alias("raw_json"))
+    lines = t.spread("lineitem").select(nested_json(F.array(log), "response", "result").alias("raw_json"))
     texts = P.explode_texts(lines, P.locate(F.col("raw_json"), P.TIMESHEET_PATHS))
     logs = texts.select(F.from_json("record_json", P.struct_ddl(("id", "line", "qty", "price", "date"))).alias("r"))
     return logs.select(to_long(F.col("r.id")).alias("order_id"), to_int(F.col("r.line")).alias("line_no"),
@@ -121,7 +121,7 @@ def json_first_map_value(t):
     days = F.create_map(
         F.concat(day, F.lit(" first")), F.struct(F.col("o_orderpriority").alias("Session"), money("o_totalprice").alias("Amount")),
         F.concat(day, F.lit(" second")), F.struct(F.col("o_orderstatus").alias("Session"), F.lit("0").alias("Amount")))
-    lines = t.orders.select("o_orderkey", F.to_json(F.struct(days.alias("Days"))).alias("record_json"))
+    lines = t.spread("orders").select("o_orderkey", F.to_json(F.struct(days.alias("Days"))).alias("record_json"))
     decoded = lines.select("o_orderkey", F.from_json(
         "record_json", "STRUCT<Days: MAP<STRING, STRUCT<Session: STRING, Amount: STRING>>>").alias("r"))
     first = decoded.select("o_orderkey", P.first_map_value(F.col("r.Days")).alias("d"))
@@ -220,9 +220,10 @@ def run_json_flatten(t):
         none.cast("struct<cluster_id:string>").alias("cluster_instance"),
         F.struct(F.lit("/jobs/clean").alias("notebook_path")).alias("notebook_task"))
     trigger = F.when(F.col("event_type") != "click", "PERIODIC")
-    runs = t.events.select(text("event_id").alias("run_id"), F.col("user_id").alias("job_id"),
+    events = t.spread("events")
+    runs = events.select(text("event_id").alias("run_id"), F.col("user_id").alias("job_id"),
                            F.to_json(F.struct(F.array(full, bare).alias("tasks"), trigger.alias("trigger"))).alias("run_json"))
-    outputs = t.events.select(F.concat(F.lit("t"), text("event_id")).alias("task_run_id"), F.to_json(F.struct(
+    outputs = events.select(F.concat(F.lit("t"), text("event_id")).alias("task_run_id"), F.to_json(F.struct(
         F.when(failed, F.concat(F.lit("failed with "), "props")).alias("error"))).alias("output_json"))
     return flatten_runs(runs, outputs).select(
         "task_run_id", "run_id", "job_id", "task_name", "start_time", "end_time", "execution_duration", "status",

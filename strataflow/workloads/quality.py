@@ -95,7 +95,7 @@ CORRUPTION_SQL = "\n UNION ALL ".join(
 
 @query("dq_corruption", CORRUPTION_SQL)
 def dq_corruption(t):
-    df = t.documents.select("doc_id", "text", "source")
+    df = t.spread("documents").select("doc_id", "text", "source")
     found = checks.find_issues(df, checks.corruption_checks(df, ["text", "source"]), "doc_id")
     return found.select("row_id", "column", "issue", F.md5("value").alias("value"))
 
@@ -107,7 +107,7 @@ def dq_corruption(t):
     UNION ALL SELECT word_id, 'corrupted_special_chars', word FROM words WHERE length(word) > 0 AND {special_sql('word')}
 """)
 def dq_corruption_words(t):
-    words = t.pages.select("page_id", F.posexplode(F.split("html", " ")).alias("i", "word"))
+    words = t.spread("pages").select("page_id", F.posexplode(F.split("html", " ")).alias("i", "word"))
     df = words.select(F.concat_ws("-", "page_id", F.col("i") + 1).alias("word_id"), "word")
     found = checks.find_issues(df, checks.corruption_checks(df, ["word"]), "word_id")
     return found.select("row_id", "issue", "value")
@@ -139,7 +139,7 @@ TEXT_FLAGGED = f"count(*) FILTER ({non_ascii_sql('text')} OR {special_sql('text'
 
 
 def labelled_documents(t):
-    return t.documents.join(t.labels, "doc_id", "left").select(*METRIC_COLUMNS)
+    return t.spread("documents").join(t.labels, "doc_id", "left").select(*METRIC_COLUMNS)
 
 
 @query("dq_metrics", metrics_sql(METRIC_COLUMNS, LABELLED, {"text": TEXT_FLAGGED}))
@@ -158,7 +158,7 @@ def dq_metrics_fused(t):
 
 @query("dq_metrics_lineitem", metrics_sql(("l_orderkey", "l_quantity", "l_discount", "l_returnflag", "l_shipdate"), "lineitem", {}))
 def dq_metrics_lineitem(t):
-    df = t.lineitem.select("l_orderkey", "l_quantity", "l_discount", "l_returnflag", "l_shipdate")
+    df = t.spread("lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_returnflag", "l_shipdate")
     return metrics.quality_metrics(df, metrics.flagged_by_checks(df, checks.null_checks(df, {"l_orderkey": False})))
 
 
@@ -167,7 +167,7 @@ def dq_metrics_lineitem(t):
     SELECT "column", issue, n, CAST(sum(n) OVER (PARTITION BY "column") AS BIGINT) AS total_issues FROM n
 """)
 def dq_issue_counts(t):
-    df = t.documents.select("doc_id", "text", "source")
+    df = t.spread("documents").select("doc_id", "text", "source")
     counts = metrics.issue_counts(checks.find_issues(df, checks.corruption_checks(df, ["text", "source"]), "doc_id"))
     return counts.join(metrics.column_totals(counts), "column")
 
@@ -185,7 +185,7 @@ _REPORT_METRICS = metrics_sql(("doc_id", "text", "source"), "documents", {"text"
     UNION ALL SELECT 'quality_metrics', "column", 'validity_pct', validity_pct FROM m
 """)
 def dq_report(t):
-    df = t.documents.select("doc_id", "text", "source")
+    df = t.spread("documents").select("doc_id", "text", "source")
     issues = checks.find_issues(df, checks.corruption_checks(df, ["text", "source"]), "doc_id")
     return metrics.quality_report(df, issues)
 
@@ -217,14 +217,15 @@ def mask_sql(c):
 
 @query("pii_mask_documents", f"SELECT doc_id, {kind_sql('text')} AS kind, md5({mask_sql('text')}) AS masked FROM documents")
 def pii_mask_documents(t):
-    return t.documents.select("doc_id", pii.pii_kind(F.col("text")).alias("kind"), F.md5(pii.mask_pii(F.col("text"))).alias("masked"))
+    known = t.spread("documents").select("doc_id", "text", pii.pii_kind(F.col("text")).alias("kind"))
+    return known.select("doc_id", "kind", F.md5(pii.mask_as(F.col("kind"), F.col("text"))).alias("masked"))
 
 
 @query("pii_mask_conversations", f"""
     SELECT conv_id, turn, {mask_sql('role')} AS role, md5({mask_sql('text')}) AS text FROM conversations
 """)
 def pii_mask_conversations(t):
-    masked = checks.mask_table(t.conversations, ["role", "text"])
+    masked = checks.mask_table(t.spread("conversations"), ["role", "text"])
     return masked.withColumn("text", F.md5("text"))
 
 
@@ -241,7 +242,7 @@ PERSON_COLUMNS = ("email", "phone", "card", "ssn", "passport", "iban", "ip", "ip
 def people(t):
     key = text("c_custkey")
     padded = F.lpad(key, 4, "0")
-    return t.customer.select(
+    return t.spread("customer").select(
         F.col("c_custkey").alias("id"), F.concat("c_name", F.lit("@mail.example.org")).alias("email"),
         F.concat(F.lit("+49"), F.lpad(key, 10, "0")).alias("phone"), F.concat(F.lit("4111 "), padded, F.lit(" 12345 678")).alias("card"),
         F.concat(F.lit("123-45-"), F.right(padded, F.lit(4))).alias("ssn"), F.concat(F.lit("K"), F.col("c_custkey") + 1000000).alias("passport"),
@@ -334,7 +335,7 @@ def table_metadata(t):
 """)
 def dq_validate_table(t):
     """All checks of a table in one pass."""
-    df = t.documents.select("doc_id", "text", "lang", "source")
+    df = t.spread("documents").select("doc_id", "text", "lang", "source")
     rules = {"expected_schema": {"doc_id": "bigint", "text": "string", "lang": "int", "owner": "string"},
              "expected_columns": ["doc_id", "text", "lang", "owner"], "nullable": {"doc_id": False, "text": False}}
     found = checks.validate_table(df, rules, "doc_id", {"source": "src[0-9]"}, ["text", "lang", "source"])

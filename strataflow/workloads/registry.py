@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.layout import spread_if_small
 from ..session import apply_runtime_conf
 
 
@@ -17,6 +18,10 @@ class Tables:
         self.spark = spark
         self._folder = folder.rstrip("/")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table for CPU-heavy work: spread over all cores when it is too small to have enough splits."""
+        return spread_if_small(getattr(self, name))
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)

@@ -33,7 +33,7 @@ def contacts(t):
     key, nation, segment, balance = text("c_custkey"), F.col("c_nationkey"), F.col("c_mktsegment"), F.col("c_acctbal")
     padded = F.lpad(key, 10, "0")
     lit, cat = F.lit, F.concat
-    return t.customer.select(
+    return t.spread("customer").select(
         F.col("c_custkey").alias("id"),
         F.when(balance < -500, None).when(balance < 0, "X").otherwise(F.col("c_name")).alias("name"),
         F.when(segment == "FURNITURE", cat(lit("+1"), padded, lit(" ext"))).when(segment == "BUILDING", cat(lit("(+49) "), key))
