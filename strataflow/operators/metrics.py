@@ -129,6 +129,8 @@ def longest_text(df: DataFrame, columns=None, sample_rows: int | None = None, or
 def completeness_of(df: DataFrame, fields) -> DataFrame:
     """Share of non-null cells of the required fields that exist."""
     names = [f for f in fields if f in df.columns]
+    if not names:
+        return df.sparkSession.createDataFrame([], "`column` string, completeness double")
     wide = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(names)])
     share = [F.struct(F.lit(c).alias("column"),
                       F.when(F.col("rows") > 0, F.col(f"c{i}") / F.col("rows") * 100).alias("completeness"))

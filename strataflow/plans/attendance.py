@@ -48,8 +48,8 @@ def decode(bronze: DataFrame) -> DataFrame:
     return rows.select("ingest_timestamp", "source_attendance_id", *P.renamed("record", FIELDS))
 
 
-def silver(bronze: DataFrame) -> DataFrame:
-    """Typed attendance, the latest row per employee and date."""
+def silver(bronze: DataFrame, keep_ingest: bool = False) -> DataFrame:
+    """Typed attendance, the latest row per employee and date; ``keep_ingest`` leaves the ingest time in, for later merges."""
     typed = decode(bronze).withColumns({
         "ercno": to_long(F.col("ercno")),
         "first_in_ts": parse_timestamp(F.col("first_in")),
@@ -59,7 +59,8 @@ def silver(bronze: DataFrame) -> DataFrame:
     dated = require(typed, "work_date").withColumns({
         "work_minutes": clock_to_minutes(F.col("zoho_working_hour_str")),
         "total_minutes": clock_to_minutes(F.col("zoho_total_hours_str"))})
-    return keep_latest(dated, ["employee_id", "work_date"], ["ingest_timestamp"]).drop("ingest_timestamp")
+    latest = keep_latest(dated, ["employee_id", "work_date"], ["ingest_timestamp"])
+    return latest if keep_ingest else latest.drop("ingest_timestamp")
 
 
 def gold(silver_df: DataFrame, dim_employee: DataFrame, dim_date: DataFrame, as_of: Column | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ FAILED_MARK = "_failed_parse"
 
 def list_files(spark: SparkSession, folder: str, suffix: str = "", exclude: str | None = None,
                ignore_case: bool = False) -> DataFrame:
-    """Files below a folder as ``(path, modified, bytes)``.  Only the listing is read, never the contents."""
+    """Files below a folder as ``(path, modified, bytes)``.  Only the listing is read, never the contents; empty files are left out."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
              .select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes")))
     name = F.element_at(F.split("path", "/"), -1)

@@ -72,12 +72,15 @@ def upsert_facts(lake: Lake, bronze: str, silver: str, transform: Callable[[Data
     batch's dates from the merged silver partitions.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch)
-        latest_into_partitions(lake, rows, silver, keys, [order], date_col)
-        if gold and to_gold:
-            dates = rows.select(F.col(date_col).alias("_batch_date")).distinct()
-            touched = lake.read(silver).join(dates, F.col(date_col).eqNullSafe(F.col("_batch_date")), "left_semi")
-            lake.replace_partitions(to_gold(touched), gold, date_col)
+        rows = transform(batch).persist()
+        try:
+            latest_into_partitions(lake, rows, silver, keys, [order], date_col)
+            if gold and to_gold:
+                dates = rows.select(F.col(date_col).alias("_batch_date")).distinct()
+                touched = lake.read(silver).join(dates, F.col(date_col).eqNullSafe(F.col("_batch_date")), "left_semi")
+                lake.replace_partitions(to_gold(touched), gold, date_col)
+        finally:
+            rows.unpersist()
 
     return upsert_stream(bronze_stream(lake, bronze), apply, silver, checkpoint)
 
