@@ -10,8 +10,8 @@ from ..functions.temporal import clock_to_minutes, parse_date, parse_timestamp
 from ..operators.cleaning import require
 from ..operators.dims import enrich, resolved
 from ..operators.latest import keep_latest
-from ..sources.files import read_raw_lines
 from ..sources.lake import Lake
+from .intake import archive, bronze_lines, take_in
 
 # Source fields and their warehouse names; the fact's columns.
 FIELDS = {
@@ -71,12 +71,17 @@ def gold(silver_df: DataFrame, dim_employee: DataFrame, dim_date: DataFrame, as_
     return stamped.select(*FACT_COLUMNS, "dw_load_timestamp", "work_date")
 
 
-def run(lake: Lake, folder: str, dim_date: DataFrame, catalog: str = "hr", as_of: Column | None = None, serving=None) -> None:
-    """Files to bronze, silver and gold; then the serving table's dates are replaced if one is given."""
-    lake.write_bronze(read_raw_lines(lake.spark, folder), f"{catalog}.bronze.attendance_raw", as_of)
-    lake.overwrite(silver(lake.read(f"{catalog}.bronze.attendance_raw")), f"{catalog}.silver.attendance_cleaned",
+def run(lake: Lake, folder: str, dim_date: DataFrame, catalog: str = "hr", as_of: Column | None = None, serving=None,
+        archive_to: str | None = None) -> bool:
+    """Files to bronze, silver and gold; then the serving table's dates are replaced if one is given.  False without files."""
+    paths = take_in(lake, folder, f"{catalog}.bronze.attendance_raw", as_of)
+    if not paths:
+        return False
+    lake.overwrite(silver(bronze_lines(lake, f"{catalog}.bronze.attendance_raw")), f"{catalog}.silver.attendance_cleaned",
                    ["work_date"])
     facts = gold(lake.read(f"{catalog}.silver.attendance_cleaned"), lake.read(f"{catalog}.gold.dim_employee"), dim_date, as_of)
     lake.overwrite(facts, f"{catalog}.gold.fact_attendance", ["work_date"])
     if serving is not None:
         serving.replace_dates(lake.read(f"{catalog}.gold.fact_attendance"), "fact_attendance", "work_date")
+    archive(lake, paths, folder, archive_to)
+    return True

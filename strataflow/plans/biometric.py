@@ -60,7 +60,7 @@ def run(lake: Lake, report: DataFrame, report_date: Column, dim_date: DataFrame,
     """One report to bronze; its dates are replaced in silver, gold and serving, so ingesting it again adds no duplicates."""
     batch = bronze_rows(report, report_date)
     lake.write_bronze(batch, f"{catalog}.bronze.biometric_raw", as_of)
-    bronze = lake.read(f"{catalog}.bronze.biometric_raw")
+    bronze = lake.read(f"{catalog}.bronze.biometric_raw", evolving=True)
     lake.replace_partitions(silver(bronze, batch), f"{catalog}.silver.biometric_cleaned", "work_date")
     cleaned = in_batch_dates(lake.read(f"{catalog}.silver.biometric_cleaned"),
                              batch.select(F.col("ingest_work_date").alias("work_date")), "work_date")

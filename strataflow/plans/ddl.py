@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from ..operators.scd import VERSION_COLUMNS
-from ..sources.lake import create_schemas, create_table
+from ..sources.lake import SCD_PARTITIONS, create_schemas, create_table
 from . import attendance, biometric, employee, leave, timesheet
 
 _KEYS = {"dim_employee_key": "bigint", "dim_date_key": "int", "dw_load_timestamp": "timestamp"}
@@ -31,7 +31,7 @@ def gold_schemas() -> dict[str, T.StructType]:
     sheet_types = {name: _KINDS[kind] for name, kind in timesheet.FIELDS.values()}
     person = list(employee.FIELDS.values()) + ["full_name", "is_billable", "source_row_id", "record_hash", "dim_employee_key"]
     tables = {
-        "dim_employee": _schema(person + list(VERSION_COLUMNS), VERSION_COLUMNS),
+        "dim_employee": _schema(person + [c for c in VERSION_COLUMNS if c not in SCD_PARTITIONS] + SCD_PARTITIONS, VERSION_COLUMNS),
         "fact_attendance": _schema(attendance.FACT_COLUMNS + ("dw_load_timestamp", "work_date"), {}),
         "fact_attendance_biometric": _schema(biometric.FACT_COLUMNS + ("remarks", "dw_load_timestamp"), {}),
         "fact_leave": _schema(leave.FACT_COLUMNS + ("dw_load_timestamp",), {}),
@@ -40,7 +40,7 @@ def gold_schemas() -> dict[str, T.StructType]:
     return tables
 
 
-PARTITIONS = {"fact_attendance": ("work_date",), "fact_attendance_biometric": ("work_date",)}
+PARTITIONS = {"dim_employee": tuple(SCD_PARTITIONS), "fact_attendance": ("work_date",), "fact_attendance_biometric": ("work_date",)}
 
 
 def create_gold_tables(spark: SparkSession) -> None:

@@ -9,8 +9,9 @@ from ..functions.temporal import epoch_millis, epoch_or_text, parse_date
 from ..functions.text import full_name, record_hash
 from ..operators.cleaning import add_constants, blank_strings_to_null, require
 from ..operators.latest import keep_latest
-from ..sources.files import FAILED_MARK, read_raw_lines
+from ..sources.files import FAILED_MARK
 from ..sources.lake import Lake
+from .intake import archive, bronze_lines, take_in
 
 # Source fields and their warehouse names.
 FIELDS = {
@@ -69,10 +70,14 @@ def silver(bronze: DataFrame, parity_hash: bool = False) -> DataFrame:
     return clean(decode(bronze), parity_hash)
 
 
-def run(lake: Lake, folder: str, catalog: str = "hr", as_of: Column | None = None) -> None:
-    """Files to bronze, bronze to silver, silver into the dimension."""
-    lines = read_raw_lines(lake.spark, folder, exclude=FAILED_MARK)
-    lake.write_bronze(lines, f"{catalog}.bronze.employee_raw", as_of)
-    lake.overwrite(silver(lake.read(f"{catalog}.bronze.employee_raw")), f"{catalog}.silver.employee_cleaned")
+def run(lake: Lake, folder: str, catalog: str = "hr", as_of: Column | None = None,
+        archive_to: str | None = None) -> bool:
+    """Files to bronze, bronze to silver, silver into the dimension.  False without files."""
+    paths = take_in(lake, folder, f"{catalog}.bronze.employee_raw", as_of, exclude=FAILED_MARK)
+    if not paths:
+        return False
+    lake.overwrite(silver(bronze_lines(lake, f"{catalog}.bronze.employee_raw")), f"{catalog}.silver.employee_cleaned")
     lake.apply_scd(lake.read(f"{catalog}.silver.employee_cleaned"), f"{catalog}.gold.dim_employee", "employee_id", as_of,
                    surrogate="dim_employee_key")
+    archive(lake, paths, folder, archive_to)
+    return True

@@ -10,8 +10,8 @@ from ..functions.temporal import parse_date, time_of_day
 from ..operators.cleaning import require
 from ..operators.dims import enrich, resolved
 from ..operators.latest import keep_latest
-from ..sources.files import read_raw_lines
 from ..sources.lake import Lake
+from .intake import archive, bronze_lines, take_in
 
 # Record layout and the fact's columns.
 DAY_FIELDS = ("StartTime", "EndTime", "LeaveCount", "Session")
@@ -61,10 +61,16 @@ def gold(silver_df: DataFrame, dim_employee: DataFrame, dim_date: DataFrame, as_
     return facts.select(*FACT_COLUMNS, stamp.alias("dw_load_timestamp"))
 
 
-def run(lake: Lake, folder: str, dim_date: DataFrame, catalog: str = "hr", as_of: Column | None = None, serving=None) -> None:
-    lake.write_bronze(read_raw_lines(lake.spark, folder), f"{catalog}.bronze.leave_raw", as_of)
-    lake.overwrite(silver(lake.read(f"{catalog}.bronze.leave_raw")), f"{catalog}.silver.leave_cleaned")
+def run(lake: Lake, folder: str, dim_date: DataFrame, catalog: str = "hr", as_of: Column | None = None, serving=None,
+        archive_to: str | None = None) -> bool:
+    """Files to bronze, silver and gold; rows new to the serving table are added if one is given.  False without files."""
+    paths = take_in(lake, folder, f"{catalog}.bronze.leave_raw", as_of)
+    if not paths:
+        return False
+    lake.overwrite(silver(bronze_lines(lake, f"{catalog}.bronze.leave_raw")), f"{catalog}.silver.leave_cleaned")
     facts = gold(lake.read(f"{catalog}.silver.leave_cleaned"), lake.read(f"{catalog}.gold.dim_employee"), dim_date, as_of)
     lake.overwrite(facts, f"{catalog}.gold.fact_leave")
     if serving is not None:
         serving.insert_absent(lake.read(f"{catalog}.gold.fact_leave"), "fact_leave", "source_leave_id")
+    archive(lake, paths, folder, archive_to)
+    return True

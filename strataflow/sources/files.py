@@ -51,6 +51,27 @@ def read_raw_lines(spark: SparkSession, folder: str, suffix: str = ".jsonl", exc
     return lines.select(F.col("value").alias("raw_json"))
 
 
+def archive_files(spark: SparkSession, paths, source_folder: str, target_folder: str) -> list[str]:
+    """Move processed files from one folder to another, replacing older copies; returns the new paths.
+
+    Renames only: no data passes through the driver.  For an endless flow of files use the stream of
+    :mod:`strataflow.streaming.ingest`, which archives by itself.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    moved = []
+    for path in paths:
+        source, target = hadoop(path), hadoop(path.replace(source_folder.rstrip("/"), target_folder.rstrip("/"), 1))
+        fs = source.getFileSystem(conf)
+        fs.mkdirs(target.getParent())
+        if fs.exists(target):
+            fs.delete(target, False)
+        if not fs.rename(source, target):
+            raise OSError(f"could not archive {path}")
+        moved.append(target.toString())
+    return moved
+
+
 def read_csv(spark: SparkSession, path, schema=None, skip_malformed: bool = False) -> DataFrame:
     """CSV with a header.  Pass a schema for large inputs: inferring types reads the files an extra time."""
     reader = spark.read.option("header", "true").option("mode", "DROPMALFORMED" if skip_malformed else "PERMISSIVE")

@@ -11,6 +11,9 @@ from ..operators.scd import apply_snapshot, first_history
 from ..operators.upsert import absent
 
 LAYERS = ("bronze", "silver", "gold")
+CLOSED_BATCH = "closed_batch"
+NOT_CLOSED = "open"
+SCD_PARTITIONS = ["is_current", CLOSED_BATCH]
 
 
 def layer_and_table(name: str) -> tuple[str, str]:
@@ -41,33 +44,37 @@ class Lake:
         return fs.exists(path) and any(
             s.getPath().getName()[:1] not in "._" for s in fs.listStatus(path))
 
-    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        """The table; columns added by later appends are included.
+    def read(self, name: str, schema: T.StructType | None = None, evolving: bool = False) -> DataFrame:
+        """The table.
 
-        With ``schema`` no file footers are read up front, which matters for tables of many files.
+        ``evolving`` merges the schemas of all files, for tables whose appends added columns; it reads every file footer.
+        With ``schema`` no footer is read up front.
         """
         if schema is not None:
             return self.spark.read.schema(schema).parquet(self.path(name))
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
+        return self.spark.read.option("mergeSchema", str(evolving).lower()).parquet(self.path(name))
 
     def read_or_empty(self, name: str, schema: T.StructType) -> DataFrame:
         """The table, or an empty frame of ``schema`` when it does not exist yet."""
         return self.read(name) if self.exists(name) else self.spark.createDataFrame([], schema)
 
-    def append(self, df: DataFrame, name: str, partition_by=()) -> None:
-        """Append; columns the batch lacks are written as typed nulls, new columns are added to the table."""
-        if self.exists(name):
-            known = self.read(name).schema
+    def append(self, df: DataFrame, name: str, partition_by=(), align: bool = True) -> None:
+        """Append; columns the batch lacks are written as typed nulls, new columns are added to the table.
+
+        Aligning needs the schemas of all files; turn it off for tables whose columns never change.
+        """
+        if align and self.exists(name):
+            known = self.read(name, evolving=True).schema
             missing = [f for f in known.fields if f.name not in df.columns]
             df = df.select(*[F.col(f"`{c}`").cast(known[c].dataType).alias(c) if c in known.fieldNames() else F.col(f"`{c}`")
                              for c in df.columns],
                            *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
         df.write.mode("append").partitionBy(*partition_by).parquet(self.path(name))
 
-    def write_bronze(self, df: DataFrame, name: str, as_of: Column | None = None) -> None:
+    def write_bronze(self, df: DataFrame, name: str, as_of: Column | None = None, align: bool = True) -> None:
         """Append raw rows stamped with one ``ingest_timestamp``."""
         stamp = F.current_timestamp() if as_of is None else as_of
-        self.append(df.withColumn("ingest_timestamp", stamp), name)
+        self.append(df.withColumn("ingest_timestamp", stamp), name, align=align)
 
     def overwrite(self, df: DataFrame, name: str, partition_by=()) -> None:
         """Replace the table's data and schema.
@@ -100,19 +107,35 @@ class Lake:
 
     def insert_absent(self, df: DataFrame, name: str, key: str, partition_by=()) -> None:
         """Append the rows whose key the table lacks."""
-        fresh = absent(df, self.read(name), key) if self.exists(name) else df
+        fresh = absent(df, self.read(name).select(key), key) if self.exists(name) else df
         self.append(fresh, name, partition_by)
 
     def apply_scd(self, snapshot: DataFrame, name: str, key: str, as_of: Column | None = None,
                   surrogate: str | None = None, expire_missing: bool = False) -> None:
-        """Bring a type-2 dimension up to a snapshot."""
-        history = self.read_or_empty(name, first_history(snapshot, surrogate).schema)
-        self.overwrite(apply_snapshot(history, snapshot, key, as_of, surrogate=surrogate,
-                                      expire_missing=expire_missing), name)
+        """Bring a type-2 dimension up to a snapshot.
+
+        The table is partitioned into current versions and batches of closed versions.  A run reads and replaces the current
+        partition and writes the versions it closes to a partition of their own; older history is never touched.
+        """
+        stamp = F.current_timestamp() if as_of is None else as_of
+        # One fixed time for the whole run; it also names the partition of the versions closed by it.
+        moment = self.spark.range(1).select(F.date_format(stamp, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")).first().t
+        now, batch = F.lit(moment).cast("timestamp"), "at" + "".join(c for c in moment if c.isdigit())
+        first_run = not self.exists(name)
+        table = self.spark.createDataFrame([], first_history(snapshot, surrogate).schema) if first_run else self.read(name)
+        if not first_run and not expire_missing:
+            table = table.filter((F.col("is_current") == 1) | (F.col(CLOSED_BATCH) == batch))
+        versions = apply_snapshot(table.drop(CLOSED_BATCH), snapshot, key, now, surrogate=surrogate, expire_missing=expire_missing)
+        placed = versions.withColumn(CLOSED_BATCH, F.when(F.col("is_current") == 1, NOT_CLOSED).otherwise(
+            F.date_format("valid_to", "'at'yyyyMMddHHmmssSSSSSS")))
+        if expire_missing or first_run:
+            self.overwrite(placed, name, SCD_PARTITIONS)
+        else:
+            self.replace_partitions(placed, name, SCD_PARTITIONS)
 
     def add_columns(self, name: str, columns: dict[str, str]) -> None:
         """Add missing columns as typed nulls."""
-        df = self.read(name)
+        df = self.read(name, evolving=True)
         new = {c: F.lit(None).cast(kind) for c, kind in columns.items() if c not in df.columns}
         if new:
             self.overwrite(df.withColumns(new), name)

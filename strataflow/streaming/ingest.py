@@ -5,17 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import keep_latest
 from ..operators.sets import union_all
 from ..session import stream_checkpoint
-from ..sources.files import RAW_LINE
+from ..plans.intake import BRONZE_LINE
 from ..sources.lake import Lake
 
-BRONZE_SCHEMA = T.StructType(RAW_LINE.fields + [T.StructField("ingest_timestamp", T.TimestampType())])
-
 
 def raw_line_stream(spark: SparkSession, folder: str, suffix: str = ".jsonl", archive: str | None = None,
                     max_files: int | None = None) -> DataFrame:
@@ -37,7 +34,7 @@ def ingest_to_bronze(lake: Lake, folder: str, name: str, checkpoint: str | None
 
 
 def bronze_stream(lake: Lake, name: str) -> DataFrame:
-    return lake.spark.readStream.schema(BRONZE_SCHEMA).parquet(lake.path(name))
+    return lake.spark.readStream.schema(BRONZE_LINE).parquet(lake.path(name))
 
 
 def latest_into_partitions(lake: Lake, batch: DataFrame, name: str, keys, order, date_col: str) -> None:

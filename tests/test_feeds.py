@@ -39,7 +39,17 @@ def test_employee_dimension(staffed):
     write(tmp / "emp", "c.jsonl", [{"EmployeeID": "7", "FirstName": "John", "LastName": "Smith"}])
     employee.run(lake, str(tmp / "emp"), as_of=F.lit("2026-02-01").cast("timestamp"))
     versions = lake.read("hr.gold.dim_employee").filter("employee_id = '7'").orderBy("valid_from").collect()
-    assert [v.is_current for v in versions] in ([1], [0, 1])
+    assert [(v.last_name, v.is_current) for v in versions] == [("Doe", 0), ("Smith", 1)]
+    parts = {p.name for p in (tmp / "lake" / "gold" / "dim_employee").glob("is_current=*")}
+    assert parts == {"is_current=0", "is_current=1"}
+
+
+def test_archive_and_no_files(staffed):
+    lake, dates, tmp = staffed
+    assert employee.run(lake, str(tmp / "emp"), archive_to=str(tmp / "done")) is True
+    assert (tmp / "done" / "a.jsonl").exists() and not (tmp / "emp" / "a.jsonl").exists()
+    assert (tmp / "emp" / "b_failed_parse.jsonl").exists()
+    assert employee.run(lake, str(tmp / "emp")) is False
 
 
 def test_attendance(spark, staffed):

@@ -37,7 +37,7 @@ def test_bronze_appends_with_schema_evolution(spark, lake):
     lake.write_bronze(spark.createDataFrame([("x",)], "raw_json string"), "c.bronze.t", F.lit("2026-01-01").cast("timestamp"))
     lake.write_bronze(spark.createDataFrame([("y", 1)], "raw_json string, extra int"), "c.bronze.t")
     lake.write_bronze(spark.createDataFrame([("z",)], "raw_json string"), "c.bronze.t")
-    got = sorted((r.raw_json, r.extra) for r in lake.read("c.bronze.t").collect())
+    got = sorted((r.raw_json, r.extra) for r in lake.read("c.bronze.t", evolving=True).collect())
     assert got == [("x", None), ("y", 1), ("z", None)]
 
 
@@ -114,3 +114,25 @@ def test_jdbc_statements():
     delete, insert = jdbc.replace_dates_sql("fact", "fact_staging", "work_date", ["a", "work_date"])
     assert delete == "DELETE FROM fact WHERE work_date IN (SELECT DISTINCT work_date FROM fact_staging)"
     assert insert == "INSERT INTO fact (a, work_date) SELECT a, work_date FROM fact_staging"
+
+
+def test_dimension_keeps_old_history_untouched(spark, lake, tmp_path):
+    def snap(*rows):
+        from strataflow.functions.text import record_hash
+        return spark.createDataFrame(list(rows), "id string, v string").withColumn("record_hash", record_hash(["v"]))
+
+    def at(text):
+        return F.lit(text).cast("timestamp")
+    lake.apply_scd(snap(("a", "1"), ("b", "1")), "c.gold.dim", "id", at("2026-01-01"))
+    lake.apply_scd(snap(("a", "2"), ("b", "1")), "c.gold.dim", "id", at("2026-02-01"))
+    old = {p: p.stat().st_mtime_ns for p in (tmp_path / "lake/gold/dim/is_current=0").rglob("*.parquet")}
+    lake.apply_scd(snap(("a", "3"), ("b", "1"), ("c", "1")), "c.gold.dim", "id", at("2026-03-01"))
+    # Same time, another snapshot: the versions closed at that time are kept.
+    lake.apply_scd(snap(("b", "2")), "c.gold.dim", "id", at("2026-03-01"))
+    lake.apply_scd(snap(("b", "2")), "c.gold.dim", "id", at("2026-04-01"))
+    assert all(p.exists() and p.stat().st_mtime_ns == t for p, t in old.items()) and old
+    got = sorted((r.id, r.v, r.is_current) for r in lake.read("c.gold.dim").collect())
+    assert got == [("a", "1", 0), ("a", "2", 0), ("a", "3", 1), ("b", "1", 0), ("b", "2", 1), ("c", "1", 1)]
+    lake.apply_scd(snap(("b", "2")), "c.gold.dim", "id", at("2026-05-01"), expire_missing=True)
+    assert [r.id for r in lake.read("c.gold.dim").filter("is_current = 1").collect()] == ["b"]
+    assert lake.read("c.gold.dim").count() == 6

@@ -66,3 +66,17 @@ def test_previous_day_prunes_partitions(spark, lake):
     hit = lake.read("c.gold.t", df.schema).filter(previous_day(F.col("d"), F.lit("2026-01-02").cast("date")))
     assert [r.v for r in hit.collect()] == [1]
     assert "PartitionFilters: [isnotnull(d" in physical(hit)
+
+
+def test_blocked_operators_shuffle_rows_once(spark):
+    from strataflow.operators.blocks import carry_forward, integer_block, running_index
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id", F.col("id").cast("string").alias("wide"))
+        block = integer_block(F.col("id"), 100)
+        for out in (running_index(df, ["k"], ["id"], block, "i"), carry_forward(df, ["k"], "id", block, {"v": F.col("k")})):
+            # Shuffled: the rows, the block counts, the counts by group, the offsets.
+            assert physical(out).count("Exchange hashpartitioning") == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
