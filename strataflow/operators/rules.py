@@ -192,11 +192,12 @@ def required_completeness(df: DataFrame, rules: RuleSet) -> DataFrame:
 
 def outcome(issues: DataFrame, log: DataFrame) -> DataFrame:
     """One row of text: how many repairs over how many columns."""
-    found = issues.agg(F.count(F.lit(1)).alias("issues"), F.count_distinct("column").alias("columns"))
-    fixed = log.agg(F.count(F.lit(1)).alias("fixes"))
+    both = issues.select(F.lit(True).alias("found"), "column").unionByName(log.select(F.lit(False).alias("found"), "column"))
+    counts = both.agg(F.count_if("found").alias("issues"), F.count_if(~F.col("found")).alias("fixes"),
+                      F.count_distinct(F.when(F.col("found"), F.col("column"))).alias("columns"))
     text = F.when(F.col("issues") == 0, F.lit("No issues detected. Data is clean.")).otherwise(
         F.format_string("%d issues were fixed across %d columns.", "fixes", "columns"))
-    return found.crossJoin(fixed).select(text.alias("outcome"))
+    return counts.select(text.alias("outcome"))
 
 
 def synthesize_rules(df: DataFrame, types: dict[str, str], strategies: dict | None = None,

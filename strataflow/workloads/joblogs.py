@@ -26,7 +26,10 @@ def log_lines(t):
                                         F.lit(" ERROR: boom "), k)) \
         .when(kind == "click", F.concat(head, F.lit("101 - ERROR - step-"), k, F.lit(" - plain failure"))) \
         .otherwise(F.concat(head, F.lit("0 - INFO - app - fine")))
-    return t.spread("events").select(F.concat(F.lit("log"), user).alias("source"), F.col("event_id").alias("line_no"), line.alias("line"))
+    # The generator makes the derived text a plain column, as it would be when read from a file; otherwise every mention
+    # of the line in a pushed-down filter would build it again.
+    return t.spread("events").select(F.concat(F.lit("log"), user).alias("source"), F.col("event_id").alias("line_no"),
+                                     F.explode(F.array(line)).alias("line"))
 
 
 PARSED_SQL = """
