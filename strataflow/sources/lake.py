@@ -23,6 +23,15 @@ def layer_and_table(name: str) -> tuple[str, str]:
     return parts[1], parts[2]
 
 
+def _grouped(df: DataFrame, partition_by) -> DataFrame:
+    """Rows of a table partition brought together before the write.
+
+    Without it every task writes a file into every table partition.  Rebalancing, unlike repartitioning, merges small
+    partitions and splits the large one of a hot date.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
 class Lake:
     """Reads and writes the tables of one lake."""
 
@@ -84,7 +93,7 @@ class Lake:
         """
         target = self.path(name)
         staging, retired = (f"{target}__{kind}_{uuid.uuid4().hex}" for kind in ("staging", "retired"))
-        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(staging)
+        _grouped(df, partition_by).write.mode("errorifexists").partitionBy(*partition_by).parquet(staging)
         fs, target_path = self._file_system(target)
         _, staging_path = self._file_system(staging)
         _, retired_path = self._file_system(retired)
@@ -102,7 +111,8 @@ class Lake:
     def replace_partitions(self, df: DataFrame, name: str, partition_by) -> None:
         """Delete-insert: exactly the partitions present in the batch are replaced, the others are not read or touched."""
         columns = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(self.path(name))
+        rows = _grouped(df, columns)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(self.path(name))
         self.spark.catalog.refreshByPath(self.path(name))
 
     def insert_absent(self, df: DataFrame, name: str, key: str, partition_by=()) -> None:

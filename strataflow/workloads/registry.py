@@ -7,8 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.layout import spread_if_small
-from ..session import apply_runtime_conf
+from ..operators.layout import plan_bytes, spread_if_small
+from ..session import apply_runtime_conf, size_shuffles
 
 
 class Tables:
@@ -25,7 +25,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        size_shuffles(self.spark, plan_bytes(table))
+        return table
 
 
 @dataclass(frozen=True)

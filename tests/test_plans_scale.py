@@ -80,3 +80,26 @@ def test_blocked_operators_shuffle_rows_once(spark):
             assert physical(out).count("Exchange hashpartitioning") == 4
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_partitioned_writes_make_few_files(spark, lake, tmp_path):
+    df = spark.range(0, 4000, 1, 16).select("id", F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 5).cast("int")).alias("d"))
+    lake.replace_partitions(df, "c.gold.t", "d")
+    lake.overwrite(df, "c.gold.u", ["d"])
+    for table in ("t", "u"):
+        assert len(list((tmp_path / "lake" / "gold" / table).rglob("*.parquet"))) == 5
+    assert lake.read("c.gold.t").count() == 4000
+
+
+def test_shuffle_partitions_follow_the_input(spark):
+    from strataflow.session import size_shuffles
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        size_shuffles(spark, 1 << 20)
+        assert spark.conf.get(setting, None) is None
+        size_shuffles(spark, 100 << 40)
+        assert spark.conf.get(setting) == "200000"
+        size_shuffles(spark, 1 << 40)
+        assert spark.conf.get(setting) == "200000"
+    finally:
+        spark.conf.unset(setting)
