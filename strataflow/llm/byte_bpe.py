@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from array import array
+from collections.abc import Callable
 
 import ahocorasick
 import regex
@@ -25,8 +27,15 @@ from .common import per_row
 LONGEST_KEPT = 48
 #: Entries each of the two memories (pieces, neighbours) may hold before it is emptied.
 MOST_KEPT = 400_000
-#: White space in the sense of Unicode, stated here because libraries differ on U+001C to U+001F.
-_SPACES = r"\t-\r \x85\xa0  -     　"
+#: Letters and numbers that the ``regex`` package knows from Unicode versions after 16.0, the version the rank
+#: files' own library splits by (first and last code point, hexadecimal).
+LATER_LETTERS = (
+    "558 558 58b 58c 88f 88f c5c c5c cdc cdc 208f 208f 209d 209f a7ce a7cf a7d2 a7d2 a7d4 a7d4 a7dd a7dd a7e2 a7e2 a7f1 a7f1 "
+    "ab6c ab6d 107bb 107bf 10940 10959 10ec5 10ec7 10ed9 10eee 11b0a 11b0a 11db0 11ddb 11df1 11df1 16ea0 16eb8 16ebb 16ed3 "
+    "16ff2 16ff3 187f8 187ff 18cd6 18cda 18d09 18d20 18d80 18df2 18e00 19191 191a0 191d2 1b123 1b128 1b168 1b168 1d6a6 1d6a6 "
+    "1df1f 1df24 1df2b 1df81 1df90 1df96 1dfcd 1dfff 1e6c0 1e6de 1e6e0 1e6e2 1e6e4 1e6e5 1e6e7 1e6ed 1e6f0 1e6f4 1e6fe 1e6ff "
+    "2b73a 2b73f 2b81e 2b81e 2cea2 2cead 323b0 33479 3d000 3fc3f")
+LATER_NUMBERS = "11de0 11de9 1246f 1246f 12475 1247f 12550 12686 16ff4 16ff6"
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -39,10 +48,18 @@ def read_ranks(path: str) -> list[bytes]:
     return entries
 
 
-def piece_pattern(pattern: str) -> regex.Pattern:
-    """The pattern with ``\\s`` and ``\\S`` spelled out."""
-    inside = regex.sub(r"\[\^\\s", lambda _: f"[^{_SPACES}", pattern)
-    return regex.compile(inside.replace(r"\S", f"[^{_SPACES}]").replace(r"\s", f"[{_SPACES}]"))
+def _ranges(listed: str) -> str:
+    ends = [chr(int(x, 16)) for x in listed.split()]
+    return "".join(f"{first}-{last}" for first, last in zip(ends[::2], ends[1::2]))
+
+
+def piece_splitter(pattern: str) -> Callable[[str], list[str]]:
+    """Matches of the pattern, with letters and numbers as of Unicode 16."""
+    plain = regex.compile(pattern)
+    later = re.compile(f"[{_ranges(LATER_LETTERS)}{_ranges(LATER_NUMBERS)}]")
+    exact = regex.compile(pattern.replace(r"\p{L}", rf"[\p{{L}}--[{_ranges(LATER_LETTERS)}]]")
+                          .replace(r"\p{N}", rf"[\p{{N}}--[{_ranges(LATER_NUMBERS)}]]"), regex.V1)
+    return lambda text: (exact if later.search(text) else plain).findall(text)
 
 
 class ByteBpe:
@@ -50,7 +67,7 @@ class ByteBpe:
 
     def __init__(self, entries: list[bytes], pattern: str):
         self.entries = entries
-        self.split = piece_pattern(pattern).findall
+        self.split = piece_splitter(pattern)
         self._rank = {entry: rank for rank, entry in enumerate(entries)}
         self._compatible: dict[tuple[int, int], bool] = {}
         self._halves = [self._halve(rank) for rank in range(len(entries))]
