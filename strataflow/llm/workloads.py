@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe
+from . import byte_bpe, quality_lists, site_lines, source_mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,3 +28,67 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Round trip of every text through the 50k rank file."""
     return byte_bpe.round_trip(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                                public_tokenizers.PATTERN)
+
+
+@_query
+def op6_quality_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics and verdict of every document, learned from ``labels.quality``."""
+    return quality_lists.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@_query
+def op1_site_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Text of every page without the boilerplate lines of its host."""
+    pages = _table(spark, folder, "pages")
+    out = site_lines.drop_site_lines(pages.withColumn("host", site_lines.url_host(F.col("url"))), F.col("host"),
+                                     site_lines.html_lines(F.col("html")), share=0.2, least_pages=3)
+    return out.select("page_id", "host", "n_lines", (F.col("n_lines") - F.size("kept_lines")).cast("long").alias("n_dropped"),
+                      F.array_join("kept_lines", "\n").alias("clean_text"))
+
+
+SQL["op1_site_lines"] = r"""
+WITH p AS (
+  SELECT page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host,
+    list_filter(list_transform(regexp_split_to_array(regexp_replace(coalesce(html, ''),
+      '(?i)</?(?:a|b|i|u|em|strong|small|span)(?:\s[^>]*)?>', '', 'g'), '<[^>]*>|\n'),
+      lambda x: trim(x, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda x: x <> '') AS lines FROM pages),
+n AS (SELECT host, count(*) AS pages FROM p WHERE host IS NOT NULL GROUP BY host),
+c AS (SELECT host, line, count(*) AS k FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM p WHERE host IS NOT NULL) GROUP BY ALL),
+d AS (SELECT host, list(line) AS gone FROM c JOIN n USING (host) WHERE k >= 3 AND k > 0.2 * pages GROUP BY host),
+r AS (SELECT page_id, p.host, lines, list_filter(lines, lambda x: NOT list_contains(coalesce(gone, []), x)) AS kept
+  FROM p LEFT JOIN d ON p.host = d.host)
+SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(kept))::BIGINT AS n_dropped,
+  coalesce(array_to_string(kept, chr(10)), '') AS clean_text FROM r"""
+
+
+@_query
+def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents mixed by source: at most two passes over the smallest one."""
+    docs = _table(spark, folder, "documents")
+    mixed = source_mix.mix(docs.select("doc_id", "source", "text"), most_passes=2.0)
+    return mixed.select("doc_id", "source", "epoch", F.col("block_rank").cast("long").alias("block_rank"), "weight")
+
+
+SQL["op2_source_mix"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS tokens,
+    md5('17:' || coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+b AS (SELECT *, (('0x' || substr(k, 1, 8))::BIGINT % 256) AS block FROM d),
+s AS (SELECT source, sum(tokens)::BIGINT AS t FROM b GROUP BY source),
+m AS (SELECT max(t)::DOUBLE AS hi, min(t)::DOUBLE AS lo FROM s WHERE t > 0),
+a AS (SELECT 0 AS i, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high UNION ALL
+  SELECT i + 1, CASE WHEN pow(m.hi / m.lo, 1 - (low + high) / 2) > 2.0 THEN (low + high) / 2 ELSE low END,
+    CASE WHEN pow(m.hi / m.lo, 1 - (low + high) / 2) > 2.0 THEN high ELSE (low + high) / 2 END FROM a, m WHERE i < 60),
+x AS (SELECT CASE WHEN m.hi / m.lo <= 2.0 THEN 0.0 ELSE (SELECT high FROM a WHERE i = 60) END AS e FROM m),
+w AS (SELECT source, t, CASE WHEN t > 0 THEN greatest(1.0, pow(m.hi / t, 1 - e)) ELSE 1.0 END AS passes,
+  CASE WHEN t > 0 THEN pow(t / (SELECT sum(t) FROM s), e) ELSE 0 END AS p FROM s, m, x),
+g AS (SELECT source, t, p / (SELECT sum(p) FROM w) AS weight, round_even(t * passes, 0)::BIGINT AS budget FROM w),
+f AS (SELECT *, CASE WHEN t > 0 THEN budget // t ELSE 1 END AS full_passes, CASE WHEN t > 0 THEN budget % t ELSE 0 END AS rest FROM g),
+e AS (SELECT source, weight, full_passes, rest, unnest(generate_series(1, full_passes + (rest > 0)::BIGINT)) AS epoch FROM f),
+o AS (SELECT e.source, e.epoch, r.block, row_number() OVER (PARTITION BY e.source, e.epoch ORDER BY
+  md5('17:' || coalesce(e.source, '') || ':' || e.epoch || ':' || r.block)) - 1 AS block_rank FROM e, range(256) AS r(block)),
+q AS (SELECT b.*, e.epoch, e.weight, e.full_passes, e.rest, o.block_rank FROM b JOIN e ON b.source IS NOT DISTINCT FROM e.source
+  JOIN o ON o.source IS NOT DISTINCT FROM e.source AND o.epoch = e.epoch AND o.block = b.block),
+z AS (SELECT *, sum(tokens) OVER (PARTITION BY source, epoch ORDER BY block_rank, k RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  - sum(tokens) OVER (PARTITION BY source, epoch, block_rank, k) AS before FROM q)
+SELECT doc_id, source, epoch::BIGINT AS epoch, block_rank::BIGINT AS block_rank, weight FROM z WHERE epoch <= full_passes OR before < rest"""
