@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, quality_lists, site_lines, source_mix
+from . import byte_bpe, quality_lists, site_lines, source_mix, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -92,3 +92,9 @@ q AS (SELECT b.*, e.epoch, e.weight, e.full_passes, e.rest, o.block_rank FROM b
 z AS (SELECT *, sum(tokens) OVER (PARTITION BY source, epoch ORDER BY block_rank, k RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
   - sum(tokens) OVER (PARTITION BY source, epoch, block_rank, k) AS before FROM q)
 SELECT doc_id, source, epoch::BIGINT AS epoch, block_rank::BIGINT AS block_rank, weight FROM z WHERE epoch <= full_passes OR before < rest"""
+
+
+@_query
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document by the 32k piece model."""
+    return token_counts.token_counts(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
