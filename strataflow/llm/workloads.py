@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, quality_lists, site_lines, source_mix, token_counts
+from . import byte_bpe, language_id, quality_lists, site_lines, source_mix, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -98,3 +98,9 @@ SELECT doc_id, source, epoch::BIGINT AS epoch, block_rank::BIGINT AS block_rank,
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document by the 32k piece model."""
     return token_counts.token_counts(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+@_query
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from the labelled ones that are not held out."""
+    return language_id.identify(_table(spark, folder, "documents"))
