@@ -66,17 +66,19 @@ def frequent_terms(values: DataFrame, columns: list[str]) -> dict[bytes, tuple]:
 
 
 def sum_by_document(docs: DataFrame, values: DataFrame, columns: list[str], split: Split,
-                    missing: tuple | None = None) -> DataFrame:
+                    missing: tuple | None = None, more: tuple[list[str], Callable] | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_terms, one double sum per value column) for every row of ``docs`` (doc_id long, text string).
 
     ``values``: stored table of term, occurrences and the value columns; ``missing``: values of a term it lacks (0 each).
-    Null texts count as empty.  Rows with the same id stay apart.
+    ``more``: names of further double columns, and a function that gives, once per task, a function from texts to rows of
+    them.  Null texts count as empty.  Rows with the same id stay apart.
     """
+    names, make = more or ([], None)
     missing = tuple(map(float, missing or [0.0] * len(columns)))
     frequent = frequent_terms(values, columns)
     known = docs.sparkSession.sparkContext.broadcast({k: tuple(map(float, v)) for k, v in frequent.items()})
     width = len(columns)
-    sums = [f"s{i}" for i in range(width)]
+    sums = [*[f"s{i}" for i in range(width)], *names]
     schema = ("doc_id long, row long, n_bytes long, n_terms long, " + "".join(f"{s} double, " for s in sums)
               + "rest array<struct<term: binary, n: long>>")
     target = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_bytes", pa.int64()), ("n_terms", pa.int64()),
@@ -84,12 +86,14 @@ def sum_by_document(docs: DataFrame, values: DataFrame, columns: list[str], spli
                         ("rest", pa.list_(pa.struct([("term", pa.binary()), ("n", pa.int64())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms_of, table = split(), known.value
+        terms_of, table, further = split(), known.value, make and make()
         at = TaskContext.get().partitionId() << 40
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 out = []
-                for doc_id, text in zip(*(c.to_pylist() for c in batch.slice(start, 256).columns)):
+                ids, texts = (c.to_pylist() for c in batch.slice(start, 256).columns)
+                added = further(texts) if further else [()] * len(ids)
+                for doc_id, text, extra in zip(ids, texts, added):
                     terms = terms_of(text or "")
                     total, rest = [0.0] * width, []
                     for term, n in Counter(terms).items():
@@ -99,7 +103,7 @@ def sum_by_document(docs: DataFrame, values: DataFrame, columns: list[str], spli
                         else:
                             for i in range(width):
                                 total[i] += n * value[i]
-                    out.append((doc_id, at, len((text or "").encode()), len(terms), *total, rest))
+                    out.append((doc_id, at, len((text or "").encode()), len(terms), *total, *extra, rest))
                     at += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), target)], schema=target)
 
@@ -117,7 +121,8 @@ def sum_by_document(docs: DataFrame, values: DataFrame, columns: list[str], spli
     part = lambda i: F.when(F.col("own"), F.col(f"s{i}")).otherwise(
         F.col("n") * F.coalesce(F.col(f"v{i}"), F.lit(missing[i])))
     return (joined.groupBy("doc_id", "row").agg(F.max("n_bytes").alias("n_bytes"), F.max("n_terms").alias("n_terms"),
-                                                *[F.sum(part(i)).alias(columns[i]) for i in range(width)]).drop("row"))
+                                                *[F.sum(part(i)).alias(columns[i]) for i in range(width)],
+                                                *[F.max(c).alias(c) for c in names]).drop("row"))
 
 
 def store_values(values: DataFrame, label: str) -> DataFrame:

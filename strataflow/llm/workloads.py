@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, quality_lists, site_lines, source_mix, token_counts
+from . import attention_lm, byte_bpe, language_id, quality_lists, site_lines, source_mix, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -104,3 +104,10 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from the labelled ones that are not held out."""
     return language_id.identify(_table(spark, folder, "documents"))
+
+
+@_query
+def op7_attention_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram and attention-model scores of every document, learned from those not held out."""
+    return attention_lm.score_texts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                    public_tokenizers.PATTERN)
