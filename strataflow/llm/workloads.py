@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, byte_bpe, language_id, quality_lists, site_lines, source_mix, token_counts
+from . import attention_lm, byte_bpe, language_id, ngram_groups, quality_lists, site_lines, source_mix, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -111,3 +111,27 @@ def op7_attention_lm(spark: SparkSession, folder: str) -> DataFrame:
     """Unigram and attention-model scores of every document, learned from those not held out."""
     return attention_lm.score_texts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                                     public_tokenizers.PATTERN)
+
+
+@_query
+def op8_ngram_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose 3-gram sets are at least 0.9 similar."""
+    return ngram_groups.similar_documents(_table(spark, folder, "documents"))
+
+
+SQL["op8_ngram_groups"] = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM t),
+n AS (SELECT doc_id, len(s)::BIGINT AS n_shingles, list_sort(s) AS s FROM g),
+u AS (SELECT min(doc_id) AS rep, any_value(n_shingles) AS n, s FROM n WHERE n_shingles > 0 GROUP BY s),
+x AS (SELECT rep, n, unnest(s) AS k FROM u),
+p AS (SELECT a.rep AS a, b.rep AS b FROM x a JOIN x b ON a.k = b.k AND a.rep < b.rep AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT rep AS v, rep AS w FROM u UNION SELECT r.v, e.b FROM r JOIN e ON r.w = e.a),
+c AS (SELECT v, min(w) AS component_id FROM r GROUP BY v)
+SELECT n.doc_id, n.n_shingles, coalesce(c.component_id, n.doc_id) AS component_id
+FROM n LEFT JOIN u ON n.s = u.s LEFT JOIN c ON c.v = u.rep"""
