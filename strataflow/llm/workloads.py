@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, byte_bpe, language_id, ngram_groups, quality_lists, site_lines, source_mix, token_counts
+from . import attention_lm, byte_bpe, embedding_pairs, language_id, ngram_groups, quality_lists, site_lines, source_mix, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -135,3 +135,22 @@ r AS (SELECT rep AS v, rep AS w FROM u UNION SELECT r.v, e.b FROM r JOIN e ON r.
 c AS (SELECT v, min(w) AS component_id FROM r GROUP BY v)
 SELECT n.doc_id, n.n_shingles, coalesce(c.component_id, n.doc_id) AS component_id
 FROM n LEFT JOIN u ON n.s = u.s LEFT JOIN c ON c.v = u.rep"""
+
+
+@_query
+def op4_embedding_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors of the same label with a cosine of at least 0.93: links and components."""
+    return embedding_pairs.near_vectors(_table(spark, folder, "embeddings"), least=0.93)
+
+
+SQL["op4_embedding_pairs"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0 AND len(list_filter(embedding, lambda y: y <> 0)) > 0),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+r AS (SELECT vec_id AS v, vec_id AS w FROM embeddings UNION SELECT r.v, e.b FROM r JOIN e ON r.w = e.a),
+c AS (SELECT v, min(w) AS component_id FROM r GROUP BY v),
+n AS (SELECT a, count(*) AS k FROM e GROUP BY a)
+SELECT m.vec_id, coalesce(n.k, 0)::BIGINT AS n_links, c.component_id, m.vec_id = c.component_id AS kept
+FROM embeddings m JOIN c ON c.v = m.vec_id LEFT JOIN n ON n.a = m.vec_id"""
