@@ -1,6 +1,6 @@
-"""Grouped prefix join: documents whose sets of word 3-grams have a Jaccard similarity of at least 0.9.
+"""Grouped prefix join: documents whose sets of word n-grams have a Jaccard similarity of at least a threshold.
 
-Two sets this similar share one of the first tenth of their tokens, in any order common to all sets (prefix filter).  The order
+Two sets with a similarity of 0.9 share one of the first tenth of their tokens, in any order common to all (prefix filter).  The order
 used puts tokens that many documents share last, so that shared passages do not make candidates.
 
 1. Equal sets are collapsed, then sets with the same prefix and size form one group.
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,6 @@ from pyspark.sql import functions as F
 from .common import stored
 from .components import components
 
-#: Words per shingle.
-WORDS = 3
 #: Tokens told apart as common, most of them; their number bounds what tasks are handed.
 COMMON = 100_000
 #: Tokens a task counts at once, and the least count it passes on.
@@ -41,6 +40,23 @@ BITS = 512
 #: Most set ids handed to all tasks to pick documents by; with more, the tables are joined by a shuffle.
 MOST_PICKED = 2_000_000
 
+@dataclass(frozen=True)
+class Rule:
+    """Words per shingle, and the least similarity as a fraction."""
+
+    words: int = 3
+    above: int = 9
+    below: int = 10
+
+    def prefix_length(self, n: int) -> int:
+        """Tokens of which two similar sets must share one."""
+        return n - -(-self.above * n // self.below) + 1
+
+    def enough(self, shared, sizes):
+        """Whether sets of so many tokens together that share so many are similar (numbers or arrays)."""
+        return (self.above + self.below) * shared >= self.above * sizes
+
+
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -62,28 +78,25 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit tokens of a text: its word 3-grams, or its whole sequence if it has fewer words."""
+def shingles(text: str | None, size: int) -> np.ndarray:
+    """Sorted distinct 64-bit tokens of a text: its word n-grams, or its whole sequence if it has fewer words."""
     found = (text or "").encode("utf-8", "replace").lower().split()
     if not found:
         return np.zeros(0, np.uint64)
-    if len(found) < WORDS:
+    if len(found) < size:
         return np.array([xxhash.xxh3_64_intdigest(b"\x00".join([b"short", *found]))], np.uint64)
     known = _WORDS
     w = np.frombuffer(b"".join([known[x] for x in found]), np.uint64)
-    tokens = _mix(_mix(w[:-2] * _M1 + w[1:-1]) * _M1 + w[2:])
+    tokens = w[:len(w) - size + 1]
+    for k in range(1, size):
+        tokens = _mix(tokens * _M1 + w[k:len(w) - size + 1 + k])
     tokens.sort()
     keep = np.ones(len(tokens), bool)
     np.not_equal(tokens[1:], tokens[:-1], out=keep[1:])
     return tokens[keep]
 
 
-def prefix_length(n: int) -> int:
-    """Tokens of which two sets with a similarity of 0.9 must share one."""
-    return n - -(-9 * n // 10) + 1
-
-
-def common_tokens(docs: DataFrame) -> np.ndarray:
+def common_tokens(docs: DataFrame, rule: Rule) -> np.ndarray:
     """The most common tokens, rarest first, by counts over all documents (a task passes on what it has seen at least twice)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -95,7 +108,7 @@ def common_tokens(docs: DataFrame) -> np.ndarray:
 
         for batch in batches:
             for value in batch.column(0):
-                tokens = shingles(value.as_py())
+                tokens = shingles(value.as_py(), rule.words)
                 held.append(tokens)
                 size += len(tokens)
                 if size >= COUNTED:
@@ -119,7 +132,7 @@ def common_tokens(docs: DataFrame) -> np.ndarray:
     return np.array([r.token for r in rows], np.int64).view(np.uint64)
 
 
-def signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
+def signatures(docs: DataFrame, common: np.ndarray, rule: Rule) -> DataFrame:
     """doc_id, n (size of the set), print (128-bit digest of the set, null if empty), prefix (ordered tokens), bits of every row."""
     spark = docs.sparkSession
     order = np.argsort(common, kind="stable")
@@ -131,7 +144,7 @@ def signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                tokens = shingles(text.as_py())
+                tokens = shingles(text.as_py(), rule.words)
                 if not len(tokens):
                     out.append((doc_id, 0, None, None, None))
                     continue
@@ -139,7 +152,7 @@ def signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
                 if len(values):
                     at = np.minimum(np.searchsorted(values, tokens), len(values) - 1)
                     rank = np.where(values[at] == tokens, ranks[at], 0)
-                first = tokens[np.argsort(rank, kind="stable")[:prefix_length(len(tokens))]]
+                first = tokens[np.argsort(rank, kind="stable")[:rule.prefix_length(len(tokens))]]
                 odd = np.bincount((tokens >> np.uint64(40)).astype(np.int64) % BITS, minlength=BITS) & 1
                 out.append((doc_id, len(tokens), hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(),
                             first.view(np.int64).tolist(), np.packbits(odd.astype(np.uint8)).tobytes()))
@@ -181,7 +194,7 @@ def _buckets(groups: DataFrame) -> DataFrame:
     return shared.select("token", "group", "pos")
 
 
-def _pairs_of(bucket: pa.Table, forest: bool) -> pa.Table:
+def _pairs_of(bucket: pa.Table, forest: bool, rule: Rule) -> pa.Table:
     """Candidate pairs of one bucket: a spanning forest of them, or all that are not connected yet."""
     order = np.lexsort((np.array(bucket.column("print").to_pylist(), object),))
     prints = [bucket.column("print")[int(i)].as_py() for i in order]
@@ -193,14 +206,15 @@ def _pairs_of(bucket: pa.Table, forest: bool) -> pa.Table:
     found: list[tuple[int, int]] = []
     for i in range(1, len(order)):
         m = n[:i] + n[i]
-        near = (10 * np.minimum(n[:i], n[i]) >= 9 * np.maximum(n[:i], n[i])) & (roots[:i] != roots[i])
-        near &= 19 * np.minimum(n[:i] - pos[:i], n[i] - pos[i]) >= 9 * m
+        near = (rule.below * np.minimum(n[:i], n[i]) >= rule.above * np.maximum(n[:i], n[i])) & (roots[:i] != roots[i])
+        near &= rule.enough(np.minimum(n[:i] - pos[:i], n[i] - pos[i]), m)
         if left != right:
             near &= part[:i] != part[i]
         j = np.flatnonzero(near)
         if not len(j):
             continue
-        j = j[19 * np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64) <= m[j]]
+        apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        j = j[rule.enough((m[j] - apart) / 2, m[j])]
         if forest:
             # The first neighbour of every tree; buckets with the same sets choose the same pairs.
             for k, at in zip(*np.unique(label[j], return_index=True)):
@@ -211,7 +225,7 @@ def _pairs_of(bucket: pa.Table, forest: bool) -> pa.Table:
     return pa.table({"a": pa.array([prints[i] for i, _ in found], pa.binary()), "b": pa.array([prints[j] for _, j in found], pa.binary())})
 
 
-def _candidates(members: DataFrame, roots: DataFrame | None, forest: bool) -> DataFrame:
+def _candidates(members: DataFrame, roots: DataFrame | None, forest: bool, rule: Rule) -> DataFrame:
     """Distinct candidate pairs (a, b) from the sets of all buckets."""
     if roots is None:
         rows = members.withColumn("root", F.col("print"))
@@ -223,12 +237,12 @@ def _candidates(members: DataFrame, roots: DataFrame | None, forest: bool) -> Da
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     dealt = dealt.select("*", other.alias("other")).withColumns({"left": F.least("part", "other"), "right": F.greatest("part", "other")})
     pairs = dealt.select("token", "left", "right", "part", "print", "root", "n", "pos", "bits").groupBy("token", "left", "right").applyInArrow(
-        lambda t: _pairs_of(t, forest), "a binary, b binary")
+        lambda t: _pairs_of(t, forest, rule), "a binary, b binary")
     return pairs.distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets have a similarity of at least 0.9."""
+def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar."""
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("print")).distinct().join(sets.select("print", "doc_id"), "print"), "wanted")
     ids = wanted.select("doc_id").distinct()
     if ids.count() <= MOST_PICKED:
@@ -238,7 +252,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
-                found = [shingles(t.as_py()) for t in batch.column(0).slice(start, 64)]
+                found = [shingles(t.as_py(), rule.words) for t in batch.column(0).slice(start, 64)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([hashlib.blake2b(t.tobytes(), digest_size=16).digest() for t in found], pa.binary()),
                     pa.array([t.tobytes() for t in found], pa.binary())], schema=schema)
@@ -255,7 +269,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
                 s, t = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
                 small, large = (s, t) if len(s) <= len(t) else (t, s)
                 at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                keep.append(19 * int((large[at] == small).sum()) >= 9 * (len(s) + len(t)))
+                keep.append(bool(rule.enough(int((large[at] == small).sum()), len(s) + len(t))))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     one = pairs.join(whole.select(F.col("print").alias("a"), F.col("tokens").alias("x")), "a")
@@ -263,7 +277,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     return stored(two.select("a", "b", "x", "y").mapInArrow(check, "a binary, b binary"), "links")
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
+def similar_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
 
     The component is the smallest id reachable by links.  Null and empty texts have no shingles and are linked with nothing.
@@ -271,8 +285,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     is alone); rows may repeat.  Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    common = common_tokens(rows)
-    signed = stored(signatures(rows, common), "signatures")
+    common = common_tokens(rows, rule)
+    signed = stored(signatures(rows, common, rule), "signatures")
     sets = stored(signed.where("n > 0").groupBy("print").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")), "sets_of")
     # Groups: equal prefix and size, named by a digest of both.
@@ -281,8 +295,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     grouped = keyed.groupBy("group").agg(F.count(F.lit(1)).alias("sets"), F.first("prefix").alias("prefix"))
     buckets = stored(_buckets(grouped), "buckets")
     members = stored(buckets.join(keyed.select("group", "print", "n", "bits"), "group").drop("group"), "members")
-    links = _verified(_candidates(members, None, True), rows, sets)
-    links = links.union(_verified(_candidates(members, components(links), False), rows, sets))
+    links = _verified(_candidates(members, None, True, rule), rows, sets, rule)
+    links = links.union(_verified(_candidates(members, components(links), False, rule), rows, sets, rule))
     return _label(signed, sets, links)
 
 
@@ -294,3 +308,20 @@ def _label(signed: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
     names = stored(rooted.select("print", "root").join(least, "root").select("print", "component_id"), "names")
     return signed.select("doc_id", F.col("n").alias("n_shingles"), "print").join(names, "print", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, rule: Rule = Rule(5, 4, 5)) -> DataFrame:
+    """The documents without near duplicates: of each component the row with the smallest id stays; columns as they are.
+
+    Rows that repeat an id within a component go, too, but for one.  Rows without words or without an id all stay.
+    """
+    found = stored(similar_documents(docs, rule), "similar")
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    rest = docs.join(F.broadcast(gone) if gone.count() <= MOST_PICKED else gone, "doc_id", "left_anti").select(
+        *[F.col(f"`{c}`") for c in docs.columns])
+    repeated = found.where(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("component_id")) & (F.col("n_shingles") > 0)).groupBy("doc_id").count()
+    again = repeated.where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return rest
+    twice = rest.join(again, "doc_id", "left_semi").select(*rest.columns)
+    return rest.join(again, "doc_id", "left_anti").select(*rest.columns).union(twice.dropDuplicates(["doc_id"]))

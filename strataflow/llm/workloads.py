@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, byte_bpe, embedding_pairs, language_id, ngram_groups, quality_lists, site_lines, source_mix, token_counts
+from . import attention_lm, byte_bpe, embedding_pairs, language_id, ngram_groups, quality_lists, site_lines, source_mix, token_counts, transcripts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -154,3 +154,9 @@ c AS (SELECT v, min(w) AS component_id FROM r GROUP BY v),
 n AS (SELECT a, count(*) AS k FROM e GROUP BY a)
 SELECT m.vec_id, coalesce(n.k, 0)::BIGINT AS n_links, c.component_id, m.vec_id = c.component_id AS kept
 FROM embeddings m JOIN c ON c.v = m.vec_id LEFT JOIN n ON n.a = m.vec_id"""
+
+
+@_query
+def op5_transcripts(spark: SparkSession, folder: str) -> DataFrame:
+    """Roles of all conversation turns by Viterbi, and the turns in canonical form."""
+    return transcripts.format_chats(_table(spark, folder, "conversations"))
