@@ -226,3 +226,17 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     return per_row(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
                    "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, intact boolean", make)
+
+
+def encoded_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens, ids, intact (decoding gives the text back) of every row; null texts count as empty."""
+    def make():
+        bpe = load(path, pattern)
+
+        def work(doc_id, lang, source, text):
+            ids = bpe.encode(text)
+            return doc_id, lang, source, len(ids), ids, bpe.decode(ids) == (text or "").encode()
+        return work
+
+    columns = [F.col("doc_id").cast("long"), *[F.col(c).cast("string") for c in ("lang", "source", "text")]]
+    return per_row(docs.select(*columns), "doc_id long, lang string, source string, n_tokens long, ids array<int>, intact boolean", make, rows=64)

@@ -7,7 +7,7 @@ used puts tokens that many documents share last, so that shared passages do not
 2. Groups that share a prefix token meet in a bucket; buckets with one set only are dropped at once.
 3. The groups of a bucket are expanded to their sets.  Pairs are filtered by size, by position, and by the parity bits of the
    sets: the number of different bits bounds the symmetric difference from below.  No similar pair is lost.
-4. What is wanted are connected documents, so a bucket first hands on a spanning forest of its candidate pairs.  Those are
+4. What is wanted are connected documents, so a bucket first hands on one candidate pair for each of its sets.  Those are
    verified against the whole sets.  Every candidate pair that verified links have not connected is then verified too.
    So a bucket of n copies costs n verifications, not n * n.
 
@@ -168,17 +168,7 @@ def _buckets(groups: DataFrame) -> DataFrame:
     rows = groups.select("group", "sets", F.posexplode("prefix").alias("pos", "token"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come sorted by token: a token's rows are neighbours, also across batches.
-        last: pa.RecordBatch | None = None
-        for batch in batches:
-            whole = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
-            tokens = whole.column(0).to_numpy()
-            end = int(np.searchsorted(tokens, tokens[-1])) if len(tokens) else 0
-            last = whole.slice(end)
-            if end:
-                yield several(whole.slice(0, end))
-        if last is not None:
-            yield several(last)
+        yield from map(several, _runs(batches, 1))
 
     def several(part: pa.RecordBatch) -> pa.RecordBatch:
         tokens = part.column(0).to_numpy()
@@ -194,39 +184,64 @@ def _buckets(groups: DataFrame) -> DataFrame:
     return shared.select("token", "group", "pos")
 
 
-def _pairs_of(bucket: pa.Table, forest: bool, rule: Rule) -> pa.Table:
-    """Candidate pairs of one bucket: a spanning forest of them, or all that are not connected yet."""
-    order = np.lexsort((np.array(bucket.column("print").to_pylist(), object),))
-    prints = [bucket.column("print")[int(i)].as_py() for i in order]
-    n, pos, part = (bucket.column(c).to_numpy()[order] for c in ("n", "pos", "part"))
-    roots = np.unique(np.array(bucket.column("root").to_pylist(), object)[order], return_inverse=True)[1]
-    bits = np.frombuffer(b"".join(bucket.column("bits")[int(i)].as_py() for i in order), np.uint64).reshape(len(order), -1)
-    left, right = int(bucket.column("left")[0].as_py()), int(bucket.column("right")[0].as_py())
-    label = np.arange(len(order))
-    found: list[tuple[int, int]] = []
-    for i in range(1, len(order)):
-        m = n[:i] + n[i]
-        near = (rule.below * np.minimum(n[:i], n[i]) >= rule.above * np.maximum(n[:i], n[i])) & (roots[:i] != roots[i])
-        near &= rule.enough(np.minimum(n[:i] - pos[:i], n[i] - pos[i]), m)
-        if left != right:
-            near &= part[:i] != part[i]
-        j = np.flatnonzero(near)
-        if not len(j):
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Parts of sorted input that hold whole runs of equal first ``keys`` columns (whole numbers)."""
+    last: pa.RecordBatch | None = None
+    for batch in batches:
+        whole = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+        if not whole.num_rows:
             continue
-        apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-        j = j[rule.enough((m[j] - apart) / 2, m[j])]
-        if forest:
-            # The first neighbour of every tree; buckets with the same sets choose the same pairs.
-            for k, at in zip(*np.unique(label[j], return_index=True)):
-                found.append((int(j[at]), i))
-                label[label == k] = label[i]
-        else:
-            found.extend((int(k), i) for k in j)
-    return pa.table({"a": pa.array([prints[i] for i, _ in found], pa.binary()), "b": pa.array([prints[j] for _, j in found], pa.binary())})
+        same = np.ones(whole.num_rows, bool)
+        for k in range(keys):
+            column = whole.column(k).to_numpy()
+            same &= column == column[-1]
+        end = whole.num_rows - int(same[::-1].argmin()) if not same.all() else 0
+        last = whole.slice(end)
+        if end:
+            yield whole.slice(0, end)
+    if last is not None and last.num_rows:
+        yield last
+
+
+def _pairs_of(part: pa.RecordBatch, forest: bool, rule: Rule) -> pa.RecordBatch:
+    """Candidate pairs of whole buckets (token, left, right, part, n, pos, print, root, bits; sorted by print in a bucket).
+
+    ``forest``: each set with the first one before it that fits, a linear number; buckets with the same sets choose alike.
+    """
+    token, left, right, chunk, n, pos = (part.column(k).to_numpy() for k in range(6))
+    prints = part.column(6)
+    roots = np.frombuffer(b"".join(part.column(7).to_pylist()), np.uint64).reshape(len(n), 2)
+    bits = np.frombuffer(b"".join(part.column(8).to_pylist()), np.uint64).reshape(len(n), -1)
+    begins = np.ones(len(n), bool)
+    begins[1:] = (token[1:] != token[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])
+    start = np.maximum.accumulate(np.where(begins, np.arange(len(n)), 0))
+    before = np.arange(len(n)) - start  # sets of the bucket that come before
+    many = np.cumsum(before)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    at = 0
+    while at < len(n):
+        # As many sets at a time as have about a million pairs.
+        end = max(at + 1, int(np.searchsorted(many, (many[at - 1] if at else 0) + 1_000_000, side="right")))
+        i = np.repeat(np.arange(at, end), before[at:end])
+        j = start[i] + np.arange(len(i)) - np.repeat(np.cumsum(before[at:end]) - before[at:end], before[at:end])
+        at = end
+        keep = (rule.below * np.minimum(n[i], n[j]) >= rule.above * np.maximum(n[i], n[j])) & (roots[i] != roots[j]).any(axis=1)
+        keep &= rule.enough(np.minimum(n[i] - pos[i], n[j] - pos[j]), n[i] + n[j])
+        keep &= (left[i] == right[i]) | (chunk[i] != chunk[j])
+        i, j = i[keep], j[keep]
+        apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+        keep = rule.enough((n[i] + n[j] - apart) / 2, n[i] + n[j])
+        i, j = i[keep], j[keep]
+        if forest and len(i):
+            first = np.unique(i, return_index=True)[1]
+            i, j = i[first], j[first]
+        found.append((i, j))
+    one, two = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, int) for k in (1, 0))
+    return pa.RecordBatch.from_arrays([prints.take(pa.array(one)), prints.take(pa.array(two))], names=["a", "b"])
 
 
 def _candidates(members: DataFrame, roots: DataFrame | None, forest: bool, rule: Rule) -> DataFrame:
-    """Distinct candidate pairs (a, b) from the sets of all buckets."""
+    """Distinct candidate pairs (a, b) from the sets of all buckets: some for each set (``forest``), or all not connected yet."""
     if roots is None:
         rows = members.withColumn("root", F.col("print"))
     else:
@@ -236,9 +251,14 @@ def _candidates(members: DataFrame, roots: DataFrame | None, forest: bool, rule:
     dealt = rows.join(open_, "token").withColumn("part", F.pmod(F.xxhash64("print"), "chunks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     dealt = dealt.select("*", other.alias("other")).withColumns({"left": F.least("part", "other"), "right": F.greatest("part", "other")})
-    pairs = dealt.select("token", "left", "right", "part", "print", "root", "n", "pos", "bits").groupBy("token", "left", "right").applyInArrow(
-        lambda t: _pairs_of(t, forest, rule), "a binary, b binary")
-    return pairs.distinct()
+    columns = ["token", "left", "right", "part", "n", "pos", "print", "root", "bits"]
+    sorted_ = dealt.select(*columns).repartition("token", "left", "right").sortWithinPartitions("token", "left", "right", "print")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _runs(batches, 3):
+            yield _pairs_of(part, forest, rule)
+
+    return sorted_.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
