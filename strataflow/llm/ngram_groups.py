@@ -4,7 +4,8 @@ Two sets with a similarity of 0.9 share one of the first tenth of their tokens,
 used puts tokens that many documents share last, so that shared passages do not make candidates.
 
 1. Equal sets are collapsed, then sets with the same prefix and size form one group.
-2. Groups that share a prefix token meet in a bucket; buckets with one set only are dropped at once.
+2. Groups that share a prefix token meet in a bucket; buckets with one set only are dropped at once, and of buckets with the
+   same groups one is kept.
 3. The groups of a bucket are expanded to their sets.  Pairs are filtered by size, by position, and by the parity bits of the
    sets: the number of different bits bounds the symmetric difference from below.  No similar pair is lost.
 4. What is wanted are connected documents, so a bucket first hands on one candidate pair for each of its sets.  Those are
@@ -164,7 +165,7 @@ def signatures(docs: DataFrame, common: np.ndarray, rule: Rule) -> DataFrame:
 
 
 def _buckets(groups: DataFrame) -> DataFrame:
-    """(bucket, group, pos): prefix tokens shared by several groups, and one token of each group with several sets."""
+    """(token, group, pos): the groups that share a prefix token, once for tokens with the same groups, and groups with several sets."""
     rows = groups.select("group", "sets", F.posexplode("prefix").alias("pos", "token"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,16 +173,21 @@ def _buckets(groups: DataFrame) -> DataFrame:
 
     def several(part: pa.RecordBatch) -> pa.RecordBatch:
         tokens = part.column(0).to_numpy()
-        alone = np.ones(len(tokens), bool)
-        same = tokens[1:] == tokens[:-1]
-        alone[1:][same] = False
-        alone[:-1][same] = False
-        keep = ~alone | ((part.column(3).to_numpy() > 1) & (part.column(2).to_numpy() == 0))
-        return part.filter(pa.array(keep))
+        begins = np.ones(len(tokens), bool)
+        begins[1:] = tokens[1:] != tokens[:-1]
+        start = np.flatnonzero(begins)
+        run = np.cumsum(begins) - 1
+        # A bucket is named by a sum over its groups, so that tokens with the same groups make one bucket.
+        halves = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint64).reshape(-1, 2)
+        name = np.add.reduceat(_mix(halves[:, 0] * _M1 + halves[:, 1]), start)[run]
+        keep = (np.diff(np.append(start, len(tokens)))[run] > 1) | ((part.column(3).to_numpy() > 1) & (part.column(2).to_numpy() == 0))
+        out = pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), part.column(1), part.column(2)], names=["token", "group", "pos"])
+        return out.filter(pa.array(keep))
 
     shared = (rows.select("token", "group", "pos", "sets").repartition("token").sortWithinPartitions("token")
-              .mapInArrow(run, "token long, group binary, pos int, sets long"))
-    return shared.select("token", "group", "pos")
+              .mapInArrow(run, "token long, group binary, pos int"))
+    # The earliest place counts: it bounds what two groups may share from there on.
+    return shared.groupBy("token", "group").agg(F.min("pos").alias("pos"))
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
@@ -244,11 +250,15 @@ def _candidates(members: DataFrame, roots: DataFrame | None, forest: bool, rule:
     """Distinct candidate pairs (a, b) from the sets of all buckets: some for each set (``forest``), or all not connected yet."""
     if roots is None:
         rows = members.withColumn("root", F.col("print"))
+        large = stored(rows.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > CHUNK), "large")
+        # Most often no bucket is large, and there is nothing to join.
+        dealt = rows.withColumn("size", F.lit(1)) if large.isEmpty() else rows.join(large, "token", "left")
     else:
         rows = members.join(roots.select(F.col("node").alias("print"), "root"), "print", "left").withColumn("root", F.coalesce("root", "print"))
-    open_ = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("least"), F.max("root").alias("most"))
-    open_ = open_.where("least < most").select("token", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks"))
-    dealt = rows.join(open_, "token").withColumn("part", F.pmod(F.xxhash64("print"), "chunks").cast("int"))
+        open_ = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("least"), F.max("root").alias("most"))
+        dealt = rows.join(open_.where("least < most").select("token", "size"), "token")
+    dealt = dealt.withColumn("chunks", F.ceil(F.coalesce("size", F.lit(1)) / CHUNK).cast("int"))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("print"), "chunks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     dealt = dealt.select("*", other.alias("other")).withColumns({"left": F.least("part", "other"), "right": F.greatest("part", "other")})
     columns = ["token", "left", "right", "part", "n", "pos", "print", "root", "bits"]
