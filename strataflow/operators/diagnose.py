@@ -85,33 +85,34 @@ def task_report_blocks(task_runs: DataFrame, diagnosis: DataFrame) -> DataFrame:
     return joined.select("job_id", "task_run_id", text.alias("block_text"))
 
 
-def error_report(groups: DataFrame, job: str = "job_id") -> DataFrame:
-    """The error report of every job as ordered text rows ``(job_id, section, seq, text)``.
+def error_report(groups: DataFrame, labels: DataFrame, job: str = "job_id") -> DataFrame:
+    """The error report of every job as ordered text rows ``(job_id, section, seq, line, text)``.
 
-    Sections: 0 heading, 1 summary by error type, 2 one block per error group.  ``groups`` has one row per (job, task,
-    message, part) with ``runs``, ``error_type``, ``severity_score`` and ``diagnosis``.  The report stays rows, sorted when written,
-    so a job with any number of errors never becomes one value.
+    Sections: 0 heading, 1 summary by error type, 2 the error groups: line 0 is a group's head, line 1 one row per run label,
+    line 2 its message and diagnosis.  ``groups`` has one row per (job, task, message) with ``error_type``, ``severity_score`` and
+    ``diagnosis``; ``labels`` one row per group and run.  The report stays rows, sorted by all of its columns when written, so
+    neither a job nor a group of any size ever becomes one value.
     """
-    # Every section reads the groups: they are stored once instead of being worked out four times.
-    groups = stage(groups, "error-groups")
+    keys = [job, "task_name", "message"]
+    # Groups are numbered in the order of their keys: range partitions of the sorted keys are the blocks of the numbering.
+    ranged = groups.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
+    groups = stage(ranged, "error-groups")
+    numbered = running_index(groups, [job], ["task_name", "message"], F.col("_range"), "seq").drop("_range")
     kind = F.coalesce(F.col("error_type"), F.lit(DEFAULT_ERROR_TYPE))
-    whole = groups.select(job, "task_name", "message", "error_type").dropDuplicates([job, "task_name", "message"])
+    zero = F.lit(0).cast("bigint")
     heading = groups.select(job).distinct().select(
-        job, F.lit(0).alias("section"), F.lit(0).cast("bigint").alias("seq"),
+        job, F.lit(0).alias("section"), zero.alias("seq"), F.lit(0).alias("line"),
         F.concat(F.lit("Job ID: "), F.col(job).cast("string"), F.lit("\n\nError Summary:")).alias("text"))
-    counts = whole.groupBy(job, kind.alias("error_type")).agg(F.count(F.lit(1)).alias("n"))
+    counts = groups.groupBy(job, kind.alias("error_type")).agg(F.count(F.lit(1)).alias("n"))
     # Few error types per job: a plain window over the counts is small.
     summary = counts.select(job, F.lit(1).alias("section"),
-                            F.row_number().over(Window.partitionBy(job).orderBy("error_type")).cast("bigint").alias("seq"),
+                            F.row_number().over(Window.partitionBy(job).orderBy("error_type")).cast("bigint").alias("seq"), F.lit(0).alias("line"),
                             F.concat(F.lit("- "), F.col("error_type"), F.lit(": "), F.col("n").cast("string")).alias("text"))
-    keys = whole.select(job, "task_name", "message")
-    # The block key only has to grow with (task, message); the numbering itself compares whole messages.
-    block = F.struct(F.col("task_name"), F.left(F.col("message"), F.lit(16)).alias("head"))
-    numbers = running_index(keys, [job], ["task_name", "message"], block, "seq")
-    body = groups.join(numbers, [job, "task_name", "message"]).select(
-        job, F.lit(2).alias("section"), "seq",
-        F.format_string("Error Group %d [%s - %s]\nTask: %s\nRuns: %s\nMessage: %s\nDiagnosis: %s",
-                        F.col("seq"), kind, F.coalesce("severity_score", F.lit("Medium")), F.col("task_name"),
-                        F.array_join("runs", ", "), F.col("message"),
-                        F.coalesce("diagnosis", F.lit("No diagnosis available."))).alias("text"))
-    return heading.unionByName(summary).unionByName(body)
+    numbered = stage(numbered, "numbered-groups")
+    head = F.format_string("Error Group %d [%s - %s]\nTask: %s", F.col("seq"), kind, F.coalesce("severity_score", F.lit("Medium")), F.col("task_name"))
+    tail = F.format_string("Message: %s\nDiagnosis: %s", F.col("message"), F.coalesce("diagnosis", F.lit("No diagnosis available.")))
+    body = numbered.select(job, F.lit(2).alias("section"), "seq", F.inline(F.array(
+        F.struct(F.lit(0).alias("line"), head.alias("text")), F.struct(F.lit(2).alias("line"), tail.alias("text")))))
+    runs = labels.join(numbered.select(*keys, "seq"), keys).select(
+        job, F.lit(2).alias("section"), "seq", F.lit(1).alias("line"), F.concat(F.lit("Run: "), "runs").alias("text"))
+    return heading.unionByName(summary).unionByName(body).unionByName(runs)

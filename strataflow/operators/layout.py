@@ -1,4 +1,4 @@
-"""Physical layout helpers: spreading small inputs and storing shared intermediate results."""
+"""Physical layout helpers: storing shared intermediate results."""
 
 from __future__ import annotations
 
@@ -7,24 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SPLIT_BYTES = 128 << 20
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Size of a frame as the optimizer estimates it (file sizes for a plain scan)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_if_small(df: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Repartition an input too small to give every core a split of its own.
-
-    For CPU-heavy work on a few small files.  The shuffle moves less than ``split_bytes`` per core; inputs above that
-    have enough splits and pass through untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if plan_bytes(df) < split_bytes * cores else df
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a temporary folder only in local mode, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,8 +23,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Store an intermediate result that several branches of a plan read, and return the stored table.
 
     The table lives in the shared folder, so the work before it is done once and losing an executor does not bring it
-    back.
+    back.  Results are lazy and may read it until the application ends; then it is deleted.  :func:`release` deletes it
+    earlier.
     """
-    path = f"{shared_folder(df.sparkSession)}/staged/{label}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/staged/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    _STAGED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_STAGED: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Delete everything staged so far, once the results that read it are written; the number of tables deleted."""
+    paths, _STAGED[:] = list(_STAGED), []
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)

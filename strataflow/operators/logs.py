@@ -66,20 +66,20 @@ def parse_error_log(lines: DataFrame, source: str = "source", order: str = "line
         "task_name", "message")
 
 
-def group_errors(parsed: DataFrame, max_runs: int = 10_000) -> DataFrame:
-    """Errors by job, task and message with their distinct run labels, sorted.
+GROUP_KEYS = ["job_id", "task_name", "message"]
 
-    ``(job_id, task_name, message, part, n_runs, runs)``: a group of up to ``max_runs`` labels is one row with part 0; a
-    larger one is spread over several parts, so that no single row or task has to hold all labels of a group and none is lost.
+
+def error_labels(parsed: DataFrame) -> DataFrame:
+    """The distinct run labels of every job, task and message, one row each: ``(job_id, task_name, message, runs)``."""
+    return parsed.select(*GROUP_KEYS, "runs").distinct()
+
+
+def group_errors(labels: DataFrame) -> DataFrame:
+    """Errors by job, task and message: ``(job_id, task_name, message, n_runs)``, one row per group of any size.
+
+    The labels themselves stay a table (:func:`error_labels`): a group may have any number of them.
     """
-    keys = ["job_id", "task_name", "message"]
-    distinct = parsed.select(*keys, "runs").distinct()
-    sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_runs"))
-    joined = distinct.join(sizes, keys)
-    parts = F.ceil(F.col("n_runs") / F.lit(max_runs))
-    part = F.when(parts > 1, F.pmod(F.xxhash64("runs"), parts)).otherwise(F.lit(0).cast("bigint"))
-    return joined.withColumn("part", part).groupBy(*keys, "part", "n_runs").agg(
-        F.array_sort(F.collect_list("runs")).alias("runs"))
+    return labels.groupBy(*GROUP_KEYS).agg(F.count(F.lit(1)).alias("n_runs"))
 
 
 def number_error_groups(errors: DataFrame, job: str = "job_id", order: str = "ord", task: str = "task_key",

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.diagnose import (CLASSIFICATION_LABELS, DIAGNOSIS_LABELS, diagnosis_text, error_report, parse_labels)
-from ..operators.logs import group_errors, parse_error_log
+from ..operators.layout import stage
+from ..operators.logs import error_labels, group_errors, parse_error_log
 from ..sources.files import newest_file, read_log_lines
 from ..sources.sinks import write_report
 
@@ -23,8 +24,8 @@ def diagnosed_groups(groups: DataFrame, classifications: DataFrame, diagnoses: D
 
 def report_of(lines: DataFrame, classifications: DataFrame, diagnoses: DataFrame, **log_columns) -> DataFrame:
     """Report rows for log lines and response tables."""
-    groups = group_errors(parse_error_log(lines, **log_columns))
-    return error_report(diagnosed_groups(groups, classifications, diagnoses))
+    labels = stage(error_labels(parse_error_log(lines, **log_columns)), "error-labels")
+    return error_report(diagnosed_groups(group_errors(labels), classifications, diagnoses), labels)
 
 
 def run(spark: SparkSession, log_folder: str, classifications: DataFrame, diagnoses: DataFrame, out: str) -> str | None:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from ..operators.layout import plan_bytes
-from ..session import size_shuffles
 from ..sources.files import RAW_LINE, archive_files, list_files, read_files
 from ..sources.lake import Lake
 
@@ -27,9 +25,7 @@ def take_in(lake: Lake, folder: str, bronze: str, as_of: Column | None = None, e
 
 
 def bronze_lines(lake: Lake, bronze: str) -> DataFrame:
-    lines = lake.read(bronze, BRONZE_LINE)
-    size_shuffles(lake.spark, plan_bytes(lines))
-    return lines
+    return lake.read(bronze, BRONZE_LINE).select(*BRONZE_LINE.names)
 
 
 def archive(lake: Lake, paths, folder: str, target: str | None) -> None:

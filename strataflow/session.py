@@ -35,18 +35,6 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 128 << 20, most: int = 200_000) -> None:
-    """Raise the number of shuffle partitions adaptive execution starts from to fit an input of this size.
-
-    It is never lowered: adaptive execution merges small partitions by itself, but it cannot add any beyond this number.
-    """
-    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = int(spark.conf.get(setting, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(most, -(-input_bytes // target_bytes))
-    if wanted > current:
-        spark.conf.set(setting, str(wanted))
-
-
 def stream_checkpoint(spark: SparkSession, name: str, explicit: str | None = None) -> str:
     """Checkpoint location of a stream: given, or below the cluster's shared ``spark.checkpoint.dir``."""
     if explicit:

@@ -12,6 +12,8 @@ from ..operators.upsert import absent
 
 LAYERS = ("bronze", "silver", "gold")
 CLOSED_BATCH = "closed_batch"
+#: Partition column of bronze tables: one value per run or micro-batch.
+BATCH = "ingest_batch"
 NOT_CLOSED = "open"
 SCD_PARTITIONS = ["is_current", CLOSED_BATCH]
 
@@ -72,18 +74,47 @@ class Lake:
 
         Aligning needs the schemas of all files; turn it off for tables whose columns never change.
         """
+        if self.streamed(name):
+            raise ValueError(f"{name} is written by a file stream, whose log hides files appended beside it")
         if align and self.exists(name):
-            known = self.read(name, evolving=True).schema
-            missing = [f for f in known.fields if f.name not in df.columns]
-            df = df.select(*[F.col(f"`{c}`").cast(known[c].dataType).alias(c) if c in known.fieldNames() else F.col(f"`{c}`")
-                             for c in df.columns],
-                           *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+            df = self._aligned(df, name)
         df.write.mode("append").partitionBy(*partition_by).parquet(self.path(name))
 
-    def write_bronze(self, df: DataFrame, name: str, as_of: Column | None = None, align: bool = True) -> None:
-        """Append raw rows stamped with one ``ingest_timestamp``."""
+    def _aligned(self, df: DataFrame, name: str) -> DataFrame:
+        known = self.read(name, evolving=True).schema
+        missing = [f for f in known.fields if f.name not in df.columns]
+        return df.select(*[F.col(f"`{c}`").cast(known[c].dataType).alias(c) if c in known.fieldNames() else F.col(f"`{c}`")
+                           for c in df.columns],
+                         *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+
+    def streamed(self, name: str) -> bool:
+        """Whether a file sink keeps a log in the table's folder."""
+        fs, path = self._file_system(f"{self.path(name)}/_spark_metadata")
+        return fs.exists(path)
+
+    def partition_columns(self, name: str) -> list[str]:
+        """Partition columns of a table, read from its folders."""
+        fs, path = self._file_system(self.path(name))
+        found = []
+        while True:
+            folders = [s.getPath() for s in fs.listStatus(path) if s.isDirectory() and "=" in s.getPath().getName()]
+            if not folders:
+                return found
+            path = folders[0]
+            found.append(path.getName().split("=")[0])
+
+    def write_bronze(self, df: DataFrame, name: str, as_of: Column | None = None, align: bool = True, batch: str | None = None) -> None:
+        """Add raw rows stamped with one ``ingest_timestamp``; the one writer of bronze tables, for batch runs and streams.
+
+        Every batch is a partition of its own, named by ``batch`` or a fresh name.  Writing a named batch again replaces it,
+        so an interrupted batch that is handed over again is not doubled.
+        """
         stamp = F.current_timestamp() if as_of is None else as_of
-        self.append(df.withColumn("ingest_timestamp", stamp), name, align=align)
+        rows = df.withColumn("ingest_timestamp", stamp).withColumn(BATCH, F.lit(batch or f"run-{uuid.uuid4().hex}"))
+        if align and self.exists(name):
+            rows = self._aligned(rows, name)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(self.path(name))
+        self.spark.catalog.refreshByPath(self.path(name))
 
     def overwrite(self, df: DataFrame, name: str, partition_by=()) -> None:
         """Replace the table's data and schema.
@@ -108,13 +139,27 @@ class Lake:
             fs.delete(retired_path, True)
         self.spark.catalog.refreshByPath(target)
 
-    def replace_partitions(self, df: DataFrame, name: str, partition_by) -> None:
-        """Delete-insert: exactly the partitions present in the batch are replaced, the others are not read or touched."""
+    def replace_partitions(self, df: DataFrame, name: str, partition_by, dates: DataFrame | None = None) -> None:
+        """Delete-insert: exactly the partitions present in the batch are replaced, the others are not read or touched.
+
+        ``dates``: all values (one column) of a single partition column that are to be replaced, also those for which ``df`` has
+        no rows any more; their partitions are dropped.
+        """
         columns = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+        if dates is not None:
+            wanted = {r[0] for r in dates.distinct().collect()}
         rows = _grouped(df, columns)
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(self.path(name))
+        if dates is not None:
+            self._drop_untouched(name, columns[0], wanted, {r[0] for r in df.select(columns[0]).distinct().collect()})
         self.spark.catalog.refreshByPath(self.path(name))
 
+    def _drop_untouched(self, name: str, column: str, wanted: set, written: set) -> None:
+        for value in wanted - written:
+            text = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+            fs, path = self._file_system(f"{self.path(name)}/{column}={text}")
+            fs.delete(path, True)
+
     def insert_absent(self, df: DataFrame, name: str, key: str, partition_by=()) -> None:
         """Append the rows whose key the table lacks."""
         fresh = absent(df, self.read(name).select(key), key) if self.exists(name) else df
@@ -148,7 +193,7 @@ class Lake:
         df = self.read(name, evolving=True)
         new = {c: F.lit(None).cast(kind) for c, kind in columns.items() if c not in df.columns}
         if new:
-            self.overwrite(df.withColumns(new), name)
+            self.overwrite(df.withColumns(new), name, self.partition_columns(name))
 
     def preview(self, name: str) -> DataFrame:
         """One row: row count, schema text and a first row as JSON."""

@@ -29,6 +29,6 @@ def write_report(report: DataFrame, path: str, job: str = "job_id", mode: str =
 
     Range partitioning by job and position lets a long report span several files, which sort by name.
     """
-    ordered = report.repartitionByRange(F.col(job), F.col("section"), F.col("seq")) \
-        .sortWithinPartitions(job, "section", "seq")
+    ordered = report.repartitionByRange(F.col(job), F.col("section"), F.col("seq"), F.col("line"), F.col("text")) \
+        .sortWithinPartitions(job, "section", "seq", "line", "text")
     ordered.select(job, "text").write.mode(mode).partitionBy(job).text(path)

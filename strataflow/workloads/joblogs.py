@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import diagnose
 from ..operators.blocks import integer_block
-from ..operators.logs import group_errors, number_error_groups, parse_error_log
+from ..operators.layout import stage
+from ..operators.logs import GROUP_KEYS, error_labels, group_errors, number_error_groups, parse_error_log
 from ..plans.error_report import diagnosed_groups
 from .cleaning import stamp
 from .jobruns import TASK_RUNS_SQL, diagnoses, task_runs
@@ -62,12 +63,13 @@ def parse_error_log_query(t):
 
 @query("group_errors", f"""
     WITH {PARSED_SQL}
-    SELECT job_id, task_name, message, count(DISTINCT runs) AS n_runs, string_agg(DISTINCT runs, ',' ORDER BY runs) AS runs
-    FROM parsed GROUP BY job_id, task_name, message
+    SELECT DISTINCT job_id, task_name, message, runs,
+           len(list(DISTINCT runs) OVER (PARTITION BY job_id, task_name, message))::BIGINT AS n_runs FROM parsed
 """)
 def group_errors_query(t):
-    groups = group_errors(parsed_log(t))
-    return groups.select("job_id", "task_name", "message", "n_runs", F.array_join("runs", ",").alias("runs"))
+    """Every group with the number of its run labels, beside each label."""
+    labels = error_labels(parsed_log(t))
+    return labels.join(group_errors(labels), GROUP_KEYS).select(*GROUP_KEYS, "runs", "n_runs")
 
 
 @query("group_errors_in_parts", f"""
@@ -75,13 +77,28 @@ def group_errors_query(t):
     SELECT message, count(*) AS labels, CAST(sum(length(runs)) AS BIGINT) AS characters FROM g GROUP BY message
 """)
 def group_errors_in_parts(t):
-    """Groups far larger than the part size: every label survives the split exactly once."""
+    """Large groups: every label of a message over all jobs and tasks counts exactly once."""
     parsed = parsed_log(t).withColumns({"job_id": F.lit("all"), "task_name": F.lit("all")})
-    parts = group_errors(parsed, max_runs=20)
-    labels = F.col("runs")
-    sizes = parts.select("message", F.size(labels).alias("n"),
-                         F.aggregate(labels, F.lit(0), lambda acc, x: acc + F.length(x)).alias("chars"))
-    return sizes.groupBy("message").agg(F.sum("n").alias("labels"), F.sum("chars").alias("characters"))
+    return error_labels(parsed).groupBy("message").agg(F.count(F.lit(1)).alias("labels"), F.sum(F.length("runs")).alias("characters"))
+
+
+ONE_GROUP_SQL = f"""
+    WITH {PARSED_SQL}, g AS (SELECT DISTINCT runs FROM parsed), n AS (SELECT count(*) AS n FROM g)
+    SELECT 0 AS section, CAST(0 AS BIGINT) AS seq, 0 AS line, 'Job ID: all' || chr(10) || chr(10) || 'Error Summary:' AS text FROM n WHERE n > 0
+    UNION ALL SELECT 1, 1, 0, '- OTHER_ERROR: 1' FROM n WHERE n > 0
+    UNION ALL SELECT 2, 1, 0, 'Error Group 1 [OTHER_ERROR - Medium]' || chr(10) || 'Task: all' FROM n WHERE n > 0
+    UNION ALL SELECT 2, 1, 1, 'Run: ' || runs FROM g
+    UNION ALL SELECT 2, 1, 2, 'Message: all' || chr(10) || 'Diagnosis: No diagnosis available.' FROM n WHERE n > 0
+"""
+
+
+@query("error_report_one_group", ONE_GROUP_SQL)
+def error_report_one_group(t):
+    """One group that holds all labels: one head, every label once."""
+    everything = {k: F.lit("all") for k in GROUP_KEYS}
+    labels = stage(error_labels(parsed_log(t).withColumns(everything)), "error-labels")
+    answers = {c: F.lit(None).cast("string") for c in ("error_type", "severity_score", "diagnosis")}
+    return diagnose.error_report(group_errors(labels).withColumns(answers), labels).select("section", "seq", "line", "text")
 
 
 NUMBERED_SQL = """
@@ -185,26 +202,29 @@ def task_report_blocks(t):
 @query("error_report", f"""
     WITH {PARSED_SQL},
     groups AS (
-        SELECT job_id, task_name, message, string_agg(DISTINCT runs, ', ' ORDER BY runs) AS runs,
+        SELECT job_id, task_name, message,
                CASE WHEN message = 'plain failure' THEN 'CLUSTER_ERROR' ELSE 'OTHER_ERROR' END AS error_type,
                CASE WHEN message = 'plain failure' THEN 'High' ELSE 'Medium' END AS severity,
                CASE WHEN message = 'plain failure' THEN concat('Summary: s', chr(10), 'Root Cause: ', chr(10), 'Next Steps: ', chr(10),
                    'Action Owner: ') ELSE 'No diagnosis available.' END AS diagnosis
-        FROM parsed GROUP BY job_id, task_name, message)
-    SELECT DISTINCT job_id, 0 AS section, CAST(0 AS BIGINT) AS seq, 'Job ID: ' || job_id || chr(10) || chr(10) || 'Error Summary:' AS text FROM groups
+        FROM parsed GROUP BY job_id, task_name, message),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY task_name, message) AS seq FROM groups)
+    SELECT DISTINCT job_id, 0 AS section, CAST(0 AS BIGINT) AS seq, 0 AS line, 'Job ID: ' || job_id || chr(10) || chr(10) || 'Error Summary:' AS text FROM groups
     UNION ALL
-    SELECT job_id, 1, row_number() OVER (PARTITION BY job_id ORDER BY error_type), '- ' || error_type || ': ' || n
+    SELECT job_id, 1, row_number() OVER (PARTITION BY job_id ORDER BY error_type), 0, '- ' || error_type || ': ' || n
     FROM (SELECT job_id, error_type, count(*) AS n FROM groups GROUP BY job_id, error_type)
     UNION ALL
-    SELECT job_id, 2, seq, concat('Error Group ', seq, ' [', error_type, ' - ', severity, ']', chr(10), 'Task: ', task_name, chr(10), 'Runs: ', runs,
-           chr(10), 'Message: ', message, chr(10), 'Diagnosis: ', diagnosis)
-    FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY task_name, message) AS seq FROM groups)
+    SELECT job_id, 2, seq, 0, concat('Error Group ', seq, ' [', error_type, ' - ', severity, ']', chr(10), 'Task: ', task_name) FROM numbered
+    UNION ALL
+    SELECT job_id, 2, seq, 2, concat('Message: ', message, chr(10), 'Diagnosis: ', diagnosis) FROM numbered
+    UNION ALL
+    SELECT DISTINCT job_id, 2, seq, 1, 'Run: ' || runs FROM numbered JOIN parsed USING (job_id, task_name, message)
 """)
 def error_report(t):
     """Log to report; answers exist for the plain failures only."""
-    groups = group_errors(parsed_log(t))
+    labels = stage(error_labels(parsed_log(t)), "error-labels")
     answered = t.events.filter(F.col("event_type") == "click").select(
         F.concat(F.lit("step-"), F.get_json_object("props", "$.k")).alias("task_name"), F.lit("plain failure").alias("message")).distinct()
     kinds = answered.withColumn("response", F.lit("ERROR_TYPE: CLUSTER_ERROR\nCONFIDENCE: High"))
     details = answered.withColumn("response", F.lit("SUMMARY: s\nSEVERITY: High"))
-    return diagnose.error_report(diagnosed_groups(groups, kinds, details))
+    return diagnose.error_report(diagnosed_groups(group_errors(labels), kinds, details), labels)

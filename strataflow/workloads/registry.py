@@ -7,8 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.layout import plan_bytes, spread_if_small
-from ..session import apply_runtime_conf, size_shuffles
+from ..session import apply_runtime_conf
 
 
 class Tables:
@@ -19,15 +18,19 @@ class Tables:
         self._folder = folder.rstrip("/")
 
     def spread(self, name: str) -> DataFrame:
-        """A table for CPU-heavy work: spread over all cores when it is too small to have enough splits."""
-        return spread_if_small(getattr(self, name))
+        """A table for CPU-heavy work.
+
+        Files of one row group are one task.  A session that reads such files names the number of partitions to spread them
+        over in ``strataflow.spread``; without that setting rows stay where they are read, whatever their size.
+        """
+        parts = self.spark.conf.get("strataflow.spread", None)
+        table = getattr(self, name)
+        return table.repartition(int(parts)) if parts else table
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        table = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
-        size_shuffles(self.spark, plan_bytes(table))
-        return table
+        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
 
 
 @dataclass(frozen=True)

@@ -3,7 +3,9 @@ import time
 
 from pyspark.sql import functions as F
 
-from strataflow.operators.logs import group_errors, number_error_groups, parse_error_log
+from strataflow.operators.logs import error_labels, group_errors, number_error_groups, parse_error_log
+from strataflow.operators.diagnose import error_report as build_report
+from strataflow.operators.layout import release
 from strataflow.plans import error_report
 from strataflow.sources.files import newest_file, read_log_lines
 
@@ -58,12 +60,36 @@ def test_log_without_job_id(spark):
     assert parsed(parse_error_log(df)) == [("", "UNKNOWN", "s", "m")]
 
 
-def test_groups_split_into_parts_lose_nothing(spark):
+def test_a_large_group_is_one_head_and_its_labels(spark):
     df = spark.range(1000).select(F.lit("j").alias("job_id"), F.lit("t").alias("task_name"), F.lit("m").alias("message"), F.concat(F.lit("r"), "id").alias("runs"))
-    small = group_errors(df).collect()
-    assert len(small) == 1 and len(small[0].runs) == 1000 and small[0].runs == sorted(small[0].runs)
-    parts = group_errors(df, max_runs=100).collect()
-    assert len(parts) > 1 and sorted(x for p in parts for x in p.runs) == sorted(small[0].runs)
+    labels = error_labels(df.union(df))
+    assert labels.count() == 1000 and [r.n_runs for r in group_errors(labels).collect()] == [1000]
+    answers = {c: F.lit(None).cast("string") for c in ("error_type", "severity_score", "diagnosis")}
+    report = build_report(group_errors(labels).withColumns(answers), labels)
+    assert report.where("section = 2 and line <> 1").count() == 2 and report.where("line = 1").select("text").distinct().count() == 1000
+
+
+def test_report_numbers_do_not_depend_on_blocks(spark):
+    rows = [("j", f"task {'x' * 20}{i % 7}", f"Task failed with {i:03d}") for i in range(60)]
+    labels = spark.createDataFrame([(*r, "run") for r in rows], "job_id string, task_name string, message string, runs string")
+    answers = {c: F.lit(None).cast("string") for c in ("error_type", "severity_score", "diagnosis")}
+    seen = []
+    for parts in ("1", "9"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            report = build_report(group_errors(labels).withColumns(answers), labels)
+            seen.append(sorted(map(tuple, report.collect())))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert seen[0] == seen[1] and [r[2] for r in seen[0] if r[1] == 2 and r[3] == 0] == list(range(1, 61))
+
+
+def test_staged_tables_are_released(spark):
+    release(spark)
+    labels = spark.createDataFrame([("j", "t", "m", "r")], "job_id string, task_name string, message string, runs string")
+    answers = {c: F.lit(None).cast("string") for c in ("error_type", "severity_score", "diagnosis")}
+    build_report(group_errors(labels).withColumns(answers), labels).collect()
+    assert release(spark) == 2 and release(spark) == 0
 
 
 def test_numbering(spark):
@@ -86,4 +112,4 @@ def test_report_from_the_newest_file(spark, tmp_path):
     assert path.endswith("new.log")
     text = "\n".join(r.value for r in spark.read.text(str(tmp_path / "out")).collect())
     assert "- TYPE_ERROR: 1" in text and "- OTHER_ERROR: 2" in text and "Error Group 2 [TYPE_ERROR - High]" in text
-    assert "Runs: 901_2026-02-23 08:00:00, 911_2026-02-23 08:30:00" in text
+    assert "Run: 901_2026-02-23 08:00:00\nRun: 911_2026-02-23 08:30:00" in text

@@ -89,17 +89,3 @@ def test_partitioned_writes_make_few_files(spark, lake, tmp_path):
     for table in ("t", "u"):
         assert len(list((tmp_path / "lake" / "gold" / table).rglob("*.parquet"))) == 5
     assert lake.read("c.gold.t").count() == 4000
-
-
-def test_shuffle_partitions_follow_the_input(spark):
-    from strataflow.session import size_shuffles
-    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    try:
-        size_shuffles(spark, 1 << 20)
-        assert spark.conf.get(setting, None) is None
-        size_shuffles(spark, 100 << 40)
-        assert spark.conf.get(setting) == "200000"
-        size_shuffles(spark, 1 << 40)
-        assert spark.conf.get(setting) == "200000"
-    finally:
-        spark.conf.unset(setting)

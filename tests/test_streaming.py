@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from strataflow.operators.scd import VERSION_COLUMNS  # noqa: F401
-from strataflow.plans import attendance, employee
+from strataflow.plans import attendance, employee, intake
 from strataflow.streaming import ingest
 
 
@@ -58,3 +58,47 @@ def test_dimension_stream(spark, lake, tmp_path):
     run("2026-02-01"), run("2026-03-01")
     got = sorted((r.first_name, r.is_current, str(r.valid_to)) for r in lake.read("hr.gold.dim").collect())
     assert got == [("J", 0, "2026-02-01 00:00:00"), ("K", 1, "None")]
+
+
+def test_batch_and_stream_share_a_bronze_table(spark, lake, tmp_path):
+    source, archive = tmp_path / "in", tmp_path / "batch"
+    (tmp_path / "none").mkdir()
+    put(source, "a.jsonl", [day("2026-02-23", "7", "08:00"), day("2026-02-24", "7", "07:00")])
+    put(archive, "b.jsonl", [day("2026-02-25", "7", "08:00"), day("2026-02-25", "8", "07:00"), day("2026-02-25", "9", "07:00")])
+    for table, order in (("hr.bronze.x", "sb"), ("hr.bronze.y", "bs")):
+        for kind in order:
+            if kind == "s":
+                drain(ingest.ingest_to_bronze(lake, str(source), table, str(tmp_path / f"c-{table}")))
+            else:
+                intake.take_in(lake, str(archive), table)
+        assert intake.bronze_lines(lake, table).count() == 5
+        drain(ingest.ingest_to_bronze(lake, str(source), table, str(tmp_path / f"c-{table}")))
+        assert intake.take_in(lake, str(tmp_path / "none"), table) == [] and intake.bronze_lines(lake, table).count() == 5
+
+
+def test_a_repeated_micro_batch_replaces_itself(spark, lake):
+    rows = spark.createDataFrame([("a",), ("b",)], "raw_json string")
+    for _ in range(2):
+        lake.write_bronze(rows, "hr.bronze.z", align=False, batch="stream-1-0")
+    lake.write_bronze(rows, "hr.bronze.z", align=False)
+    assert intake.bronze_lines(lake, "hr.bronze.z").count() == 4
+
+
+def test_a_moved_key_leaves_no_row_and_no_partition_behind(spark, lake, tmp_path):
+    def batch(*rows):
+        return spark.createDataFrame(rows, "id int, d string, t int").withColumn("d", F.to_date("d"))
+    ingest.latest_into_partitions(lake, batch((1, "2026-01-01", 1), (2, "2026-01-02", 1), (3, "2026-01-02", 1)), "c.silver.m", ["id"], ["t"], "d")
+    for _ in range(2):
+        ingest.latest_into_partitions(lake, batch((1, "2026-01-05", 2), (2, "2026-01-05", 2)), "c.silver.m", ["id"], ["t"], "d")
+    got = sorted((r.id, str(r.d)) for r in lake.read("c.silver.m").collect())
+    assert got == [(1, "2026-01-05"), (2, "2026-01-05"), (3, "2026-01-02")]
+
+
+def test_added_columns_keep_the_partitions(spark, lake):
+    df = spark.range(10).select("id", F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 5).cast("int")).alias("d"))
+    lake.replace_partitions(df, "c.gold.p", "d")
+    lake.add_columns("c.gold.p", {"note": "string"})
+    assert lake.partition_columns("c.gold.p") == ["d"]
+    one = df.where("d = '2026-01-03'").withColumn("note", F.lit("new"))
+    lake.replace_partitions(one, "c.gold.p", "d")
+    assert lake.read("c.gold.p", evolving=True).count() == 10
