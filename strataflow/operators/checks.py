@@ -116,10 +116,18 @@ def mask_table(df: DataFrame, columns=None) -> DataFrame:
     return df.select([pii.mask_pii(cell_text(df, c)).alias(c) if c in chosen else _cell(c) for c in df.columns])
 
 
+METADATA = "ARRAY<STRUCT<name: STRING, type_name: STRING, nullable: BOOLEAN, pii: BOOLEAN>>"
+
+
 def parse_metadata(tables: DataFrame, metadata_col: str = "metadata") -> DataFrame:
     """Decode the JSON column list of each table row."""
-    ddl = "ARRAY<STRUCT<name: STRING, type_name: STRING, nullable: BOOLEAN, pii: BOOLEAN>>"
-    return tables.withColumn("columns", F.from_json(F.col(metadata_col), ddl)).drop(metadata_col)
+    return tables.withColumn("columns", F.from_json(F.col(metadata_col), METADATA)).drop(metadata_col)
+
+
+def metadata_rows(tables: DataFrame, *keep, metadata_col: str = "metadata") -> DataFrame:
+    """One row per listed column.  The list is decoded inside the generator: in a projection before it, the filter that the
+    optimizer puts there would decode it again."""
+    return tables.select(*keep, F.inline(F.flatten(F.transform(F.array(metadata_col), lambda m: F.from_json(m, METADATA)))))
 
 
 def rules_of_table(tables: DataFrame, table_id, id_col: str = "table_id") -> dict:

@@ -85,9 +85,12 @@ def apply_snapshot(history: DataFrame, snapshot: DataFrame, key: str, as_of: Col
 
 
 def first_history(snapshot: DataFrame, surrogate: str | None = None) -> DataFrame:
-    """Empty dimension with the snapshot's columns plus the version columns, for a first load."""
+    """Empty dimension with the snapshot's columns plus the version columns, for a first load.
+
+    The optimizer sees that it is empty and drops the join with it.
+    """
     columns = [F.col(f"`{c}`") for c in snapshot.columns]
     columns += [F.lit(None).cast(kind).alias(n) for n, kind in VERSION_COLUMNS.items() if n not in snapshot.columns]
     if surrogate:
         columns.append(F.lit(None).cast("bigint").alias(surrogate))
-    return snapshot.sparkSession.createDataFrame([], snapshot.select(*columns).schema)
+    return snapshot.select(*columns).limit(0)

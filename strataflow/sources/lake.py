@@ -177,7 +177,7 @@ class Lake:
         moment = self.spark.range(1).select(F.date_format(stamp, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")).first().t
         now, batch = F.lit(moment).cast("timestamp"), "at" + "".join(c for c in moment if c.isdigit())
         first_run = not self.exists(name)
-        table = self.spark.createDataFrame([], first_history(snapshot, surrogate).schema) if first_run else self.read(name)
+        table = first_history(snapshot, surrogate) if first_run else self.read(name)
         if not first_run and not expire_missing:
             table = table.filter((F.col("is_current") == 1) | (F.col(CLOSED_BATCH) == batch))
         versions = apply_snapshot(table.drop(CLOSED_BATCH), snapshot, key, now, surrogate=surrogate, expire_missing=expire_missing)

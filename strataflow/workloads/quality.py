@@ -44,12 +44,14 @@ def expectations_report(t):
 
 
 @query("dq_missing_unexpected", """
-    SELECT * FROM (VALUES ('tax_id', 'missing_column'), ('c_acctbal', 'unexpected_column'), ('c_mktsegment', 'unexpected_column'))
-        AS v("column", issue)
+    WITH f AS (SELECT DISTINCT p_type AS c FROM part), e AS (SELECT unnest(['PROMO', 'SMALL', 'tax_id']) AS c)
+    SELECT c AS "column", 'missing_column' AS issue FROM e WHERE c NOT IN (SELECT c FROM f)
+    UNION ALL SELECT c, 'unexpected_column' FROM f WHERE c NOT IN (SELECT c FROM e)
 """)
 def dq_missing_unexpected(t):
-    expected = ("c_custkey", "c_name", "c_nationkey", "tax_id")
-    return schema_issues(t.spark, t.customer.columns, expected).select("column", "issue")
+    """Columns that a pivot of the parts by type would have, against the expected ones: the names come from the whole table."""
+    found = [r.p_type for r in t.part.select("p_type").distinct().collect()]
+    return schema_issues(t.spark, found, ("PROMO", "SMALL", "tax_id")).select("column", "issue")
 
 
 def typed_as_text(t):
@@ -319,7 +321,7 @@ def table_metadata(t):
                  F.lit(False).alias("pii")),
         F.struct(F.col("p_name").alias("name"), F.lit("string").alias("type_name"), F.lit(True).alias("nullable"),
                  F.lit(None).cast("boolean").alias("pii")))).alias("metadata"))
-    return checks.parse_metadata(tables).select("table_id", F.inline("columns"))
+    return checks.metadata_rows(tables, "table_id")
 
 
 @query("dq_validate_table", f"""
