@@ -39,7 +39,7 @@ CHUNK = 2_048
 #: Parity bits per set.
 BITS = 512
 #: Most set ids handed to all tasks to pick documents by; with more, the tables are joined by a shuffle.
-MOST_PICKED = 2_000_000
+MOST_PICKED = 500_000
 
 @dataclass(frozen=True)
 class Rule:
@@ -268,43 +268,59 @@ def _candidates(members: DataFrame, roots: DataFrame | None, forest: bool, rule:
         for part in _runs(batches, 3):
             yield _pairs_of(part, forest, rule)
 
-    return sorted_.mapInArrow(run, "a binary, b binary").distinct()
+    found = sorted_.mapInArrow(run, "a binary, b binary")
+    # At first, one partner for each set from all its buckets.
+    return found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if forest else found.distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("print")).distinct().join(sets.select("print", "doc_id"), "print"), "wanted")
-    ids = wanted.select("doc_id").distinct()
-    if ids.count() <= MOST_PICKED:
-        ids = F.broadcast(ids)
-    schema = pa.schema([("print", pa.binary()), ("tokens", pa.binary())])
+    """The pairs (a, b) whose whole sets are similar.
+
+    Sets are made again from the texts of the documents concerned and sent once per pair to the place of ``a``, in chunks where
+    an ``a`` has many partners; there ``a`` comes first and the others are compared with it one after the other.
+    """
+    pairs = stored(pairs, "pairs")
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
+    placed = pairs.join(many, "a").withColumn("part", F.pmod(F.xxhash64("b"), "chunks"))
+    roles = placed.select(F.col("b").alias("print"), "a", "part", F.lit(1).alias("turn")).union(
+        placed.select(F.col("a").alias("print"), "a", "part", F.lit(0)).distinct())
+    wanted = stored(roles.join(sets.select("print", "doc_id"), "print"), "wanted")
+    few = wanted.count() <= MOST_PICKED
+    ids, roles = wanted.select("doc_id").distinct(), wanted.drop("doc_id")
+    if few:
+        ids, roles = F.broadcast(ids), F.broadcast(roles)
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
-                found = [shingles(t.as_py(), rule.words) for t in batch.column(0).slice(start, 64)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([hashlib.blake2b(t.tobytes(), digest_size=16).digest() for t in found], pa.binary()),
-                    pa.array([t.tobytes() for t in found], pa.binary())], schema=schema)
-
-    picked = docs.join(ids, "doc_id", "left_semi").select(F.col("text").cast("string")).mapInArrow(load, "print binary, tokens binary")
-    # Several rows may have the same id; only the wanted sets go on, each once.
-    whole = stored(picked.join(F.broadcast(wanted.select("print")) if wanted.count() <= MOST_PICKED else wanted.select("print"),
-                               "print", "left_semi").groupBy("print").agg(F.first("tokens").alias("tokens")), "sets")
+                found = [shingles(t.as_py(), rule.words).tobytes() for t in batch.column(0).slice(start, 64)]
+                prints = [hashlib.blake2b(t, digest_size=16).digest() for t in found]
+                yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(found, pa.binary())], names=["print", "tokens"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, lead = None, np.zeros(0, np.uint64)
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                s, t = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                small, large = (s, t) if len(s) <= len(t) else (t, s)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                keep.append(bool(rule.enough(int((large[at] == small).sum()), len(s) + len(t))))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    one = pairs.join(whole.select(F.col("print").alias("a"), F.col("tokens").alias("x")), "a")
-    two = one.join(whole.select(F.col("print").alias("b"), F.col("tokens").alias("y")), "b")
-    return stored(two.select("a", "b", "x", "y").mapInArrow(check, "a binary, b binary"), "links")
+            one, two = [], []
+            for a, part, turn, b, tokens in zip(*batch.columns):
+                key, found = (a.as_py(), part.as_py()), np.frombuffer(tokens.as_py(), np.uint64)
+                if turn.as_py() == 0:
+                    at, lead = key, found
+                elif key == at and rule.enough(_shared(lead, found), len(lead) + len(found)):
+                    one.append(key[0])
+                    two.append(b.as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.binary()), pa.array(two, pa.binary())], names=["a", "b"])
+
+    picked = docs.join(ids, "doc_id", "left_semi").select(F.col("text").cast("string")).mapInArrow(load, "print binary, tokens binary")
+    sent = picked.join(roles, "print").select("a", "part", "turn", "print", "tokens").repartition("a", "part")
+    return stored(sent.sortWithinPartitions("a", "part", "turn").mapInArrow(check, "a binary, b binary"), "links")
+
+
+def _shared(s: np.ndarray, t: np.ndarray) -> int:
+    """Tokens two sorted sets have in common."""
+    small, large = (s, t) if len(s) <= len(t) else (t, s)
+    if not len(small):
+        return 0
+    return int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
 
 
 def similar_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
