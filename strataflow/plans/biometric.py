@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.casts import to_int
-from ..functions.temporal import clock_to_minutes
+from ..functions.temporal import clock_to_minutes, parse_date
+from ..functions.text import report_date_text
 from ..operators.cleaning import in_batch_dates, require, resolve_alias, sanitise_headers
 from ..operators.dims import enrich, resolved
 from ..operators.latest import keep_latest
+from ..operators.layout import stage
+from ..sources.files import list_files, read_sheets
 from ..sources.lake import Lake
+from .intake import archive
 
 # Source columns and their warehouse names; aliases; the fact's columns.
 FIELDS = {
@@ -55,9 +59,27 @@ def gold(silver_df: DataFrame, dim_employee: DataFrame, dim_date: DataFrame, as_
         .select(*FACT_COLUMNS, stamp.alias("dw_load_timestamp"))
 
 
+def run_folder(lake: Lake, folder: str, columns, dim_date: DataFrame, catalog: str = "hr", as_of: Column | None = None, serving=None,
+               archive_to: str | None = None, suffix: str = ".csv") -> bool:
+    """All report extracts of a folder in one scan, dated by their own headings; False without files.
+
+    ``columns``: cleaned column names in file order.  Rows of an extract whose heading has no date are refused.
+    """
+    paths = [r.path for r in list_files(lake.spark, folder, suffix).select("path").collect()]
+    if not paths:
+        return False
+    rows = stage(read_sheets(lake.spark, paths, columns, dates=lambda line: parse_date(report_date_text(line))), "reports")
+    undated = rows.where("report_date is null").select("SourceSheet").distinct().limit(5).collect()
+    if undated:
+        raise ValueError(f"no report date in the heading of {[r.SourceSheet for r in undated]}")
+    run(lake, rows, F.col("report_date"), dim_date, catalog, as_of, serving)
+    archive(lake, paths, folder, archive_to)
+    return True
+
+
 def run(lake: Lake, report: DataFrame, report_date: Column, dim_date: DataFrame, catalog: str = "hr",
         as_of: Column | None = None, serving=None) -> None:
-    """One report to bronze; its dates are replaced in silver, gold and serving, so ingesting it again adds no duplicates."""
+    """Report rows to bronze; their dates are replaced in silver, gold and serving, so ingesting them again adds no duplicates."""
     batch = bronze_rows(report, report_date)
     lake.write_bronze(batch, f"{catalog}.bronze.biometric_raw", as_of)
     bronze = lake.read(f"{catalog}.bronze.biometric_raw", evolving=True)

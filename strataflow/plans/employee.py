@@ -10,7 +10,7 @@ from ..functions.text import full_name, record_hash
 from ..operators.cleaning import add_constants, blank_strings_to_null, require
 from ..operators.latest import keep_latest
 from ..sources.files import FAILED_MARK
-from ..sources.lake import Lake
+from ..sources.lake import CLOSED_BATCH, Lake
 from .intake import archive, bronze_lines, take_in
 
 # Source fields and their warehouse names.
@@ -71,13 +71,16 @@ def silver(bronze: DataFrame, parity_hash: bool = False) -> DataFrame:
 
 
 def run(lake: Lake, folder: str, catalog: str = "hr", as_of: Column | None = None,
-        archive_to: str | None = None) -> bool:
-    """Files to bronze, bronze to silver, silver into the dimension.  False without files."""
+        archive_to: str | None = None, serving=None) -> bool:
+    """Files to bronze, bronze to silver, silver into the dimension, its current versions to serving.  False without files."""
     paths = take_in(lake, folder, f"{catalog}.bronze.employee_raw", as_of, exclude=FAILED_MARK)
     if not paths:
         return False
     lake.overwrite(silver(bronze_lines(lake, f"{catalog}.bronze.employee_raw")), f"{catalog}.silver.employee_cleaned")
     lake.apply_scd(lake.read(f"{catalog}.silver.employee_cleaned"), f"{catalog}.gold.dim_employee", "employee_id", as_of,
                    surrogate="dim_employee_key")
+    if serving is not None:
+        current = lake.read(f"{catalog}.gold.dim_employee").where("is_current = 1").drop(CLOSED_BATCH)
+        serving.sync_dimension(current, "dim_employee", "employee_id", "dim_employee_key")
     archive(lake, paths, folder, archive_to)
     return True

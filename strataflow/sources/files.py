@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -84,24 +86,42 @@ def read_rule_input(spark: SparkSession, path, schema=None) -> DataFrame:
     return drop_empty_rows(read_csv(spark, path, schema, skip_malformed=True))
 
 
-def read_sheets(spark: SparkSession, paths, columns, header_rows: int = 9, tag: str = "SourceSheet") -> DataFrame:
-    """Report extracts (one CSV text per sheet) unioned, each row tagged with its sheet.
+def _sheet_lines(spark: SparkSession, paths, header_rows: int) -> DataFrame:
+    """``(path, value, heading)`` of all lines of all extracts in one scan; the first ``header_rows`` + 1 of a file are headings.
+
+    Lines of one split are numbered in order, so a heading is one of the first numbers of a file's first split; where that
+    split's numbers begin is one row per file.
+    """
+    lines = spark.read.text(list(paths)).select(
+        "value", F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"))
+    begins = lines.where("start = 0").groupBy("path").agg(F.min("at").alias("begin")).withColumnRenamed("path", "_path")
+    joined = lines.join(begins, F.col("path") == F.col("_path"), "left")
+    return joined.select("path", "value", ((F.col("start") == 0) & (F.col("at") - F.col("begin") <= header_rows)).alias("heading"))
+
+
+def sheet_name(path: Column) -> Column:
+    """File name without folder and extension."""
+    return F.url_decode(F.replace(F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1), F.lit("+"), F.lit("%2B")))
+
 
-    The first ``header_rows`` lines of an extract are headings and the next one names the columns.  ``columns`` are
-    the column names in file order, already cleaned; rows that repeat the heading parse to the names themselves and are
-    dropped, as are heading lines, which lack the key columns.
+def read_sheets(spark: SparkSession, paths, columns, header_rows: int = 9, tag: str = "SourceSheet",
+                dates: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Report extracts (one CSV text per sheet) in one scan, each row tagged with its sheet.
+
+    ``paths``: files or folders.  The first ``header_rows`` lines of an extract are headings and the next one names the columns.
+    ``columns`` are the column names in file order, already cleaned.  ``dates`` finds the report's date in a heading line;
+    with it, rows get their file's first date as ``report_date``.
     """
     ddl = ", ".join(f"`{c}` STRING" for c in columns)
-    frames = []
-    for path in paths:
-        lines = spark.read.text(path).select(
-            "value", F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_block_start").alias("start"))
-        # Headings sit at the very beginning of a file, hence in its first split and in one task.
-        body = lines.filter((F.col("start") > 0) | (F.pmod(F.col("at"), F.lit(1 << 33)) > header_rows))
-        rows = body.select(F.from_csv("value", F.lit(ddl)).alias("r")).select("r.*")
-        sheet = path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
-        frames.append(rows.withColumn(tag, F.lit(sheet)))
-    return union_all(frames)
+    lines = _sheet_lines(spark, [paths] if isinstance(paths, str) else paths, header_rows)
+    rows = lines.where(~F.col("heading")).select("path", F.from_csv("value", F.lit(ddl)).alias("r"))
+    body = rows.select("path", "r.*", sheet_name(F.col("path")).alias(tag))
+    if dates is None:
+        return body.drop("path")
+    found = lines.where("heading").select(F.col("path").alias("_path"), dates(F.col("value")).alias("report_date"))
+    first = found.groupBy("_path").agg(F.min("report_date").alias("report_date"))
+    return body.join(first, F.col("path") == F.col("_path"), "left").drop("path", "_path")
 
 
 def newest_file(spark: SparkSession, folder: str) -> str | None:

@@ -72,9 +72,33 @@ class JdbcTables:
         self.overwrite(df, staging)
         self.execute(*replace_dates_sql(table, staging, date_col, df.columns))
 
-    def insert_absent(self, df: DataFrame, table: str, key: str, **split) -> None:
-        from ..operators.upsert import absent
-        self.append(absent(df, self.existing_keys(table, key, **split), key), table)
+    def insert_absent(self, df: DataFrame, table: str, key: str) -> None:
+        """Insert the rows whose key the table lacks: the batch goes to a staging table in parallel and is compared inside the
+        database, so the table's keys are not read through a connection."""
+        staging = f"{table}_staging"
+        self.overwrite(df, staging)
+        self.execute(insert_absent_sql(table, staging, key, df.columns))
+
+    def sync_dimension(self, versions: DataFrame, table: str, key: str, surrogate: str) -> None:
+        """Bring a served type-2 dimension up to the lake's: expire current versions that are closed there, insert new ones."""
+        staging = f"{table}_staging"
+        self.overwrite(versions, staging)
+        self.execute(*sync_dimension_sql(table, staging, key, surrogate, versions.columns))
+
+
+def insert_absent_sql(table: str, staging: str, key: str, columns) -> str:
+    names = ", ".join(columns)
+    return (f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} s "
+            f"WHERE NOT EXISTS (SELECT 1 FROM {table} t WHERE t.{key} = s.{key})")
+
+
+def sync_dimension_sql(table: str, staging: str, key: str, surrogate: str, columns) -> tuple[str, str]:
+    """Expire by surrogate key what is current in the table and closed, or replaced by another current version, in the staging
+    table; then insert the versions the table lacks."""
+    closed = f"SELECT 1 FROM {staging} s WHERE s.{key} = {table}.{key} AND s.is_current = 1 AND s.{surrogate} <> {table}.{surrogate}"
+    since = f"(SELECT MIN(s.valid_from) FROM {staging} s WHERE s.{key} = {table}.{key} AND s.is_current = 1)"
+    return (f"UPDATE {table} SET is_current = 0, valid_to = {since} WHERE is_current = 1 AND EXISTS ({closed})",
+            insert_absent_sql(table, staging, surrogate, columns))
 
 
 def replace_dates_sql(table: str, staging: str, date_col: str, columns) -> tuple[str, str]:

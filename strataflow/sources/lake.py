@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from ..operators.layout import stage
 from ..operators.scd import apply_snapshot, first_history
 from ..operators.upsert import absent
 
@@ -214,6 +215,24 @@ class LakeServing:
     def insert_absent(self, df: DataFrame, table: str, key: str) -> None:
         self.lake.insert_absent(df, f"{self.prefix}.{table}", key)
 
+    def sync_dimension(self, versions: DataFrame, table: str, key: str, surrogate: str) -> None:
+        """Bring a served type-2 dimension up to the given current versions: one join on the key, closed versions stay."""
+        name = f"{self.prefix}.{table}"
+        if not self.lake.exists(name):
+            self.lake.overwrite(versions, name, ["is_current"])
+            return
+        served = self.lake.read(name).where("is_current = 1").select(*versions.columns)
+        fresh = versions.where("is_current = 1").select(F.struct(*[F.col(f"`{c}`") for c in versions.columns]).alias("new"))
+        old = served.select(F.struct(*[F.col(f"`{c}`") for c in versions.columns]).alias("old"))
+        joined = old.join(fresh, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
+        replaced = F.col("old").isNotNull() & F.col("new").isNotNull() & (F.col(f"old.{surrogate}") != F.col(f"new.{surrogate}"))
+        gone = F.col("old").withField("is_current", F.lit(0)).withField("valid_to", F.col("new.valid_from"))
+        now = F.when(F.col("new").isNull(), F.col("old")).otherwise(F.col("new"))
+        # Current versions replace the current partition; those closed by this run are added to the closed ones.
+        ready = stage(joined.select(F.when(replaced, gone).alias("closed"), now.alias("now")), "served")
+        self.lake.append(ready.where("closed is not null").select("closed.*"), name, ["is_current"], align=False)
+        self.lake.replace_partitions(ready.select("now.*"), name, ["is_current"])
+
 
 def create_schemas(spark: SparkSession, layers=LAYERS) -> None:
     for layer in layers:

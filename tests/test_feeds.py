@@ -102,3 +102,18 @@ def test_biometric(spark, staffed):
     got = [(r.source_bio_id, r.work_minutes, r.ot_minutes, r.dim_date_key) for r in lake.read("hr.serving.fact_attendance_biometric").collect()]
     assert got == [("7", 495, None, 20260223)]
     assert lake.read("hr.bronze.biometric_raw").count() == 6 and lake.read("hr.silver.biometric_cleaned").count() == 1
+
+
+def test_biometric_folder(spark, staffed, tmp_path):
+    lake, dates, _ = staffed
+    columns = ["E_Code", "EmpName", "Shift", "A_InTime", "A_OutTime", "Work_Dur", "OT", "Tot_Dur", "Status"]
+    folder, done = tmp_path / "reports", tmp_path / "done"
+    folder.mkdir()
+    for day, dur in (("23", "08:00"), ("24", "07:30")):
+        heading = "".join(f"Heading {k}\n" if k != 2 else f"Attendance Date: {day}-Feb-2026\n" for k in range(9))
+        (folder / f"r{day}.csv").write_text(heading + ",".join(columns) + f"\n7,John,GS,09:00,18:00,{dur},,{dur},P\n")
+    assert biometric.run_folder(lake, str(folder), columns, dates, archive_to=str(done))
+    assert not biometric.run_folder(lake, str(folder), columns, dates)
+    bronze = lake.read("hr.bronze.biometric_raw", evolving=True).where("SourceSheet is not null")
+    assert sorted((r.SourceSheet, str(r.ingest_work_date)) for r in bronze.collect()) == [("r23", "2026-02-23"), ("r24", "2026-02-24")]
+    assert lake.read("hr.silver.biometric_cleaned").where("work_date = '2026-02-24'").first().work_minutes == 450

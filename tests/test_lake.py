@@ -110,7 +110,36 @@ def test_report_sheets(spark, tmp_path):
         ("1", "Feb person", "Feb"), ("1", "Jan person", "Jan"), ("2", "Heading 3", "Feb"), ("2", "Heading 3", "Jan")]
 
 
+def test_many_small_sheets_in_one_scan(spark, tmp_path):
+    from strataflow.functions.temporal import parse_date
+    from strataflow.functions.text import report_date_text
+    for i in range(60):
+        heading = "".join(f"Heading {k}\n" if k != 4 else f"Attendance Date: 0{1 + i % 9}-Feb-2026\n" for k in range(9))
+        (tmp_path / f"s{i}.csv").write_text(f"{heading}E. Code,Name\n" + "".join(f"{k},p{i}\n" for k in range(3)))
+    paths = str(tmp_path)
+    got = files.read_sheets(spark, paths, ["E_Code", "Name"], dates=lambda line: parse_date(report_date_text(line))).collect()
+    assert sorted((r.E_Code, r.Name, r.SourceSheet, str(r.report_date)) for r in got) == sorted(
+        (str(k), f"p{i}", f"s{i}", f"2026-02-0{1 + i % 9}") for i in range(60) for k in range(3))
+
+
+def test_served_dimension_follows(spark, lake):
+    def versions(*rows):
+        return spark.createDataFrame(rows, "key long, id string, v string, valid_from timestamp, valid_to timestamp, is_current int")
+    from datetime import datetime
+    one, two = datetime(2026, 1, 1), datetime(2026, 2, 1)
+    serving = LakeServing(lake)
+    serving.sync_dimension(versions((1, "a", "x", one, None, 1), (2, "b", "x", one, None, 1)), "dim", "id", "key")
+    for _ in range(2):
+        serving.sync_dimension(versions((3, "a", "y", two, None, 1), (2, "b", "x", one, None, 1), (4, "c", "z", two, None, 1)), "dim", "id", "key")
+    got = sorted((r.key, r.v, r.is_current, r.valid_to) for r in lake.read("hr.serving.dim").collect())
+    assert got == [(1, "x", 0, two), (2, "x", 1, None), (3, "y", 1, None), (4, "z", 1, None)]
+
+
 def test_jdbc_statements():
+    assert jdbc.insert_absent_sql("t", "t_staging", "k", ["k", "v"]) == (
+        "INSERT INTO t (k, v) SELECT k, v FROM t_staging s WHERE NOT EXISTS (SELECT 1 FROM t t WHERE t.k = s.k)")
+    expire, add = jdbc.sync_dimension_sql("dim", "dim_staging", "id", "key", ["key", "id"])
+    assert expire.startswith("UPDATE dim SET is_current = 0") and "s.key <> dim.key" in expire and "NOT EXISTS" in add
     delete, insert = jdbc.replace_dates_sql("fact", "fact_staging", "work_date", ["a", "work_date"])
     assert delete == "DELETE FROM fact WHERE work_date IN (SELECT DISTINCT work_date FROM fact_staging)"
     assert insert == "INSERT INTO fact (a, work_date) SELECT a, work_date FROM fact_staging"
