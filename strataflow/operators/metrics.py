@@ -9,8 +9,6 @@ from .checks import CellCheck, cell_text
 from .layout import stage
 from ..functions.text import any_of
 
-LONG_VALUE = 64
-
 
 def percent(part: Column, total: Column) -> Column:
     """Percentage with two decimals; 0 for an empty table."""
@@ -18,40 +16,42 @@ def percent(part: Column, total: Column) -> Column:
 
 
 def _value_key(df: DataFrame, name: str) -> Column:
-    """Text that is equal exactly when two cells are equal.  Long texts travel as their SHA-256."""
+    """Text that is equal exactly when two cells are equal.  Texts travel as their SHA-256: of one width, whatever their length."""
     kind = df.schema[name].dataType
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         return (F.col(f"`{name}`") + F.lit(0.0).cast(kind)).cast("string")
     text = cell_text(df, name)
     if isinstance(kind, (T.StringType, T.ArrayType, T.MapType, T.StructType)):
-        return F.when(F.length(text) > LONG_VALUE, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(F.concat(F.lit("="), text))
+        return F.sha2(text, 256)
     return text
 
 
-def column_profile(df: DataFrame, columns=None, approximate: bool = False) -> DataFrame:
-    """``(column, total_rows, non_null, distinct_values)`` per column.
+def column_profile(df: DataFrame, columns=None, approximate: bool = False, flags: dict[str, Column] | None = None) -> DataFrame:
+    """``(column, total_rows, non_null, distinct_values, flagged)`` per column; ``flags`` marks the rows a column's checks reject.
 
     Exact by default: cells are counted by (column, value) with map-side combining, so a value held by a third of
     the rows reaches the shuffle once per task, and the second step only counts the distinct values.
     ``approximate`` swaps in a sketch and needs no shuffle of values.
     """
-    names = list(columns if columns is not None else df.columns)
+    names, flags = list(columns if columns is not None else df.columns), flags or {}
     if approximate:
         total = F.count(F.lit(1))
         wide = df.agg(*[F.struct(F.lit(c).alias("column"), total.alias("total_rows"),
                                  F.count(f"`{c}`").alias("non_null"),
-                                 F.approx_count_distinct(_value_key(df, c)).alias("distinct_values")).alias(f"c{i}")
+                                 F.approx_count_distinct(_value_key(df, c)).alias("distinct_values"),
+                                 F.count_if(flags[c] if c in flags else F.lit(False)).alias("flagged")).alias(f"c{i}")
                         for i, c in enumerate(names)])
         return wide.select(F.inline(F.array(*[F.col(f"c{i}") for i in range(len(names))])))
     cells = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("position"), _value_key(df, c).alias("value")) for i, c in enumerate(names)])))
-    per_value = cells.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
+        F.struct(F.lit(i).alias("position"), _value_key(df, c).alias("value"),
+                 (flags[c] if c in flags else F.lit(False)).alias("flag")) for i, c in enumerate(names)])))
+    per_value = cells.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"), F.count_if("flag").alias("bad"))
     per_column = per_value.groupBy("position").agg(
         F.sum("n").alias("total_rows"), F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
-        F.count("value").alias("distinct_values"))
+        F.count("value").alias("distinct_values"), F.sum("bad").alias("flagged"))
     # The list of columns keeps an empty table's columns in the result.
     listing = df.sparkSession.createDataFrame(list(enumerate(names)), "position int, `column` string")
-    counted = [F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in ("total_rows", "non_null", "distinct_values")]
+    counted = [F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in ("total_rows", "non_null", "distinct_values", "flagged")]
     return listing.join(per_column, "position", "left").select("column", *counted)
 
 
@@ -61,27 +61,41 @@ def flagged_rows(issues: DataFrame) -> DataFrame:
         .groupBy("column").agg(F.count(F.lit(1)).alias("flagged"))
 
 
-def flagged_by_checks(df: DataFrame, checks: list[CellCheck]) -> DataFrame:
-    """The same numbers straight from the checks: one aggregation, no shuffle of row ids."""
+def check_flags(checks: list[CellCheck]) -> dict[str, Column]:
+    """Per column, whether any of its checks rejects the row."""
     by_column: dict[str, list[Column]] = {}
     for check in checks:
         by_column.setdefault(check.column, []).append(F.coalesce(check.flagged, F.lit(False)))
+    return {c: any_of(tests) for c, tests in by_column.items()}
+
+
+def flagged_by_checks(df: DataFrame, checks: list[CellCheck]) -> DataFrame:
+    """The same numbers straight from the checks: one aggregation, no shuffle of row ids."""
+    by_column = check_flags(checks)
     names = list(by_column)
-    wide = df.agg(*[F.count_if(any_of(by_column[c])).alias(f"c{i}") for i, c in enumerate(names)])
+    wide = df.agg(*[F.count_if(by_column[c]).alias(f"c{i}") for i, c in enumerate(names)])
     return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("flagged"))
                                           for i, c in enumerate(names)])))
 
 
-def quality_metrics(df: DataFrame, flagged: DataFrame, columns=None, approximate: bool = False) -> DataFrame:
-    """Completeness, uniqueness and validity percentages per column."""
-    profile = column_profile(df, columns, approximate)
-    joined = profile.join(flagged, "column", "left")
+def metrics_of(profile: DataFrame) -> DataFrame:
+    """Completeness, uniqueness and validity percentages from a profile."""
     total = F.col("total_rows")
-    bad = F.coalesce(F.col("flagged"), F.lit(0))
-    return joined.select("column",
-                         percent(F.col("non_null"), total).alias("completeness_pct"),
-                         percent(F.col("distinct_values"), total).alias("uniqueness_pct"),
-                         percent(total - bad, total).alias("validity_pct"))
+    return profile.select("column",
+                          percent(F.col("non_null"), total).alias("completeness_pct"),
+                          percent(F.col("distinct_values"), total).alias("uniqueness_pct"),
+                          percent(total - F.col("flagged"), total).alias("validity_pct"))
+
+
+def quality_metrics(df: DataFrame, flagged: DataFrame, columns=None, approximate: bool = False) -> DataFrame:
+    """Completeness, uniqueness and validity percentages per column, for flags that come as a table."""
+    profile = column_profile(df, columns, approximate).drop("flagged").join(flagged, "column", "left")
+    return metrics_of(profile.withColumn("flagged", F.coalesce("flagged", F.lit(0))))
+
+
+def checked_metrics(df: DataFrame, checks: list[CellCheck], columns=None, approximate: bool = False) -> DataFrame:
+    """The same for checks on the rows themselves: values and flags are counted in one scan and one shuffle."""
+    return metrics_of(column_profile(df, columns, approximate, check_flags(checks)))
 
 
 def issue_counts(issues: DataFrame) -> DataFrame:

@@ -90,15 +90,17 @@ def dq_nulls(t):
     return checks.find_issues(df, checks.null_checks(df, nullable), "doc_id").drop("masked_value")
 
 
+DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 CORRUPTION_SQL = "\n UNION ALL ".join(
     f"""SELECT CAST(doc_id AS VARCHAR) AS row_id, '{c}' AS "column", '{issue}' AS issue, md5(CAST({c} AS VARCHAR)) AS value FROM documents WHERE {test}"""
-    for c in ("text", "source") for issue, test in (("corrupted_non_ascii", non_ascii_sql(c)), ("corrupted_special_chars", special_sql(c))))
+    for c in DOCUMENT_COLUMNS for issue, test in (("corrupted_non_ascii", non_ascii_sql(f"CAST({c} AS VARCHAR)")),
+                                             ("corrupted_special_chars", special_sql(f"CAST({c} AS VARCHAR)"))))
 
 
 @query("dq_corruption", CORRUPTION_SQL)
 def dq_corruption(t):
-    df = t.spread("documents").select("doc_id", "text", "source")
-    found = checks.find_issues(df, checks.corruption_checks(df, ["text", "source"]), "doc_id")
+    df = t.spread("documents")
+    found = checks.find_issues(df, checks.corruption_checks(df, DOCUMENT_COLUMNS), "doc_id")
     return found.select("row_id", "column", "issue", F.md5("value").alias("value"))
 
 
@@ -126,7 +128,7 @@ def dq_patterns(t):
     return checks.find_issues(df, found, "p_partkey").drop("masked_value")
 
 
-METRIC_COLUMNS = ("doc_id", "text", "lang", "source", "quality")
+METRIC_COLUMNS = (*DOCUMENT_COLUMNS, "quality", "toxic")
 
 
 def metrics_sql(columns, source, flagged):
@@ -154,14 +156,16 @@ def dq_metrics(t):
 @query("dq_metrics_fused", metrics_sql(METRIC_COLUMNS, LABELLED, {"text": TEXT_FLAGGED}))
 def dq_metrics_fused(t):
     df = labelled_documents(t)
-    flagged = metrics.flagged_by_checks(df, checks.corruption_checks(df, ["text"]))
-    return metrics.quality_metrics(df, flagged, METRIC_COLUMNS)
+    return metrics.checked_metrics(df, checks.corruption_checks(df, ["text"]))
 
 
-@query("dq_metrics_lineitem", metrics_sql(("l_orderkey", "l_quantity", "l_discount", "l_returnflag", "l_shipdate"), "lineitem", {}))
+LINEITEM_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@query("dq_metrics_lineitem", metrics_sql(LINEITEM_COLUMNS, "lineitem", {}))
 def dq_metrics_lineitem(t):
-    df = t.spread("lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_returnflag", "l_shipdate")
-    return metrics.quality_metrics(df, metrics.flagged_by_checks(df, checks.null_checks(df, {"l_orderkey": False})))
+    df = t.spread("lineitem")
+    return metrics.checked_metrics(df, checks.null_checks(df, {"l_orderkey": False}))
 
 
 @query("dq_issue_counts", f"""
@@ -169,12 +173,13 @@ def dq_metrics_lineitem(t):
     SELECT "column", issue, n, CAST(sum(n) OVER (PARTITION BY "column") AS BIGINT) AS total_issues FROM n
 """)
 def dq_issue_counts(t):
-    df = t.spread("documents").select("doc_id", "text", "source")
-    counts = metrics.issue_counts(checks.find_issues(df, checks.corruption_checks(df, ["text", "source"]), "doc_id"))
+    df = t.spread("documents")
+    counts = metrics.issue_counts(checks.find_issues(df, checks.corruption_checks(df, DOCUMENT_COLUMNS), "doc_id"))
     return counts.join(metrics.column_totals(counts), "column")
 
 
-_REPORT_METRICS = metrics_sql(("doc_id", "text", "source"), "documents", {"text": TEXT_FLAGGED})
+_REPORT_METRICS = metrics_sql(DOCUMENT_COLUMNS, "documents", {
+    c: f"count(*) FILTER ({non_ascii_sql(f'CAST({c} AS VARCHAR)')} OR {special_sql(f'CAST({c} AS VARCHAR)')})" for c in DOCUMENT_COLUMNS})
 
 
 @query("dq_report", f"""
@@ -187,8 +192,8 @@ _REPORT_METRICS = metrics_sql(("doc_id", "text", "source"), "documents", {"text"
     UNION ALL SELECT 'quality_metrics', "column", 'validity_pct', validity_pct FROM m
 """)
 def dq_report(t):
-    df = t.spread("documents").select("doc_id", "text", "source")
-    issues = checks.find_issues(df, checks.corruption_checks(df, ["text", "source"]), "doc_id")
+    df = t.spread("documents")
+    issues = checks.find_issues(df, checks.corruption_checks(df, DOCUMENT_COLUMNS), "doc_id")
     return metrics.quality_report(df, issues)
 
 
