@@ -34,8 +34,9 @@ from .components import components
 COMMON = 100_000
 #: Tokens a task counts at once, and the least count it passes on.
 COUNTED, LEAST = 4_000_000, 2
-#: Sets per chunk of a bucket.
+#: Sets per chunk of a bucket, and tokens of all of them.
 CHUNK = 2_048
+CHUNK_TOKENS = 2_000_000
 #: Parity bits per set.
 BITS = 512
 #: Most set ids handed to all tasks to pick documents by; with more, the tables are joined by a shuffle.
@@ -243,21 +244,25 @@ def _pairs_of(part: pa.RecordBatch, forest: bool, rule: Rule) -> pa.RecordBatch:
             i, j = i[first], j[first]
         found.append((i, j))
     one, two = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, int) for k in (1, 0))
-    return pa.RecordBatch.from_arrays([prints.take(pa.array(one)), prints.take(pa.array(two))], names=["a", "b"])
+    places = [part.column(k).take(pa.array(one)) for k in range(3)]
+    return pa.RecordBatch.from_arrays([prints.take(pa.array(one)), prints.take(pa.array(two)), *places], names=["a", "b", "token", "left", "right"])
 
 
 def _candidates(members: DataFrame, roots: DataFrame | None, forest: bool, rule: Rule) -> DataFrame:
-    """Distinct candidate pairs (a, b) from the sets of all buckets: some for each set (``forest``), or all not connected yet."""
+    """Distinct candidate pairs (a, b) of the sets of all buckets, and the bucket and chunks (token, left, right) where they meet:
+    one for each set (``forest``), or all not connected yet."""
+    # Chunks are bounded in sets and in tokens, as whole sets meet in them later.
+    size = [F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK, F.sum("n") / CHUNK_TOKENS)).cast("int").alias("chunks")]
     if roots is None:
         rows = members.withColumn("root", F.col("print"))
-        large = stored(rows.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > CHUNK), "large")
+        large = stored(rows.groupBy("token").agg(*size).where(F.col("chunks") > 1), "large")
         # Most often no bucket is large, and there is nothing to join.
-        dealt = rows.withColumn("size", F.lit(1)) if large.isEmpty() else rows.join(large, "token", "left")
+        dealt = rows.withColumn("chunks", F.lit(1)) if large.isEmpty() else rows.join(large, "token", "left")
     else:
         rows = members.join(roots.select(F.col("node").alias("print"), "root"), "print", "left").withColumn("root", F.coalesce("root", "print"))
-        open_ = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("least"), F.max("root").alias("most"))
-        dealt = rows.join(open_.where("least < most").select("token", "size"), "token")
-    dealt = dealt.withColumn("chunks", F.ceil(F.coalesce("size", F.lit(1)) / CHUNK).cast("int"))
+        open_ = rows.groupBy("token").agg(*size, F.min("root").alias("least"), F.max("root").alias("most"))
+        dealt = rows.join(open_.where("least < most").select("token", "chunks"), "token")
+    dealt = dealt.withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("print"), "chunks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     dealt = dealt.select("*", other.alias("other")).withColumns({"left": F.least("part", "other"), "right": F.greatest("part", "other")})
@@ -268,22 +273,22 @@ def _candidates(members: DataFrame, roots: DataFrame | None, forest: bool, rule:
         for part in _runs(batches, 3):
             yield _pairs_of(part, forest, rule)
 
-    found = sorted_.mapInArrow(run, "a binary, b binary")
-    # At first, one partner for each set from all its buckets.
-    return found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if forest else found.distinct()
+    found = sorted_.mapInArrow(run, "a binary, b binary, token long, left int, right int")
+    found = found.select("a", "b", F.struct("token", "left", "right").alias("place"))
+    # At first, one partner for each set from all its buckets; then every pair once, in the least of its buckets.
+    if forest:
+        return found.groupBy("b").agg(F.min(F.struct("a", "place")).alias("m")).select("m.a", "b", "m.place.*")
+    return found.groupBy("a", "b").agg(F.min("place").alias("place")).select("a", "b", "place.*")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar.
 
-    Sets are made again from the texts of the documents concerned and sent once per pair to the place of ``a``, in chunks where
-    an ``a`` has many partners; there ``a`` comes first and the others are compared with it one after the other.
+    Sets are made again from the texts of the documents concerned.  Each is sent once to every bucket chunk where it has pairs,
+    whatever their number, and the pairs of the chunk follow it there.
     """
-    pairs = stored(pairs, "pairs")
-    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
-    placed = pairs.join(many, "a").withColumn("part", F.pmod(F.xxhash64("b"), "chunks"))
-    roles = placed.select(F.col("b").alias("print"), "a", "part", F.lit(1).alias("turn")).union(
-        placed.select(F.col("a").alias("print"), "a", "part", F.lit(0)).distinct())
+    pairs, place = stored(pairs, "pairs"), ["token", "left", "right"]
+    roles = pairs.select(F.explode(F.array("a", "b")).alias("print"), *place).distinct()
     wanted = stored(roles.join(sets.select("print", "doc_id"), "print"), "wanted")
     few = wanted.count() <= MOST_PICKED
     ids, roles = wanted.select("doc_id").distinct(), wanted.drop("doc_id")
@@ -298,21 +303,26 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: Rule) ->
                 yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(found, pa.binary())], names=["print", "tokens"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, lead = None, np.zeros(0, np.uint64)
+        at, held = None, {}
         for batch in batches:
             one, two = [], []
-            for a, part, turn, b, tokens in zip(*batch.columns):
-                key, found = (a.as_py(), part.as_py()), np.frombuffer(tokens.as_py(), np.uint64)
+            for token, left, right, turn, a, body in zip(*batch.columns):
+                key = (token.as_py(), left.as_py(), right.as_py())
+                if key != at:
+                    at, held = key, {}
                 if turn.as_py() == 0:
-                    at, lead = key, found
-                elif key == at and rule.enough(_shared(lead, found), len(lead) + len(found)):
-                    one.append(key[0])
-                    two.append(b.as_py())
+                    held[a.as_py()] = np.frombuffer(body.as_py(), np.uint64)
+                else:
+                    s, t = held[a.as_py()], held[body.as_py()]
+                    if rule.enough(_shared(s, t), len(s) + len(t)):
+                        one.append(a.as_py())
+                        two.append(body.as_py())
             yield pa.RecordBatch.from_arrays([pa.array(one, pa.binary()), pa.array(two, pa.binary())], names=["a", "b"])
 
     picked = docs.join(ids, "doc_id", "left_semi").select(F.col("text").cast("string")).mapInArrow(load, "print binary, tokens binary")
-    sent = picked.join(roles, "print").select("a", "part", "turn", "print", "tokens").repartition("a", "part")
-    return stored(sent.sortWithinPartitions("a", "part", "turn").mapInArrow(check, "a binary, b binary"), "links")
+    bodies = picked.join(roles, "print").select(*place, F.lit(0).alias("turn"), F.col("print").alias("a"), F.col("tokens").alias("body"))
+    sent = bodies.union(pairs.select(*place, F.lit(1), "a", F.col("b"))).repartition(*place).sortWithinPartitions(*place, "turn")
+    return stored(sent.mapInArrow(check, "a binary, b binary"), "links")
 
 
 def _shared(s: np.ndarray, t: np.ndarray) -> int:
