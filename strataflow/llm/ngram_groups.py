@@ -165,27 +165,34 @@ def signatures(docs: DataFrame, common: np.ndarray, rule: Rule) -> DataFrame:
         run, "doc_id long, n long, print binary, prefix array<long>, bits binary")
 
 
-def _buckets(groups: DataFrame) -> DataFrame:
+def _buckets(groups: DataFrame, rule: Rule) -> DataFrame:
     """(token, group, pos): the groups that share a prefix token, once for tokens with the same groups, and groups with several sets."""
-    rows = groups.select("group", "sets", F.posexplode("prefix").alias("pos", "token"))
+    rows = groups.select("group", "sets", "n", F.posexplode("prefix").alias("pos", "token"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from map(several, _runs(batches, 1))
 
     def several(part: pa.RecordBatch) -> pa.RecordBatch:
-        tokens = part.column(0).to_numpy()
+        tokens, n = part.column(0).to_numpy(), part.column(4).to_numpy()
+        # Rows of a token come by size: a group without a neighbour of fitting size has no partner here.
+        near = (tokens[1:] == tokens[:-1]) & (rule.below * n[:-1] >= rule.above * n[1:])
+        keep = (part.column(3).to_numpy() > 1) & (part.column(2).to_numpy() == 0)
+        keep[1:] |= near
+        keep[:-1] |= near
+        part = part.filter(pa.array(keep))
+        tokens = tokens[keep]
         begins = np.ones(len(tokens), bool)
         begins[1:] = tokens[1:] != tokens[:-1]
         start = np.flatnonzero(begins)
         run = np.cumsum(begins) - 1
         # A bucket is named by a sum over its groups, so that tokens with the same groups make one bucket.
+        if not len(tokens):
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), part.column(1), part.column(2)], names=["token", "group", "pos"])
         halves = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint64).reshape(-1, 2)
         name = np.add.reduceat(_mix(halves[:, 0] * _M1 + halves[:, 1]), start)[run]
-        keep = (np.diff(np.append(start, len(tokens)))[run] > 1) | ((part.column(3).to_numpy() > 1) & (part.column(2).to_numpy() == 0))
-        out = pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), part.column(1), part.column(2)], names=["token", "group", "pos"])
-        return out.filter(pa.array(keep))
+        return pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), part.column(1), part.column(2)], names=["token", "group", "pos"])
 
-    shared = (rows.select("token", "group", "pos", "sets").repartition("token").sortWithinPartitions("token")
+    shared = (rows.select("token", "group", "pos", "sets", "n").repartition("token").sortWithinPartitions("token", "n")
               .mapInArrow(run, "token long, group binary, pos int"))
     # The earliest place counts: it bounds what two groups may share from there on.
     return shared.groupBy("token", "group").agg(F.min("pos").alias("pos"))
@@ -348,8 +355,8 @@ def similar_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     # Groups: equal prefix and size, named by a digest of both.
     key = F.sha2(F.concat_ws(",", F.col("n").cast("string"), F.transform("prefix", lambda x: x.cast("string"))), 256)
     keyed = sets.withColumn("group", F.unhex(F.substring(key, 1, 32)))
-    grouped = keyed.groupBy("group").agg(F.count(F.lit(1)).alias("sets"), F.first("prefix").alias("prefix"))
-    buckets = stored(_buckets(grouped), "buckets")
+    grouped = keyed.groupBy("group").agg(F.count(F.lit(1)).alias("sets"), F.first("prefix").alias("prefix"), F.first("n").alias("n"))
+    buckets = stored(_buckets(grouped, rule), "buckets")
     members = stored(buckets.join(keyed.select("group", "print", "n", "bits"), "group").drop("group"), "members")
     links = _verified(_candidates(members, None, True, rule), rows, sets, rule)
     links = links.union(_verified(_candidates(members, components(links), False, rule), rows, sets, rule))
