@@ -20,11 +20,10 @@ def reject_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that more than 8 % of their source's documents carry.
-
-    Sources are large here; a share below that of the largest groups of copies would empty those before they are deduplicated.
+    """Texts without the lines that more than a fifth of their source's texts carry, and without lines of 40 or more characters
+    that ten or more of them carry; one text keeps each line, and copies as a whole are left to the next stage.
     """
-    return site_lines.clean_documents(docs, share=0.08, least_pages=5)
+    return site_lines.clean_documents(docs, share=0.2, least_pages=5, long_line=40, least_texts=10)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,6 +65,27 @@ def test_site_lines(spark):
     assert (got[100].text, got[101].text, got[102].text) == ("HEADER\nx", "HEADER\ny", None)
 
 
+def test_repeated_passages_of_a_large_source(spark):
+    from corpus_pipeline import drop_boilerplate
+    passage = "This long passage was planted in a few dozen of the many documents that the source holds."
+    block = ["A second passage of two lines stands in thirty documents, here is its first line.", "And this is the second line of it, which follows."]
+    own = lambda i: [f"{i}{k} own words of document {i} which no other document has in line {k}" for k in range(3)]
+    texts = {i: own(i) for i in range(600)}
+    for i in range(24):
+        texts[i] = [own(i)[0], passage, *own(i)[1:]]
+    for i in range(100, 130):
+        texts[i] = [*block, *own(i), "short"]
+    copied = [f"Line {k} of a long text that has been copied as a whole into many documents." for k in range(12)]
+    texts |= {i: copied for i in range(1000, 1040)} | {i: [*copied[:11], f"{i}"] for i in range(1040, 1060)}
+    rows = [(i, "\n".join(t), "en", "big", 1) for i, t in texts.items()]
+    got = {r.doc_id: r.text.split("\n") for r in drop_boilerplate(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "").collect()}
+    assert got.keys() == texts.keys()
+    for line in (passage, *block):
+        assert sum(line in t for t in got.values()) == 1
+    assert all(set(texts[i]) - {passage, *block} <= set(got[i]) for i in texts)  # all else stays, short lines, too
+    assert all(got[i] == texts[i] for i in range(1000, 1060))  # copies are not emptied
+
+
 def test_site_lines_edges(odd_docs, clashing, no_docs):
     assert L.clean_documents(no_docs).count() == 0
     out = L.clean_documents(clashing)
