@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -135,20 +135,20 @@ def common_tokens(docs: DataFrame, rule: Rule) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, common: np.ndarray, rule: Rule) -> DataFrame:
-    """doc_id, n (size of the set), print (128-bit digest of the set, null if empty), prefix (ordered tokens), bits of every row."""
+    """doc_id, key, n (size of the set), print (128-bit digest of the set, null if empty), prefix (ordered tokens), bits of every row."""
     spark = docs.sparkSession
     order = np.argsort(common, kind="stable")
     handed = spark.sparkContext.broadcast((common[order], (order + 1).astype(np.int64)))
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()), ("prefix", pa.list_(pa.int64())), ("bits", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("print", pa.binary()), ("prefix", pa.list_(pa.int64())), ("bits", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, ranks = handed.value
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 tokens = shingles(text.as_py(), rule.words)
                 if not len(tokens):
-                    out.append((doc_id, 0, None, None, None))
+                    out.append((doc_id, key, 0, None, None, None))
                     continue
                 rank = np.zeros(len(tokens), np.int64)
                 if len(values):
@@ -156,13 +156,28 @@ def signatures(docs: DataFrame, common: np.ndarray, rule: Rule) -> DataFrame:
                     rank = np.where(values[at] == tokens, ranks[at], 0)
                 first = tokens[np.argsort(rank, kind="stable")[:rule.prefix_length(len(tokens))]]
                 odd = np.bincount((tokens >> np.uint64(40)).astype(np.int64) % BITS, minlength=BITS) & 1
-                out.append((doc_id, len(tokens), hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(),
+                out.append((doc_id, key, len(tokens), hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(),
                             first.view(np.int64).tolist(), np.packbits(odd.astype(np.uint8)).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)] if out else
                                              [pa.array([], f.type) for f in schema], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n long, print binary, prefix array<long>, bits binary")
+    return docs.select(F.col("doc_id").cast("long"), _text_key().alias("key"), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, key binary, n long, print binary, prefix array<long>, bits binary")
+
+
+def _text_key() -> Column:
+    """Digest of a text.  With the id, which may be null or repeat, it tells rows apart but for those equal in both."""
+    return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+
+
+def _first_row() -> Column:
+    """The (doc_id, key) with the smallest id; a null id only where there is no other."""
+    row = F.struct("doc_id", "key")
+    return F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), row)), F.min(row))
+
+
+def _same_row(id_: str, key: str) -> Column:
+    return F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col("key") == F.col(key))
 
 
 def _buckets(groups: DataFrame, rule: Rule) -> DataFrame:
@@ -296,16 +311,22 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: Rule) ->
     """
     pairs, place = stored(pairs, "pairs"), ["token", "left", "right"]
     roles = pairs.select(F.explode(F.array("a", "b")).alias("print"), *place).distinct()
-    wanted = stored(roles.join(sets.select("print", "doc_id"), "print"), "wanted")
+    wanted = stored(roles.join(sets.select("print", "doc_id", "key"), "print"), "wanted")
     few = wanted.count() <= MOST_PICKED
-    ids, roles = wanted.select("doc_id").distinct(), wanted.drop("doc_id")
+    picks, roles = wanted.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct(), wanted.drop("doc_id", "key")
     if few:
-        ids, roles = F.broadcast(ids), F.broadcast(roles)
+        picks, roles = F.broadcast(picks), F.broadcast(roles)
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[bytes] = set()  # rows equal in id and text give their set once a task
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
-                found = [shingles(t.as_py(), rule.words).tobytes() for t in batch.column(0).slice(start, 64)]
+                fresh = []
+                for key, text in zip(batch.column(0).slice(start, 64).to_pylist(), batch.column(1).slice(start, 64)):
+                    if key not in done:
+                        done.add(key)
+                        fresh.append(text)
+                found = [shingles(t.as_py(), rule.words).tobytes() for t in fresh]
                 prints = [hashlib.blake2b(t, digest_size=16).digest() for t in found]
                 yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(found, pa.binary())], names=["print", "tokens"])
 
@@ -326,7 +347,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: Rule) ->
                         two.append(body.as_py())
             yield pa.RecordBatch.from_arrays([pa.array(one, pa.binary()), pa.array(two, pa.binary())], names=["a", "b"])
 
-    picked = docs.join(ids, "doc_id", "left_semi").select(F.col("text").cast("string")).mapInArrow(load, "print binary, tokens binary")
+    keyed = docs.withColumn("key", _text_key())
+    picked = keyed.join(picks, _same_row("__id", "__key"), "left_semi").select("key", F.col("text").cast("string")).mapInArrow(load, "print binary, tokens binary")
     bodies = picked.join(roles, "print").select(*place, F.lit(0).alias("turn"), F.col("print").alias("a"), F.col("tokens").alias("body"))
     sent = bodies.union(pairs.select(*place, F.lit(1), "a", F.col("b"))).repartition(*place).sortWithinPartitions(*place, "turn")
     return stored(sent.mapInArrow(check, "a binary, b binary"), "links")
@@ -344,14 +366,22 @@ def similar_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
 
     The component is the smallest id reachable by links.  Null and empty texts have no shingles and are linked with nothing.
-    Rows with equal sets are linked.  Ids must not be null (a null id stays in its row but never names a component unless it
-    is alone); rows may repeat.  Other columns are ignored.
+    Rows with equal sets are linked.  Ids may be null and rows may repeat: a null id never names a component unless no row of
+    it has another.  Other columns are ignored.
     """
+    signed, names = _grouped(docs, rule)
+    return signed.select("doc_id", F.col("n").alias("n_shingles"), "print").join(names.drop("first"), "print", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows, and (print, component_id, first) of all sets, ``first`` the row that stands for the component."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     common = common_tokens(rows, rule)
     signed = stored(signatures(rows, common, rule), "signatures")
     sets = stored(signed.where("n > 0").groupBy("print").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")), "sets_of")
+        _first_row().alias("row"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+        .select("print", "row.*", "n", "prefix", "bits"), "sets_of")
     # Groups: equal prefix and size, named by a digest of both.
     key = F.sha2(F.concat_ws(",", F.col("n").cast("string"), F.transform("prefix", lambda x: x.cast("string"))), 256)
     keyed = sets.withColumn("group", F.unhex(F.substring(key, 1, 32)))
@@ -360,31 +390,36 @@ def similar_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     members = stored(buckets.join(keyed.select("group", "print", "n", "bits"), "group").drop("group"), "members")
     links = _verified(_candidates(members, None, True, rule), rows, sets, rule)
     links = links.union(_verified(_candidates(members, components(links), False, rule), rows, sets, rule))
-    return _label(signed, sets, links)
+    return signed, _names(sets, links)
 
 
-def _label(signed: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
+def _names(sets: DataFrame, links: DataFrame) -> DataFrame:
     roots = components(links)
-    rooted = sets.select("print", "doc_id").join(roots.select(F.col("node").alias("print"), "root"), "print", "left")
-    rooted = stored(rooted.select("print", "doc_id", F.coalesce("root", "print").alias("root")), "rooted")
-    least = stored(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
-    names = stored(rooted.select("print", "root").join(least, "root").select("print", "component_id"), "names")
-    return signed.select("doc_id", F.col("n").alias("n_shingles"), "print").join(names, "print", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    rooted = sets.select("print", "doc_id", "key").join(roots.select(F.col("node").alias("print"), "root"), "print", "left")
+    rooted = stored(rooted.select("print", "doc_id", "key", F.coalesce("root", "print").alias("root")), "rooted")
+    least = stored(rooted.groupBy("root").agg(_first_row().alias("first")), "least")
+    return stored(rooted.select("print", "root").join(least, "root").select(
+        "print", F.col("first.doc_id").alias("component_id"), "first"), "names")
 
 
 def one_of_each(docs: DataFrame, rule: Rule = Rule(5, 4, 5)) -> DataFrame:
-    """The documents without near duplicates: of each component the row with the smallest id stays; columns as they are.
+    """The documents without near duplicates: of each component one row with the smallest id stays; columns as they are.
 
-    Rows that repeat an id within a component go, too, but for one.  Rows without words or without an id all stay.
+    This is decided for rows, not ids: a null id is larger than all others, and rows that share an id are judged by their
+    texts.  Of rows equal in id and text one stays.  Rows without words all stay.
     """
-    found = stored(similar_documents(docs, rule), "similar")
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    rest = docs.join(F.broadcast(gone) if gone.count() <= MOST_PICKED else gone, "doc_id", "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
-    repeated = found.where(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("component_id")) & (F.col("n_shingles") > 0)).groupBy("doc_id").count()
-    again = repeated.where("count > 1").select("doc_id")
+    columns = docs.columns
+    signed, names = _grouped(docs, rule)
+    found = stored(signed.where("n > 0").select("doc_id", "key", "print").join(names.select("print", "first"), "print").select(
+        "doc_id", "key", _same_row("first.doc_id", "first.key").alias("stays")), "similar")
+    gone = found.where("not stays").select(F.col("doc_id").alias("__id"), F.col("key").alias("__gone")).distinct()
+    gone = F.broadcast(gone) if gone.count() <= MOST_PICKED else gone
+    same = lambda key: F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col(key))
+    rest = docs.withColumn("__key", _text_key()).join(gone, same("__gone"), "left_anti")
+    again = found.where("stays").groupBy("doc_id", "key").count().where("count > 1").select(
+        F.col("doc_id").alias("__id"), F.col("key").alias("__again"))
+    back = [F.col(f"`{c}`") for c in columns]
     if again.isEmpty():
-        return rest
-    twice = rest.join(again, "doc_id", "left_semi").select(*rest.columns)
-    return rest.join(again, "doc_id", "left_anti").select(*rest.columns).union(twice.dropDuplicates(["doc_id"]))
+        return rest.select(*back)
+    twice = rest.join(again, same("__again"), "left_semi").dropDuplicates(["doc_id", "__key"])
+    return rest.join(again, same("__again"), "left_anti").select(*back).union(twice.select(*back))

@@ -82,6 +82,18 @@ def test_ngram_edges(odd_docs, clashing, no_docs):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 2, 3, 4, 5, 7, 8, 9]
 
 
+def test_ngram_null_ids(spark):
+    words = [f"w{k}" for k in range(80)]
+    near = [*words[:-1], "other"]
+    rows = [(1, " ".join(words)), (None, " ".join(near)), (None, " ".join(near)), (None, "quite another text"), (7, "quite another text indeed"),
+            *[(None, " ".join([*(f"v{k}" for k in range(80)), str(i)])) for i in range(3)], (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1) for r in N.similar_documents(docs).collect())
+    assert got == [(-1, 0, -1)] * 2 + [(-1, 1, -1)] + [(-1, 78, 1)] * 2 + [(-1, 79, -1)] * 3 + [(1, 78, 1), (7, 2, 7)]
+    kept = sorted((r.doc_id or -1, len((r.text or "").split())) for r in N.one_of_each(docs).collect())
+    assert kept == [(-1, 0), (-1, 0), (-1, 3), (-1, 81), (1, 80), (7, 4)]
+
+
 def brute_vectors(rows, least):
     def valid(label, v):
         return label is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
