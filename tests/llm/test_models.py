@@ -122,6 +122,19 @@ def test_scores(odd_docs, clashing, no_docs):
     assert A.score_texts(no_docs, RANKS, P.PATTERN, SHAPE).count() == 0
 
 
+def test_weights_learn_from_every_training_text(spark):
+    # The registered setting; of a few texts, or of texts with one id, a draw by id may take none.
+    texts = [f"text number {i} tells of the cat that sat upon the mat " * (i % 4 + 1) for i in range(12)]
+    for rows in ([(i, t) for i, t in enumerate(texts)], [(None, t) for t in texts]):
+        training = spark.createDataFrame(rows, "doc_id long, text string")
+        coder, got = A.load(RANKS, P.PATTERN), A.training_windows(training, RANKS, P.PATTERN)
+        want = [np.concatenate([[coder.end], coder.encode(t)]).astype("<u2") for t in texts]
+        size = A.Shape().window
+        assert sorted(bytes(r.window) for r in got.collect()) == sorted(w[k:k + size + 1].tobytes() for w in want for k in range(0, len(w) - 1, size))
+        none = A.Shape(**{**SHAPE.__dict__, "keep_one_in": 1_000_000_007})
+        assert A.fit(training, A.base_values(training)[0], RANKS, P.PATTERN, none)[1] is not None
+
+
 CHATS = "conv_id long, turn long, role string, text string"
 
 
