@@ -94,6 +94,13 @@ def test_ngram_null_ids(spark):
     assert kept == [(-1, 0), (-1, 0), (-1, 3), (-1, 81), (1, 80), (7, 4)]
 
 
+def test_one_of_each_judges_rows(spark):
+    text = lambda c, n=80: " ".join(f"{c}{k}" for k in range(n))
+    rows = [(1, text("a")), (1, text("b")), (2, text("c")), (3, text("c")), (3, text("d")), (4, text("e")), (4, text("e")), (4, text("e", 81))]
+    kept = N.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text[0]) for r in kept) == [(1, "a"), (1, "b"), (2, "c"), (3, "d"), (4, "e")]
+
+
 def brute_vectors(rows, least):
     def valid(label, v):
         return label is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
