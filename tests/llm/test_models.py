@@ -122,6 +122,13 @@ def test_scores(odd_docs, clashing, no_docs):
     assert A.score_texts(no_docs, RANKS, P.PATTERN, SHAPE).count() == 0
 
 
+def test_windows_overlap_by_half():
+    shape = A.Shape()
+    cut = A.windows(500, shape)
+    assert [i for _, f, e in cut for i in range(f, e)] == list(range(500))
+    assert all(f - b >= shape.window / 2 for b, f, _ in cut[1:])
+
+
 def test_weights_learn_from_every_training_text(spark):
     # The registered setting; of a few texts, or of texts with one id, a draw by id may take none.
     texts = [f"text number {i} tells of the cat that sat upon the mat " * (i % 4 + 1) for i in range(12)]
