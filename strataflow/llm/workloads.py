@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, byte_bpe, embedding_pairs, language_id, ngram_groups, quality_lists, site_lines, source_mix, token_counts, transcripts
+from . import (additive_quality, attention_lm, byte_bpe, collocations, embedding_pairs, language_id, ngram_groups, quality_lists, site_lines,
+               source_mix, target_sample, token_counts, transcripts)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -160,3 +161,37 @@ FROM embeddings m JOIN c ON c.v = m.vec_id LEFT JOIN n ON n.a = m.vec_id"""
 def op5_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     """Roles of all conversation turns by Viterbi, and the turns in canonical form."""
     return transcripts.format_chats(_table(spark, folder, "conversations"))
+
+
+@_query
+def op11_additive_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document by an additive model with interactions, learned from ``labels.quality``."""
+    return additive_quality.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@_query
+def op12_target_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents drawn by importance towards the benchmark texts."""
+    return target_sample.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@_query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """First collocations of two to five words of every language."""
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
+SQL["op13_collocations"] = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i:i + m - 1])) AS ph FROM p, range(1, 6) AS r(m) WHERE len(w) >= m),
+f AS (SELECT lang, m, ph, count(*) AS c FROM g GROUP BY ALL HAVING count(*) >= 100),
+k AS (SELECT x.lang, x.m, x.ph, x.c AS a, k, l.c AS l, r.c AS r, ((1000::HUGEINT * x.c * t.n) // (l.c::HUGEINT * r.c))::BIGINT AS score, t.n
+  FROM f x, range(1, 5) AS q(k), f l, f r, t WHERE x.m > 1 AND k < x.m AND l.lang = x.lang AND r.lang = x.lang AND t.lang = x.lang
+    AND l.m = k AND r.m = x.m - k AND l.ph = x.ph[1:k] AND r.ph = x.ph[k + 1:x.m]),
+b AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) = 1),
+i AS (SELECT lang, ph[s:s + z - 1] AS ph, max(c) AS most FROM f, range(2, 5) AS r(z), range(1, 5) AS o(s) WHERE z < m AND s + z - 1 <= m GROUP BY ALL),
+o AS (SELECT b.*, array_to_string(b.ph, ' ') AS phrase FROM b LEFT JOIN i ON b.lang = i.lang AND b.ph = i.ph WHERE i.most IS NULL OR 100 * i.most < 100 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "binary") AS rank, phrase, a, l, r, n, score FROM o
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "binary") <= 2000"""

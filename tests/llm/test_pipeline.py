@@ -11,7 +11,7 @@ from tools.check_oracle import compare, connect
 
 def test_registered():
     names = set(entry.queries())
-    assert {"pipeline"} <= names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {"pipeline"} <= names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert len(C.STAGES) == 5
 
 
@@ -49,6 +49,6 @@ def shingles(text):
     return {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-@pytest.mark.parametrize("name", ["op1_site_lines", "op2_source_mix", "op4_embedding_pairs", "op8_ngram_groups"])
+@pytest.mark.parametrize("name", ["op1_site_lines", "op2_source_mix", "op4_embedding_pairs", "op8_ngram_groups", "op13_collocations"])
 def test_sql(spark, small, name):
     assert compare(spark, connect(small), name, small)
