@@ -4,10 +4,12 @@ Prefix polynomials over the words of a batch give the fingerprint of every n-gra
 counted in the task, and the shuffle adds counts and keeps pointers to an occurrence, never text.
 
 1. Texts are stored once as pieces of words under row numbers, so that a pointer (row, place) holds for all later passes.
-2. Lengths are counted one after the other.  An n-gram can be frequent only if both its parts of one word less are, so a task
-   passes on those whose parts are in a bitmap of the frequent fingerprints of the length before.  The bitmap has a bounded size;
-   a slot shared by others costs rows, never results.
-3. Frequent phrases, and no others, are read from the text at their pointers.
+2. Lengths are counted one after the other, by the upper bits of the fingerprints only: a number and a count are all that is
+   shuffled.  An n-gram can be frequent only if both its parts of one word less are, so a task passes on those whose parts are in
+   a bitmap of the frequent numbers of the length before.  Numbers and bitmaps are shared by several n-grams: that costs rows,
+   never results.
+3. One more pass counts the n-grams in the bitmaps by whole fingerprints, with a pointer each.  What is frequent now, and nothing
+   else, is read from the text at its pointer.
 4. A second polynomial with other word hashes tells collisions: where a fingerprint has two of them, its phrases are counted
    again by their text.
 5. Scores follow from the counts of the parts by joins, in decimals.
@@ -25,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, stored
+from .common import stored
 
 #: Language of texts that name none.
 UNKNOWN = "und"
@@ -33,7 +35,11 @@ UNKNOWN = "und"
 BREAK = "A"
 _BREAK = BREAK.encode()
 #: Words whose n-grams a task counts at once.
-WORDS_AT_ONCE = 1_000_000
+WORDS_AT_ONCE = 500_000
+#: Upper bits of a fingerprint by which n-grams are counted before pointers are kept.
+NUMBER_BITS = 36
+#: Upper-case letters become small, the separators of pieces the break.
+_TABLE = bytes(ord("A") if c in b".,;:!?\n\v\f\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Slots of the bitmap per frequent fingerprint, and most of them (8 MB).
 SLOTS_EACH, MOST_SLOTS = 32, 1 << 26
 #: Word hashes a task remembers.
@@ -69,40 +75,53 @@ def _powers(base: int, count: int) -> np.ndarray:
 
 
 class Prints:
-    """Fingerprints of the n-grams of a run of words, from prefix polynomials modulo 2 ** 64."""
+    """Fingerprints of the n-grams of a run of words of one language, from prefix polynomials modulo 2 ** 64."""
 
-    def __init__(self, words: list[bytes], known: _Words, bits: int):
-        count = len(words)
-        pair = np.frombuffer(b"".join([known[w] for w in words]), np.uint64).reshape(-1, 2)
-        self._sums = []
-        for base, values in ((_BASE, pair[:, 0]), (_CHECK_BASE, pair[:, 1])):
-            # Sum of word * base ** -place up to each place; times base ** place of the end it is the polynomial of the words.
-            down = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(pow(base, -1, 1 << 64), count))])
-            self._sums.append((down, _powers(base, count)))
-        breaks = (pair == np.frombuffer(known[_BREAK], np.uint64)).all(axis=1)
+    def __init__(self, lang: str, words: list[bytes], known: _Words, bits: int):
+        self._pair = np.frombuffer(b"".join([known[w] for w in words]), np.uint64).reshape(-1, 2)
+        self._lang, self._mask, count = xxhash.xxh3_64_intdigest(lang.encode()), np.uint64((1 << bits) - 1), len(words)
+        breaks = (self._pair == np.frombuffer(known[_BREAK], np.uint64)).all(axis=1)
         ends = np.where(breaks, np.arange(count), count)
         #: Words from each place to the end of its piece.
         self.left = (np.minimum.accumulate(ends[::-1])[::-1] if count else ends) - np.arange(count)
-        self._mask = np.uint64((1 << bits) - 1)
+        self._sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places of the n-grams, their fingerprints and their checks."""
+    def _polynomial(self, which: int, at: np.ndarray, n: int) -> np.ndarray:
+        if which not in self._sums:
+            base = (_BASE, _CHECK_BASE)[which]
+            # Sum of word * base ** -place up to each place; times base ** place of the end it is the polynomial of the words.
+            down = np.cumsum(self._pair[:, which] * _powers(pow(base, -1, 1 << 64), len(self._pair)))
+            self._sums[which] = np.concatenate([np.zeros(1, np.uint64), down]), _powers(base, len(self._pair))
+        down, up = self._sums[which]
+        x = (down[at + n] - down[at]) * up[at + n - 1] if len(at) else np.zeros(0, np.uint64)
+        x = ((x ^ np.uint64(self._lang)) ^ (x >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return x ^ (x >> np.uint64(29))
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the n-grams, and their fingerprints."""
         at = np.flatnonzero(self.left >= n)
-        out = []
-        for down, up in self._sums:
-            x = (down[at + n] - down[at]) * up[at + n - 1] if len(at) else np.zeros(0, np.uint64)
-            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
-            out.append(x ^ (x >> np.uint64(29)))
-        return at, out[0] & self._mask, out[1]
+        return at, self._polynomial(0, at, n) & self._mask
+
+    def check(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Values of the other polynomial."""
+        return self._polynomial(1, at, n)
 
 
 def pieces(docs: DataFrame) -> DataFrame:
     """Stored table (row, lang, words): the text with its words joined by spaces and pieces separated by :data:`BREAK`."""
-    text = ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    cut = F.regexp_replace(text, r"[.,;:!?\x0A-\x0D]", f" {BREAK} ")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_squeezed((t.as_py() or "").encode("utf-8", "replace").translate(_TABLE)) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["row", "lang", "words"])
+
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
-                       F.trim(F.regexp_replace(cut, r"[\x20\x09]+", " ")).alias("words"))
-    return stored(rows.where(F.col("words") != ""), "pieces")
+                       F.col("text").cast("string").alias("text"))
+    return stored(rows.mapInArrow(run, "row long, lang string, words binary").where(F.octet_length("words") > 0), "pieces")
+
+
+def _squeezed(body: bytes) -> bytes:
+    """Words and breaks apart by one space each; only space and tab are between words."""
+    return b" ".join(filter(None, body.replace(b"\t", b" ").replace(_BREAK, b" A ").split(b" ")))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], list[int], list[int]]]:
@@ -112,7 +131,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes],
     for batch in batches:
         for row, lang, body in zip(*batch.columns):
             words, rows, starts = held[lang.as_py()]
-            found = body.as_py().encode("utf-8", "replace").split(b" ")
+            found = body.as_py().split(b" ")
             rows.append(row.as_py())
             starts.append(len(words))
             words += found
@@ -127,138 +146,166 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes],
         yield key, *value
 
 
-def _bit_of(bitmap: np.ndarray, prints: np.ndarray) -> np.ndarray:
-    slot = prints & np.uint64(len(bitmap) * 64 - 1)
+def _number(prints: np.ndarray, bits: int) -> np.ndarray:
+    """The upper bits of fingerprints of so many bits."""
+    return prints >> np.uint64(max(0, bits - NUMBER_BITS))
+
+
+def _bit_of(bitmap: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    slot = numbers & np.uint64(len(bitmap) * 64 - 1)
     return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-def count_prints(rows: DataFrame, n: int, rule: Rule, before: np.ndarray | None) -> DataFrame:
-    """(lang, print, count, low, high, row, place): occurrences of every n-gram that may be frequent, its least and greatest check,
-    and one of its places."""
-    handed = rows.sparkSession.sparkContext.broadcast(before) if before is not None else None
-    names = ["lang", "print", "count", "row", "place", "check"]
+def _whose_parts(prints: Prints, n: int, shorter: np.ndarray, size: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and fingerprints of the n-grams whose parts of one word less are in the bitmap."""
+    places, code = prints.of(n - 1)
+    fits = np.zeros(size + 1, bool)
+    fits[places] = _bit_of(shorter, _number(code, bits))
+    at, code = prints.of(n)
+    keep = fits[at] & fits[at + 1]
+    return at[keep], code[keep]
+
+
+def count_numbers(rows: DataFrame, n: int, rule: Rule, shorter: np.ndarray | None) -> DataFrame:
+    """(number, count): occurrences of the n-grams that may be frequent, by the upper bits of their fingerprints."""
+    handed = rows.sparkSession.sparkContext.broadcast(shorter)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
-        for lang, words, numbers, starts in _runs(batches):
-            prints = Prints(words, known, rule.bits)
-            at, code, check = prints.of(n)
-            if handed is not None:
-                places, shorter, _ = prints.of(n - 1)
-                fits = np.zeros(len(words) + 1, bool)
-                fits[places] = _bit_of(handed.value, shorter)
-                keep = fits[at] & fits[at + 1]
-                at, code, check = at[keep], code[keep], check[keep]
-            if not len(at):
-                continue
-            order = np.argsort(code, kind="stable")
-            at, code, check = at[order], code[order], check[order]
-            new = np.ones(len(at), bool)
-            new[1:] = (code[1:] != code[:-1]) | (check[1:] != check[:-1])
-            first = np.flatnonzero(new)
-            counts = np.diff(np.append(first, len(at)))
-            doc = np.searchsorted(starts, at[first], side="right") - 1
-            yield pa.RecordBatch.from_arrays([
-                pa.DictionaryArray.from_arrays(np.zeros(len(first), np.int32), [lang]).dictionary_decode(), pa.array(code[first].view(np.int64)), pa.array(counts),
-                pa.array(np.asarray(numbers, np.int64)[doc]), pa.array((at[first] - np.asarray(starts)[doc]).astype(np.int32)),
-                pa.array(check[first].view(np.int64))], names=names)
-
-    found = rows.mapInArrow(run, "lang string, print long, count long, row long, place int, check long")
-    return found.groupBy("lang", "print").agg(
-        F.sum("count").alias("count"), F.min("check").alias("low"), F.max("check").alias("high"),
-        # Any occurrence will do; all places of a fingerprint in one row come from one task.
-        F.min("row").alias("row"), F.min_by("place", "row").alias("place"))
+        for lang, words, _, _ in _runs(batches):
+            prints = Prints(lang, words, known, rule.bits)
+            code = prints.of(n)[1] if handed.value is None else _whose_parts(prints, n, handed.value, len(words), rule.bits)[1]
+            code = np.sort(_number(code, rule.bits))
+            first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(code[first].view(np.int64)), pa.array(np.diff(np.append(first, len(code))))],
+                                             names=["number", "count"])
 
+    return rows.mapInArrow(run, "number long, count long").groupBy("number").agg(F.sum("count").alias("count"))
 
-def bitmap(frequent: DataFrame) -> np.ndarray:
-    """Bits of the slots of frequent fingerprints; the slots are merged by tasks and bounded in number."""
+
+def bitmap(numbers: DataFrame) -> np.ndarray:
+    """Bits of the slots of a column ``number``; the slots are merged by tasks and bounded in number."""
     slots = 1 << 16
-    while slots < min(MOST_SLOTS, SLOTS_EACH * frequent.count()):
+    while slots < min(MOST_SLOTS, SLOTS_EACH * numbers.count()):
         slots *= 2
-    slot = F.col("print").bitwiseAND(F.lit(slots - 1))
-    bits = frequent.groupBy(F.shiftright(slot, 6).alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(print & 63 AS int))")).alias("bits")).toArrow()
+    bits = numbers.groupBy(F.shiftright(F.col("number").bitwiseAND(F.lit(slots - 1)), 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(number & 63 AS int))")).alias("bits")).toArrow()
     out = np.zeros(slots // 64, np.uint64)
     out[bits.column("at").to_numpy()] = bits.column("bits").to_numpy().view(np.uint64)
     return out
 
 
-def phrases_at(rows: DataFrame, frequent: DataFrame, n: int) -> DataFrame:
+def count_prints(rows: DataFrame, bitmaps: list[np.ndarray], rule: Rule) -> DataFrame:
+    """(lang, words, print, count, low, high, row, place): occurrences of every n-gram that may be frequent, its least and greatest
+    check, and one of its places.  ``words`` 0 counts all words of a language.
+    """
+    handed = rows.sparkSession.sparkContext.broadcast(bitmaps)
+    names = ["lang", "words", "print", "count", "row", "place", "check"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Words()
+        for lang, words, numbers, starts in _runs(batches):
+            prints = Prints(lang, words, known, rule.bits)
+            numbers, starts = np.asarray(numbers, np.int64), np.asarray(starts, np.int64)
+            for n, own in enumerate(handed.value, 1):
+                at, code = prints.of(n) if n == 1 else _whose_parts(prints, n, handed.value[n - 2], len(words), rule.bits)
+                total = len(at)
+                keep = _bit_of(own, _number(code, rule.bits))
+                at, code = at[keep], code[keep]
+                check = prints.check(at, n)
+                order = np.argsort(code)
+                at, code, check = at[order], code[order], check[order]
+                new = np.ones(len(at), bool)
+                new[1:] = (code[1:] != code[:-1]) | (check[1:] != check[:-1])
+                first = np.flatnonzero(new)
+                doc = np.searchsorted(starts, at[first], side="right") - 1
+                columns = [np.full(len(first), n), code[first].view(np.int64), np.diff(np.append(first, len(at))), numbers[doc],
+                           at[first] - starts[doc], check[first].view(np.int64)]
+                if n == 1:
+                    columns = [np.append(c, v) for c, v in zip(columns, (0, 0, total, 0, 0, 0))]
+                yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(columns[0]), np.int64))), *map(pa.array, columns)], names=names)
+
+    found = rows.mapInArrow(run, "lang string, words long, print long, count long, row long, place long, check long")
+    return found.groupBy("lang", "words", "print").agg(
+        F.sum("count").alias("count"), F.min("check").alias("low"), F.max("check").alias("high"),
+        # Any occurrence will do; all places of a fingerprint in one row come from one task.
+        F.min("row").alias("row"), F.min_by("place", "row").alias("place"))
+
+
+def phrases_at(rows: DataFrame, frequent: DataFrame) -> DataFrame:
     """(lang, phrase, words, count) of fingerprints with one phrase each, the phrase read from the text at the pointer.
 
     A text is cut into words once for all pointers to it; they are no more than its n-grams.
     """
-    at = frequent.groupBy(F.col("row").alias("__row")).agg(F.collect_list("place").alias("places"), F.collect_list("count").alias("counts"))
+    at = frequent.groupBy(F.col("row").alias("__row")).agg(F.collect_list(F.struct("place", "words", "count")).alias("pointers"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, body, places, counts in zip(*batch.columns):
-                words, places = body.as_py().split(" "), places.as_py()
-                for start in range(0, len(places), 10_000):
-                    part = places[start:start + 10_000]
+            for lang, body, pointers in zip(*batch.columns):
+                words, pointers = body.as_py().split(b" "), pointers.as_py()
+                for start in range(0, len(pointers), 10_000):
+                    part = pointers[start:start + 10_000]
+                    found = [b" ".join(words[p["place"]:p["place"] + p["words"]]).decode("utf-8", "replace") for p in part]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([lang.as_py()] * len(part)), pa.array([" ".join(words[i:i + n]) for i in part]),
-                        pa.array(counts.as_py()[start:start + 10_000], pa.int64())], names=["lang", "phrase", "count"])
+                        pa.array([lang.as_py()] * len(part)), pa.array(found), pa.array([p["words"] for p in part], pa.int64()),
+                        pa.array([p["count"] for p in part], pa.int64())], names=["lang", "phrase", "words", "count"])
 
-    found = rows.join(at, F.col("row") == F.col("__row")).select("lang", "words", "places", "counts")
-    return found.mapInArrow(read, "lang string, phrase string, count long").select("lang", "phrase", F.lit(n).alias("words"), "count")
+    found = rows.join(at, F.col("row") == F.col("__row")).select("lang", F.col("words"), "pointers")
+    return found.mapInArrow(read, "lang string, phrase string, words long, count long")
 
 
-def recount(rows: DataFrame, collided: DataFrame, n: int, rule: Rule) -> DataFrame:
-    """(lang, phrase, count) of all phrases of fingerprints that several phrases share, counted by their text."""
-    slots = bitmap(collided)
-    handed = rows.sparkSession.sparkContext.broadcast(slots)
+def recount(rows: DataFrame, collided: DataFrame, rule: Rule) -> DataFrame:
+    """(lang, phrase, words, count) of all phrases of fingerprints that several phrases share, counted by their text."""
+    bits = [bitmap(collided.where(F.col("words") == n).select(F.col("print").alias("number"))) for n in range(1, rule.longest + 1)]
+    handed = rows.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
         for lang, words, _, _ in _runs(batches):
-            at, code, _ = Prints(words, known, rule.bits).of(n)
-            keep = _bit_of(handed.value, code)
-            seen = Counter((int(c), b" ".join(words[i:i + n])) for i, c in zip(at[keep].tolist(), code[keep].view(np.int64)))
-            for start in range(0, len(seen), 10_000):
-                part = list(seen.items())[start:start + 10_000]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array([k[0] for k, _ in part], pa.int64()),
-                                                  pa.array([k[1].decode() for k, _ in part]), pa.array([v for _, v in part], pa.int64())],
-                                                 names=["lang", "print", "phrase", "count"])
-
-    counts = (rows.mapInArrow(run, "lang string, print long, phrase string, count long")
-              .groupBy("lang", "print", "phrase").agg(F.sum("count").alias("count")).where(F.col("count") >= rule.least))
+            prints = Prints(lang, words, known, rule.bits)
+            for n, own in enumerate(handed.value, 1):
+                at, code = prints.of(n)
+                keep = _bit_of(own, code)
+                seen = Counter((c, b" ".join(words[i:i + n])) for i, c in zip(at[keep].tolist(), code[keep].view(np.int64).tolist()))
+                for start in range(0, len(seen), 10_000):
+                    part = list(seen.items())[start:start + 10_000]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([lang] * len(part)), pa.array([n] * len(part), pa.int64()), pa.array([k[0] for k, _ in part], pa.int64()),
+                        pa.array([k[1].decode("utf-8", "replace") for k, _ in part]), pa.array([v for _, v in part], pa.int64())],
+                        names=["lang", "words", "print", "phrase", "count"])
+
+    counts = (rows.mapInArrow(run, "lang string, words long, print long, phrase string, count long")
+              .groupBy("lang", "words", "print", "phrase").agg(F.sum("count").alias("count")).where(F.col("count") >= rule.least))
     # A bitmap lets others through, too.
-    keys = collided.select(F.col("lang").alias("__lang"), F.col("print").alias("__print"))
-    return counts.join(keys, (F.col("lang") == F.col("__lang")) & (F.col("print") == F.col("__print")), "left_semi").select(
-        "lang", "phrase", F.lit(n).alias("words"), "count")
+    keys = collided.select(F.col("lang").alias("__lang"), F.col("words").alias("__words"), F.col("print").alias("__print"))
+    same = (F.col("lang") == F.col("__lang")) & (F.col("words") == F.col("__words")) & (F.col("print") == F.col("__print"))
+    return counts.join(keys, same, "left_semi").select("lang", "phrase", "words", "count")
 
 
 def frequent_phrases(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, count) of all phrases of up to ``rule.longest`` words with at least ``rule.least`` occurrences,
     and (lang, n) with the number of words of each language.
     """
-    rows = pieces(docs)
-    found, totals, before = None, None, None
+    rows, bitmaps = pieces(docs), []
     for n in range(1, rule.longest + 1):
-        counts = count_prints(rows, n, rule, before)
-        if n == 1:
-            counts = stored(counts, "words")
-            totals = stored(counts.groupBy("lang").agg(F.sum("count").alias("n")), "totals")
-        frequent = stored(counts.where(F.col("count") >= rule.least), "frequent")
-        single = phrases_at(rows, frequent.where("low = high"), n)
-        collided = frequent.where("low <> high")
-        level = single if collided.isEmpty() else single.union(recount(rows, collided, n, rule))
-        level = stored(level, "phrases")
-        found = level if found is None else found.union(level)
-        if n < rule.longest:
-            before = bitmap(frequent)
-    return found, totals
+        numbers = count_numbers(rows, n, rule, bitmaps[-1] if bitmaps else None).where(F.col("count") >= rule.least)
+        bitmaps.append(bitmap(stored(numbers.select("number"), "numbers")))
+    counts = stored(count_prints(rows, bitmaps, rule).where((F.col("count") >= rule.least) | (F.col("words") == 0)), "prints")
+    totals = counts.where("words = 0").select("lang", F.col("count").alias("n"))
+    frequent = counts.where("words > 0")
+    single, collided = phrases_at(rows, frequent.where("low = high")), frequent.where("low <> high")
+    return stored(single if collided.isEmpty() else single.union(recount(rows, collided, rule)), "phrases"), totals
 
 
 def _part(phrase: Column, start: int | Column, size: int | Column) -> Column:
-    return F.array_join(F.slice(F.split(phrase, " "), start, size), " ")
+    whole = lambda x: x.cast("int") if isinstance(x, Column) else F.lit(x)
+    return F.array_join(F.slice(F.split(phrase, " "), whole(start), whole(size)), " ")
 
 
 def score_phrases(counts: DataFrame, totals: DataFrame) -> DataFrame:
     """(lang, phrase, words, a, l, r, n, score) of the phrases of two and more words, by their lowest-scoring cut."""
     long = counts.where("words > 1")
-    cuts = long.select("lang", "phrase", "words", F.col("count").alias("a"), F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"))
+    cuts = long.select("lang", "phrase", "words", F.col("count").alias("a"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("words") - 1)).alias("k"))
     side = cuts.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("left"))
     part = side.withColumn("part", F.when(F.col("left"), _part(F.col("phrase"), F.lit(1), F.col("k"))).otherwise(
         _part(F.col("phrase"), F.col("k") + 1, F.col("words") - F.col("k"))))

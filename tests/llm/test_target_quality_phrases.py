@@ -163,9 +163,9 @@ def test_scores_are_exact(spark):
 
 
 def test_bitmap(spark):
-    rows = spark.range(3000).select(F.xxhash64("id").alias("print"))
+    rows = spark.range(3000).select(F.xxhash64("id").alias("number"))
     bits = P.bitmap(rows)
-    inside = np.array([r["print"] for r in rows.collect()], np.int64).view(np.uint64)
+    inside = np.array([r.number for r in rows.collect()], np.int64).view(np.uint64)
     assert P._bit_of(bits, inside).all()
     others = np.random.default_rng(1).integers(0, 2 ** 63, 10_000).astype(np.uint64)
     assert P._bit_of(bits, others).mean() < 0.06
