@@ -10,8 +10,10 @@ from ..functions.temporal import clock_to_minutes, parse_date, parse_timestamp
 from ..operators.cleaning import require
 from ..operators.dims import enrich, resolved
 from ..operators.latest import keep_latest
+from ..operators.upsert import within_keys
 from ..sources.lake import Lake
-from .intake import archive, bronze_lines, take_in
+from .incremental import Feed, load_new
+from .intake import archive, take_in
 
 # Source fields and their warehouse names; the fact's columns.
 FIELDS = {
@@ -64,24 +66,29 @@ def silver(bronze: DataFrame, keep_ingest: bool = False) -> DataFrame:
 
 
 def gold(silver_df: DataFrame, dim_employee: DataFrame, dim_date: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """The fact; ``work_date`` is kept beside the reference columns as the partition key."""
+    """The fact; ``work_date`` is kept beside its columns as the partition key."""
     facts = resolved(enrich(silver_df, dim_employee, dim_date))
     stamped = facts.withColumns({"source_attendance_id": F.xxhash64("source_attendance_id"),
                                  "dw_load_timestamp": F.current_timestamp() if as_of is None else as_of})
     return stamped.select(*FACT_COLUMNS, "dw_load_timestamp", "work_date")
 
 
+def feed(catalog: str = "hr", as_of: Column | None = None, period: str | None = None) -> Feed:
+    """The tables and steps of this feed."""
+    return Feed(f"{catalog}.bronze.attendance_raw", f"{catalog}.silver.attendance_cleaned", f"{catalog}.gold.fact_attendance",
+                ("employee_id", "work_date"), "work_date", lambda df: silver(df, keep_ingest=True),
+                lambda df, people, dates: gold(df, people, dates, as_of), period=period)
+
+
 def run(lake: Lake, folder: str, dim_date: DataFrame, catalog: str = "hr", as_of: Column | None = None, serving=None,
         archive_to: str | None = None) -> bool:
     """Files to bronze, silver and gold; then the serving table's dates are replaced if one is given.  False without files."""
     paths = take_in(lake, folder, f"{catalog}.bronze.attendance_raw", as_of)
     if not paths:
         return False
-    lake.overwrite(silver(bronze_lines(lake, f"{catalog}.bronze.attendance_raw")), f"{catalog}.silver.attendance_cleaned",
-                   ["work_date"])
-    facts = gold(lake.read(f"{catalog}.silver.attendance_cleaned"), lake.read(f"{catalog}.gold.dim_employee"), dim_date, as_of)
-    lake.overwrite(facts, f"{catalog}.gold.fact_attendance", ["work_date"])
-    if serving is not None:
-        serving.replace_dates(lake.read(f"{catalog}.gold.fact_attendance"), "fact_attendance", "work_date")
+    parts = load_new(lake, feed(catalog, as_of), lake.read(f"{catalog}.gold.dim_employee"), dim_date)
+    if serving is not None and parts is not None:
+        facts = lake.read(f"{catalog}.gold.fact_attendance")
+        serving.replace_dates(within_keys(facts, parts.withColumnRenamed("_part", "work_date"), "work_date"), "fact_attendance", "work_date")
     archive(lake, paths, folder, archive_to)
     return True

@@ -11,7 +11,8 @@ from ..operators.cleaning import add_constants, blank_strings_to_null, require
 from ..operators.latest import keep_latest
 from ..sources.files import FAILED_MARK
 from ..sources.lake import CLOSED_BATCH, Lake
-from .intake import archive, bronze_lines, take_in
+from .incremental import load_new_dimension
+from .intake import archive, take_in
 
 # Source fields and their warehouse names.
 FIELDS = {
@@ -53,8 +54,8 @@ def decode(bronze: DataFrame) -> DataFrame:
     return records.select("ingest_timestamp", *P.renamed("record", FIELDS))
 
 
-def clean(decoded: DataFrame, parity_hash: bool = False) -> DataFrame:
-    """Typed columns, derived columns and the record hash; one row per employee."""
+def clean(decoded: DataFrame, parity_hash: bool = False, keep_ingest: bool = False) -> DataFrame:
+    """Typed columns, derived columns and the record hash; one row per employee.  ``keep_ingest`` leaves the ingest time in."""
     flat = blank_strings_to_null(decoded, list(FIELDS.values()))
     flat = flat.withColumn("full_name", full_name(F.col("first_name"), F.col("last_name")))
     flat = add_constants(flat, {"is_billable": 0}, {"source_row_id": "int"})
@@ -63,11 +64,18 @@ def clean(decoded: DataFrame, parity_hash: bool = False) -> DataFrame:
                              "added_time": epoch_or_text(F.col("added_time"))})
     hashed = [c for c in flat.columns if c not in NOT_HASHED]
     flat = flat.withColumn("record_hash", record_hash(hashed, parity=parity_hash))
-    return keep_latest(require(flat, "employee_id"), ["employee_id"], ["ingest_timestamp"]).drop("ingest_timestamp")
+    latest = keep_latest(require(flat, "employee_id"), ["employee_id"], ["ingest_timestamp"])
+    return latest if keep_ingest else latest.drop("ingest_timestamp")
 
 
-def silver(bronze: DataFrame, parity_hash: bool = False) -> DataFrame:
-    return clean(decode(bronze), parity_hash)
+def silver(bronze: DataFrame, parity_hash: bool = False, keep_ingest: bool = False) -> DataFrame:
+    return clean(decode(bronze), parity_hash, keep_ingest)
+
+
+def load(lake: Lake, catalog: str = "hr", as_of: Column | None = None) -> bool:
+    """New bronze batches to silver and into the dimension; False without any."""
+    return load_new_dimension(lake, f"{catalog}.bronze.employee_raw", f"{catalog}.silver.employee_cleaned", f"{catalog}.gold.dim_employee",
+                              "employee_id", lambda df: silver(df, keep_ingest=True), "dim_employee_key", as_of)
 
 
 def run(lake: Lake, folder: str, catalog: str = "hr", as_of: Column | None = None,
@@ -76,9 +84,7 @@ def run(lake: Lake, folder: str, catalog: str = "hr", as_of: Column | None = Non
     paths = take_in(lake, folder, f"{catalog}.bronze.employee_raw", as_of, exclude=FAILED_MARK)
     if not paths:
         return False
-    lake.overwrite(silver(bronze_lines(lake, f"{catalog}.bronze.employee_raw")), f"{catalog}.silver.employee_cleaned")
-    lake.apply_scd(lake.read(f"{catalog}.silver.employee_cleaned"), f"{catalog}.gold.dim_employee", "employee_id", as_of,
-                   surrogate="dim_employee_key")
+    load(lake, catalog, as_of)
     if serving is not None:
         current = lake.read(f"{catalog}.gold.dim_employee").where("is_current = 1").drop(CLOSED_BATCH)
         serving.sync_dimension(current, "dim_employee", "employee_id", "dim_employee_key")

@@ -10,8 +10,10 @@ from ..functions.temporal import parse_date, time_of_day
 from ..operators.cleaning import require
 from ..operators.dims import enrich, resolved
 from ..operators.latest import keep_latest
+from ..operators.upsert import within_keys
 from ..sources.lake import Lake
-from .intake import archive, bronze_lines, take_in
+from .incremental import Feed, load_new
+from .intake import archive, take_in
 
 # Record layout and the fact's columns.
 DAY_FIELDS = ("StartTime", "EndTime", "LeaveCount", "Session")
@@ -30,10 +32,11 @@ def decode(bronze: DataFrame) -> DataFrame:
     return records.select("ingest_timestamp", "zoho_record_id", "r.*").filter(F.col("EmployeeId").isNotNull())
 
 
-def silver(bronze: DataFrame, explode_days: bool = False) -> DataFrame:
+def silver(bronze: DataFrame, explode_days: bool = False, keep_ingest: bool = False) -> DataFrame:
     """Typed leave, latest per leave id.
 
-    A multi-day leave contributes its first day; ``explode_days`` gives one row per day instead.
+    A multi-day leave contributes its first day; ``explode_days`` gives one row per day instead.  ``keep_ingest`` leaves the
+    ingest time in, for later merges.
     """
     decoded = decode(bronze)
     if explode_days:
@@ -52,7 +55,8 @@ def silver(bronze: DataFrame, explode_days: bool = False) -> DataFrame:
         to_decimal(F.col("day.LeaveCount"), 4, 1).alias("leave_count"),
         *(["leave_day"] if explode_days else []))
     keys = ["source_leave_id", "leave_day"] if explode_days else ["source_leave_id"]
-    return keep_latest(require(typed, "employee_id", "from_date"), keys, ["ingest_timestamp"]).drop("ingest_timestamp")
+    latest = keep_latest(require(typed, "employee_id", "from_date"), keys, ["ingest_timestamp"])
+    return latest if keep_ingest else latest.drop("ingest_timestamp")
 
 
 def gold(silver_df: DataFrame, dim_employee: DataFrame, dim_date: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -61,16 +65,21 @@ def gold(silver_df: DataFrame, dim_employee: DataFrame, dim_date: DataFrame, as_
     return facts.select(*FACT_COLUMNS, stamp.alias("dw_load_timestamp"))
 
 
+def feed(catalog: str = "hr", as_of: Column | None = None, period: str | None = None) -> Feed:
+    """The tables and steps of this feed."""
+    return Feed(f"{catalog}.bronze.leave_raw", f"{catalog}.silver.leave_cleaned", f"{catalog}.gold.fact_leave", ("source_leave_id",),
+                "from_date", lambda df: silver(df, keep_ingest=True), lambda df, people, dates: gold(df, people, dates, as_of), period=period)
+
+
 def run(lake: Lake, folder: str, dim_date: DataFrame, catalog: str = "hr", as_of: Column | None = None, serving=None,
         archive_to: str | None = None) -> bool:
     """Files to bronze, silver and gold; rows new to the serving table are added if one is given.  False without files."""
     paths = take_in(lake, folder, f"{catalog}.bronze.leave_raw", as_of)
     if not paths:
         return False
-    lake.overwrite(silver(bronze_lines(lake, f"{catalog}.bronze.leave_raw")), f"{catalog}.silver.leave_cleaned")
-    facts = gold(lake.read(f"{catalog}.silver.leave_cleaned"), lake.read(f"{catalog}.gold.dim_employee"), dim_date, as_of)
-    lake.overwrite(facts, f"{catalog}.gold.fact_leave")
-    if serving is not None:
-        serving.insert_absent(lake.read(f"{catalog}.gold.fact_leave"), "fact_leave", "source_leave_id")
+    parts = load_new(lake, feed(catalog, as_of), lake.read(f"{catalog}.gold.dim_employee"), dim_date)
+    if serving is not None and parts is not None:
+        serving.insert_absent(within_keys(lake.read(f"{catalog}.gold.fact_leave"), parts.withColumnRenamed("_part", "from_date"), "from_date"),
+                              "fact_leave", "source_leave_id")
     archive(lake, paths, folder, archive_to)
     return True

@@ -10,8 +10,10 @@ from ..functions.temporal import parse_date
 from ..operators.cleaning import require
 from ..operators.dims import enrich, resolved
 from ..operators.latest import keep_latest
+from ..operators.upsert import within_keys
 from ..sources.lake import Lake
-from .intake import archive, bronze_lines, take_in
+from .incremental import Feed, load_new
+from .intake import archive, take_in
 
 # Source field -> (warehouse name, type).
 FIELDS = {
@@ -53,8 +55,11 @@ FACT_COLUMNS = ("dim_employee_key", "dim_date_key", "source_log_id") + tuple(nam
 _CASTS = {"text": lambda c: c, "long": to_long, "int": to_int, "flag": to_flag}
 
 
-def silver(bronze: DataFrame) -> DataFrame:
-    """Typed time logs, latest per log id.  Each log text is parsed once, whatever the number of fields."""
+def silver(bronze: DataFrame, keep_ingest: bool = False) -> DataFrame:
+    """Typed time logs, latest per log id.  Each log text is parsed once, whatever the number of fields.
+
+    ``keep_ingest`` leaves the ingest time in, for later merges.
+    """
     payload = P.locate(F.col("raw_json"), P.TIMESHEET_PATHS)
     layout = P.struct_ddl(list(FIELDS) + list(KEPT_AS_TEXT))
     logs = P.explode_records(bronze, F.from_json(payload, "ARRAY<STRING>"), layout, "ingest_timestamp", alias="r")
@@ -62,7 +67,8 @@ def silver(bronze: DataFrame) -> DataFrame:
                         *[_CASTS[kind](F.col(f"r.`{source}`")).alias(name) for source, (name, kind) in FIELDS.items()],
                         parse_date(F.col("r.workDate")).alias("work_date"), F.col("r.employeeMailId").alias("email"),
                         to_int(F.col("r.timelogId")).alias("source_log_id"))
-    return keep_latest(require(typed, "work_date"), ["timelog_id"], ["ingest_timestamp"]).drop("ingest_timestamp")
+    latest = keep_latest(require(typed, "work_date"), ["timelog_id"], ["ingest_timestamp"])
+    return latest if keep_ingest else latest.drop("ingest_timestamp")
 
 
 def gold(silver_df: DataFrame, dim_employee: DataFrame, dim_date: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -72,16 +78,22 @@ def gold(silver_df: DataFrame, dim_employee: DataFrame, dim_date: DataFrame, as_
     return facts.select(*FACT_COLUMNS, stamp.alias("dw_load_timestamp"))
 
 
+def feed(catalog: str = "hr", as_of: Column | None = None, period: str | None = None) -> Feed:
+    """The tables and steps of this feed."""
+    return Feed(f"{catalog}.bronze.timesheet_raw", f"{catalog}.silver.timesheet_cleaned", f"{catalog}.gold.fact_timesheet", ("timelog_id",),
+                "work_date", lambda df: silver(df, keep_ingest=True), lambda df, people, dates: gold(df, people, dates, as_of),
+                person="email", person_key="email_id", period=period)
+
+
 def run(lake: Lake, folder: str, dim_date: DataFrame, catalog: str = "hr", as_of: Column | None = None, serving=None,
         archive_to: str | None = None) -> bool:
     """Files to bronze, silver and gold; rows new to the serving table are added if one is given.  False without files."""
     paths = take_in(lake, folder, f"{catalog}.bronze.timesheet_raw", as_of)
     if not paths:
         return False
-    lake.overwrite(silver(bronze_lines(lake, f"{catalog}.bronze.timesheet_raw")), f"{catalog}.silver.timesheet_cleaned")
-    facts = gold(lake.read(f"{catalog}.silver.timesheet_cleaned"), lake.read(f"{catalog}.gold.dim_employee"), dim_date, as_of)
-    lake.overwrite(facts, f"{catalog}.gold.fact_timesheet")
-    if serving is not None:
-        serving.insert_absent(lake.read(f"{catalog}.gold.fact_timesheet"), "fact_timesheet", "timelog_id")
+    parts = load_new(lake, feed(catalog, as_of), lake.read(f"{catalog}.gold.dim_employee"), dim_date)
+    if serving is not None and parts is not None:
+        serving.insert_absent(within_keys(lake.read(f"{catalog}.gold.fact_timesheet"), parts.withColumnRenamed("_part", "work_date"), "work_date"),
+                              "fact_timesheet", "timelog_id")
     archive(lake, paths, folder, archive_to)
     return True

@@ -104,6 +104,13 @@ class Lake:
             path = folders[0]
             found.append(path.getName().split("=")[0])
 
+    def partition_values(self, name: str, column: str) -> list[str]:
+        """Values of a table's first partition column, from its folders."""
+        fs, path = self._file_system(self.path(name))
+        names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+        unescape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        return sorted(unescape(n.split("=", 1)[1]) for n in names if n.startswith(f"{column}="))
+
     def write_bronze(self, df: DataFrame, name: str, as_of: Column | None = None, align: bool = True, batch: str | None = None) -> None:
         """Add raw rows stamped with one ``ingest_timestamp``; the one writer of bronze tables, for batch runs and streams.
 
@@ -144,21 +151,26 @@ class Lake:
         """Delete-insert: exactly the partitions present in the batch are replaced, the others are not read or touched.
 
         ``dates``: all values (one column) of a single partition column that are to be replaced, also those for which ``df`` has
-        no rows any more; their partitions are dropped.
+        no rows any more; their partitions are dropped.  The rows are stored first then, so they are computed once.
         """
         columns = [partition_by] if isinstance(partition_by, str) else list(partition_by)
         if dates is not None:
-            wanted = {r[0] for r in dates.distinct().collect()}
+            df = stage(df, "replacing")
+            value = dates.columns[0]
+            emptied = [r[0] for r in dates.distinct().join(df.select(F.col(columns[0]).alias("_kept")).distinct(),
+                                                           F.col(value).eqNullSafe(F.col("_kept")), "left_anti")
+                       .select(F.col(value).cast("string")).collect()]
         rows = _grouped(df, columns)
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(self.path(name))
         if dates is not None:
-            self._drop_untouched(name, columns[0], wanted, {r[0] for r in df.select(columns[0]).distinct().collect()})
+            self._drop_partitions(name, columns[0], emptied)
         self.spark.catalog.refreshByPath(self.path(name))
 
-    def _drop_untouched(self, name: str, column: str, wanted: set, written: set) -> None:
-        for value in wanted - written:
-            text = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-            fs, path = self._file_system(f"{self.path(name)}/{column}={text}")
+    def _drop_partitions(self, name: str, column: str, values: list[str | None]) -> None:
+        """Delete partition folders, named as Spark names them."""
+        folder = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        for value in values:
+            fs, path = self._file_system(f"{self.path(name)}/{folder(column, value)}")
             fs.delete(path, True)
 
     def insert_absent(self, df: DataFrame, name: str, key: str, partition_by=()) -> None:

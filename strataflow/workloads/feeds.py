@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import dims, scd
-from ..plans import attendance, biometric, employee, leave, timesheet
+from ..operators.layout import shared_folder
+from ..plans import attendance, biometric, employee, incremental, leave, timesheet
+from ..sources.lake import CLOSED_BATCH, Lake
 from .cleaning import STAMP, stamp
 from .dimensions import FIRST_LOAD, SECOND_LOAD, employees
 from .nested import money, nested_json, polymorphic_lines, text
-from .registry import query
+from .registry import REGISTRY, query
 
 
 def micros_after(column, micros):
@@ -55,7 +59,10 @@ def attendance_lines(t):
 @query("fact_attendance", ATTENDANCE_SQL)
 def fact_attendance(t):
     cleaned = attendance.silver(attendance_lines(t))
-    facts = attendance.gold(cleaned, employees(t), dims.date_dimension(t.events, "ts"))
+    return attendance_columns(attendance.gold(cleaned, employees(t), dims.date_dimension(t.events, "ts")))
+
+
+def attendance_columns(facts):
     return facts.select("dim_employee_key", "dim_date_key", "work_date_str", stamp("first_in_ts").alias("first_in_ts"),
                         stamp("last_out_ts").alias("last_out_ts"), "work_minutes", "total_minutes", "ercno", "zoho_status",
                         F.col("work_date").cast("string").alias("work_date"))
@@ -116,7 +123,10 @@ def leave_lines(t):
     FROM orders JOIN customer ON c_custkey = o_custkey AND c_acctbal >= 0
 """)
 def fact_leave(t):
-    facts = leave.gold(leave.silver(leave_lines(t)), employees(t), dims.date_dimension(t.orders, "o_orderdate"))
+    return leave_columns(leave.gold(leave.silver(leave_lines(t)), employees(t), dims.date_dimension(t.orders, "o_orderdate")))
+
+
+def leave_columns(facts):
     return facts.select("dim_employee_key", "dim_date_key", "source_leave_id", "zoho_record_id", "approval_status",
                         F.col("from_date").cast("string").alias("from_date"), F.col("to_date").cast("string").alias("to_date"),
                         "leave_type", "zuid_in_leave", "leave_start_time", "leave_end_time",
@@ -145,17 +155,28 @@ def leave_days_exploded(t):
     FROM l JOIN supplier ON s_suppkey = l_suppkey AND s_acctbal >= 0
 """)
 def fact_timesheet(t):
+    return timesheet_columns(timesheet.gold(timesheet.silver(timesheet_lines(t)), staff(t), dims.date_dimension(t.lineitem, "l_shipdate")))
+
+
+def timesheet_lines(t):
+    """Order lines as time logs."""
     log = F.to_json(F.struct(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("timelogId"), F.date_format("l_shipdate", "dd-MMM-yyyy").alias("workDate"),
         F.col("l_quantity").cast("int").alias("hoursInMins"), (F.col("l_returnflag") == "R").alias("isEditAllowed"),
         F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("timerLog"), F.col("l_returnflag").alias("jobName"),
         F.col("l_orderkey").alias("fromTime"), F.concat(F.lit("s"), text("l_suppkey"), F.lit("@corp.example")).alias("employeeMailId")))
-    lines = t.spread("lineitem").select(nested_json(F.array(log), "response", "result").alias("raw_json"),
-                              micros_after("l_shipdate", F.col("l_partkey") * 1000000 + F.col("l_suppkey")).alias("ingest_timestamp"))
-    people = t.supplier.select(F.col("s_suppkey").alias("dim_employee_key"), text("s_suppkey").alias("employee_id"),
-                               F.concat(F.lit("s"), text("s_suppkey"), F.lit("@corp.example")).alias("email_id"),
-                               F.when(F.col("s_acctbal") >= 0, 1).otherwise(0).alias("is_current"))
-    facts = timesheet.gold(timesheet.silver(lines), people, dims.date_dimension(t.lineitem, "l_shipdate"))
+    return t.spread("lineitem").select(nested_json(F.array(log), "response", "result").alias("raw_json"),
+                                       micros_after("l_shipdate", F.col("l_partkey") * 1000000 + F.col("l_suppkey")).alias("ingest_timestamp"))
+
+
+def staff(t):
+    """Suppliers as employees with mail addresses."""
+    return t.supplier.select(F.col("s_suppkey").alias("dim_employee_key"), text("s_suppkey").alias("employee_id"),
+                             F.concat(F.lit("s"), text("s_suppkey"), F.lit("@corp.example")).alias("email_id"),
+                             F.when(F.col("s_acctbal") >= 0, 1).otherwise(0).alias("is_current"))
+
+
+def timesheet_columns(facts):
     return facts.select("dim_employee_key", "dim_date_key", "timelog_id", "source_log_id", "minutes_int", "is_edit_allowed",
                         "timer_log", "job_name", "from_time_bigint", F.col("work_date").cast("string").alias("work_date"))
 
@@ -212,3 +233,55 @@ def fact_orders(t):
     facts = dims.resolved(dims.enrich(latest, employees(t), dims.date_dimension(t.orders, "o_orderdate")))
     return facts.select("dim_employee_key", "dim_date_key", "order_id", F.col("amount").cast("double").alias("amount"),
                         F.col("work_date").cast("string").alias("work_date"))
+
+
+def own_lake(t):
+    """A lake of the query's own in the shared folder, deleted when the application ends."""
+    lake = Lake(t.spark, f"{shared_folder(t.spark)}/lakes/{uuid.uuid4().hex}")
+    fs, path = lake._file_system(lake.base)
+    fs.deleteOnExit(path)
+    return lake
+
+
+def loaded_twice(t, feed, lines, people, dates):
+    """Facts of a feed whose lines come in two batches; half of the people, too, are known only when the second one comes."""
+    lake = own_lake(t)
+    half = F.pmod(F.xxhash64("raw_json"), F.lit(2))
+    for k in range(2):
+        lake.write_bronze(lines.where(half == k), feed.bronze, F.col("ingest_timestamp"), align=False, batch=f"load-{k}")
+        known = people if k else people.where(F.pmod(F.xxhash64("dim_employee_key"), F.lit(2)) == 0)
+        incremental.load_new(lake, feed, known, dates)
+    return lake.read(feed.gold)
+
+
+@query("fact_attendance_loads", ATTENDANCE_SQL)
+def fact_attendance_loads(t):
+    """As fact_attendance, in two incremental loads."""
+    feed = attendance.feed(period="year")
+    return attendance_columns(loaded_twice(t, feed, attendance_lines(t), employees(t), dims.date_dimension(t.events, "ts")))
+
+
+@query("fact_leave_loads", REGISTRY["fact_leave"].sql)
+def fact_leave_loads(t):
+    """As fact_leave, in two incremental loads."""
+    return leave_columns(loaded_twice(t, leave.feed(period="year"), leave_lines(t), employees(t), dims.date_dimension(t.orders, "o_orderdate")))
+
+
+@query("fact_timesheet_loads", REGISTRY["fact_timesheet"].sql)
+def fact_timesheet_loads(t):
+    """As fact_timesheet, in two incremental loads: time logs of one id that stand at several dates, in both of them."""
+    feed = timesheet.feed(period="year")
+    return timesheet_columns(loaded_twice(t, feed, timesheet_lines(t), staff(t), dims.date_dimension(t.lineitem, "l_shipdate")))
+
+
+@query("dim_employee_loads", REGISTRY["dim_employee"].sql)
+def dim_employee_loads(t):
+    """As dim_employee, in two incremental loads; the second has the changed records only, and the others are left as they are."""
+    lake, lines = own_lake(t), polymorphic_lines(t.spread("customer"))
+    moved = lines.where("c_acctbal < 0").select(F.regexp_replace("raw_json", '"Department":"[A-Z]+"', '"Department":"ARREARS"').alias("raw_json"))
+    for batch, when in ((lines.select("raw_json"), FIRST_LOAD), (moved, SECOND_LOAD)):
+        lake.write_bronze(batch, "hr.bronze.employee_raw", F.lit(when).cast("timestamp"), align=False, batch=f"load-{when[:10]}")
+        employee.load(lake, as_of=F.lit(when).cast("timestamp"))
+    history = lake.read("hr.gold.dim_employee").drop(CLOSED_BATCH)
+    return history.select("employee_id", "full_name", "department", stamp("valid_from").alias("valid_from"),
+                          stamp("valid_to").alias("valid_to"), "is_current")
