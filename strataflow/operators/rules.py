@@ -200,12 +200,32 @@ def outcome(issues: DataFrame, log: DataFrame) -> DataFrame:
     return counts.select(text.alias("outcome"))
 
 
+def rule_rows(types: DataFrame, required: bool | None = None) -> DataFrame:
+    """Rules of columns as rows, from their inferred types (:func:`strataflow.operators.inference.infer_types`): a plan, nothing collected.
+
+    A column without nulls is required, unless ``required`` says so for all; the longest text seen becomes the maximum length.
+    """
+    needed = F.col("present") == F.col("rows") if required is None else F.lit(required)
+    return types.select("column", "data_type", needed.alias("required"), F.lit(True).alias("check_corruption"),
+                        F.lit(DEFAULT_MIN_LENGTH).alias("min_length"), F.coalesce("max_length", F.lit(0).cast("bigint")).alias("max_length"))
+
+
+def rules_of_rows(rows: DataFrame, strategies: dict | None = None) -> dict:
+    """The configuration of a table whose types were inferred; one row per column reaches the driver."""
+    rules = {r["column"]: {k: r[k] for k in ("data_type", "required", "check_corruption", "min_length", "max_length")} for r in rows.collect()}
+    return _configuration(rules, strategies)
+
+
 def synthesize_rules(df: DataFrame, types: dict[str, str], strategies: dict | None = None,
                      sample_rows: int | None = None, order=None) -> dict:
     """A rule configuration for columns of known types.  The longest text seen becomes the maximum length."""
     lengths = {r["column"]: r.max_length for r in longest_text(df, list(types), sample_rows, order).collect()}
     rules = {c: {"data_type": kind, "required": True, "check_corruption": True, "min_length": DEFAULT_MIN_LENGTH,
                  "max_length": int(lengths.get(c) or 0)} for c, kind in types.items()}
+    return _configuration(rules, strategies)
+
+
+def _configuration(rules: dict, strategies: dict | None) -> dict:
     return {"validation_rules": rules, "fix_strategies": strategies or {}, "custom_validation_rules": {
         "phone_formats": {"patterns": list(DEFAULT_PHONE_PATTERNS)},
         "url_validation": {"accepted_domains": list(DEFAULT_URL_DOMAINS)},

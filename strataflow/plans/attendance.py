@@ -81,9 +81,9 @@ def feed(catalog: str = "hr", as_of: Column | None = None, period: str | None =
 
 
 def run(lake: Lake, folder: str, dim_date: DataFrame, catalog: str = "hr", as_of: Column | None = None, serving=None,
-        archive_to: str | None = None) -> bool:
+        archive_to: str | None = None, once: bool = False) -> bool:
     """Files to bronze, silver and gold; then the serving table's dates are replaced if one is given.  False without files."""
-    paths = take_in(lake, folder, f"{catalog}.bronze.attendance_raw", as_of)
+    paths = take_in(lake, folder, f"{catalog}.bronze.attendance_raw", as_of, once=once)
     if not paths:
         return False
     parts = load_new(lake, feed(catalog, as_of), lake.read(f"{catalog}.gold.dim_employee"), dim_date)

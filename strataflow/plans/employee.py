@@ -79,9 +79,9 @@ def load(lake: Lake, catalog: str = "hr", as_of: Column | None = None) -> bool:
 
 
 def run(lake: Lake, folder: str, catalog: str = "hr", as_of: Column | None = None,
-        archive_to: str | None = None, serving=None) -> bool:
+        archive_to: str | None = None, serving=None, once: bool = False) -> bool:
     """Files to bronze, bronze to silver, silver into the dimension, its current versions to serving.  False without files."""
-    paths = take_in(lake, folder, f"{catalog}.bronze.employee_raw", as_of, exclude=FAILED_MARK)
+    paths = take_in(lake, folder, f"{catalog}.bronze.employee_raw", as_of, exclude=FAILED_MARK, once=once)
     if not paths:
         return False
     load(lake, catalog, as_of)

@@ -228,10 +228,15 @@ class LakeServing:
         self.lake.insert_absent(df, f"{self.prefix}.{table}", key)
 
     def sync_dimension(self, versions: DataFrame, table: str, key: str, surrogate: str) -> None:
-        """Bring a served type-2 dimension up to the given current versions: one join on the key, closed versions stay."""
+        """Bring a served type-2 dimension up to the given current versions: one join on the key, closed versions stay.
+
+        Versions are closed first, into a partition named by the time of closing, then the current partition is replaced.  A sync
+        that stopped in between finds the old current versions again and closes them into the same partition.
+        """
         name = f"{self.prefix}.{table}"
+        at = F.when(F.col("is_current") == 1, NOT_CLOSED).otherwise(F.date_format("valid_to", "'at'yyyyMMddHHmmssSSSSSS"))
         if not self.lake.exists(name):
-            self.lake.overwrite(versions, name, ["is_current"])
+            self.lake.overwrite(versions.withColumn(CLOSED_BATCH, at), name, SCD_PARTITIONS)
             return
         served = self.lake.read(name).where("is_current = 1").select(*versions.columns)
         fresh = versions.where("is_current = 1").select(F.struct(*[F.col(f"`{c}`") for c in versions.columns]).alias("new"))
@@ -240,10 +245,12 @@ class LakeServing:
         replaced = F.col("old").isNotNull() & F.col("new").isNotNull() & (F.col(f"old.{surrogate}") != F.col(f"new.{surrogate}"))
         gone = F.col("old").withField("is_current", F.lit(0)).withField("valid_to", F.col("new.valid_from"))
         now = F.when(F.col("new").isNull(), F.col("old")).otherwise(F.col("new"))
-        # Current versions replace the current partition; those closed by this run are added to the closed ones.
         ready = stage(joined.select(F.when(replaced, gone).alias("closed"), now.alias("now")), "served")
-        self.lake.append(ready.where("closed is not null").select("closed.*"), name, ["is_current"], align=False)
-        self.lake.replace_partitions(ready.select("now.*"), name, ["is_current"])
+        closed = ready.where("closed is not null").select("closed.*").withColumn(CLOSED_BATCH, at)
+        batches = closed.select(F.col(CLOSED_BATCH).alias("_batch")).distinct()
+        before = self.lake.read(name).where("is_current = 0").join(batches, F.col(CLOSED_BATCH) == F.col("_batch"), "left_semi").select(*closed.columns)
+        self.lake.replace_partitions(stage(before.union(closed).dropDuplicates([surrogate]), "closed"), name, SCD_PARTITIONS)
+        self.lake.replace_partitions(ready.select("now.*").withColumn(CLOSED_BATCH, at), name, SCD_PARTITIONS)
 
 
 def create_schemas(spark: SparkSession, layers=LAYERS) -> None:

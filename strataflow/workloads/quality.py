@@ -8,7 +8,7 @@ from ..functions import pii
 from ..functions.text import SPECIAL_CHARACTERS
 from ..operators import checks, metrics
 from ..operators.expectations import Expectations
-from ..operators.sets import schema_issues
+from ..operators.sets import name_issues
 from ..operators.upsert import stamp_checked
 from .nested import text
 from .registry import query
@@ -50,8 +50,7 @@ def expectations_report(t):
 """)
 def dq_missing_unexpected(t):
     """Columns that a pivot of the parts by type would have, against the expected ones: the names come from the whole table."""
-    found = [r.p_type for r in t.part.select("p_type").distinct().collect()]
-    return schema_issues(t.spark, found, ("PROMO", "SMALL", "tax_id")).select("column", "issue")
+    return name_issues(t.part, "p_type", ("PROMO", "SMALL", "tax_id"))
 
 
 def typed_as_text(t):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import metrics, rules
+from ..operators.inference import SHAPES, infer_types
+from ..operators.sets import union_all
 from ..plans.quality import repair_table
 from .nested import text
 from .quality import non_ascii_sql, special_sql
@@ -191,12 +193,29 @@ def rule_completeness(t):
     f"""SELECT '{c}' AS "column", '{k}' AS data_type, TRUE AS required, TRUE AS check_corruption, 3 AS min_length,
         max(length({c})) AS max_length FROM documents""" for c, k in (("lang", "string"), ("source", "string"), ("text", "string"))))
 def rule_synthesis(t):
-    """Rules of a whole table's columns; the configuration itself is a dict, shown here as rows."""
-    config = rules.synthesize_rules(t.documents, {"lang": "string", "source": "string", "text": "string"})
-    rows = [(c, r["data_type"], r["required"], r["check_corruption"], r["min_length"], r["max_length"])
-            for c, r in config["validation_rules"].items()]
-    return t.spark.createDataFrame(rows, "`column` string, data_type string, required boolean, check_corruption boolean, "
-                                         "min_length int, max_length bigint")
+    """Rules of the text columns of a whole table, as rows."""
+    return rules.rule_rows(infer_types(t.documents, ("lang", "source", "text")), required=True)
+
+
+#: Tables with columns of whole numbers, texts and JSON; texts of other numbers and of times differ between the engines.
+TYPED_TABLES = {"documents": ("doc_id", "text", "lang", "source", "n_chars"), "orders": ("o_orderkey", "o_custkey", "o_orderstatus"),
+                "events": ("event_id", "user_id", "event_type", "props"), "labels": ("doc_id", "quality", "toxic")}
+
+
+def _inferred_sql(table, column):
+    full = lambda shape: f"count(*) FILTER (regexp_matches(v, '{shape}')) = count(v)"
+    cases = " ".join(f"WHEN {full(shape)} THEN '{name}'" for name, shape in SHAPES)
+    return f"""SELECT '{table}' AS table_name, '{column}' AS "column", CASE WHEN count(v) = 0 THEN 'string' {cases} ELSE 'string' END AS data_type,
+        count(v) = count(*) AS required, TRUE AS check_corruption, 3 AS min_length, max(length(v)) AS max_length
+        FROM (SELECT CAST({column} AS VARCHAR) AS v FROM (SELECT * FROM {table}))"""
+
+
+@query("rules_from_types", " UNION ALL ".join(
+    _inferred_sql(table, column) for table, columns in TYPED_TABLES.items() for column in columns))
+def rules_from_types(t):
+    """Rules whose types are found in the data of whole tables, every value counted."""
+    found = [rules.rule_rows(infer_types(getattr(t, table), columns)).select(F.lit(table).alias("table_name"), "*") for table, columns in TYPED_TABLES.items()]
+    return union_all(found)
 
 
 @query("longest_text", " UNION ALL ".join(
