@@ -4,8 +4,8 @@ Prefix polynomials over the words of a batch give the fingerprint of every n-gra
 counted in the task, and the shuffle adds counts and keeps pointers to an occurrence, never text.
 
 1. Texts are stored once as pieces of words under row numbers, so that a pointer (row, place) holds for all later passes.
-2. Lengths are counted one after the other, by the upper bits of the fingerprints only: a number and a count are all that is
-   shuffled.  An n-gram can be frequent only if both its parts of one word less are, so a task passes on those whose parts are in
+2. Lengths are counted one after the other, by numbers from polynomials over short codes of the words, which stand beside the
+   text: a number and a count are all that is shuffled.  An n-gram can be frequent only if both its parts of one word less are, so a task passes on those whose parts are in
    a bitmap of the frequent numbers of the length before.  Numbers and bitmaps are shared by several n-grams: that costs rows,
    never results.
 3. One more pass counts the n-grams in the bitmaps by whole fingerprints, with a pointer each.  What is frequent now, and nothing
@@ -34,16 +34,17 @@ UNKNOWN = "und"
 #: Between pieces: no word is this upper-case letter, as texts are lower-cased.
 BREAK = "A"
 _BREAK = BREAK.encode()
+_NO_CODE = bytes(4)
 #: Words whose n-grams a task counts at once.
-WORDS_AT_ONCE = 500_000
-#: Upper bits of a fingerprint by which n-grams are counted before pointers are kept.
+WORDS_AT_ONCE = 200_000
+#: Bits of the numbers by which n-grams are counted before pointers are kept.
 NUMBER_BITS = 36
 #: Upper-case letters become small, the separators of pieces the break.
 _TABLE = bytes(ord("A") if c in b".,;:!?\n\v\f\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Slots of the bitmap per frequent fingerprint, and most of them (8 MB).
 SLOTS_EACH, MOST_SLOTS = 32, 1 << 26
 #: Word hashes a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 _BASE, _CHECK_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
@@ -67,6 +68,17 @@ class _Words(dict):
         return value
 
 
+class _Codes(dict):
+    """32 bits of a hash of each word, as bytes, never the code of a break."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) > REMEMBERED:
+            self.clear()
+        code = xxhash.xxh3_64_digest(word)[:4]
+        value = self[word] = _NO_CODE if word == _BREAK else b"\x01\x00\x00\x00" if code == _NO_CODE else code
+        return value
+
+
 def _powers(base: int, count: int) -> np.ndarray:
     """1, base, base ** 2, ... modulo 2 ** 64."""
     out = np.full(count, base, np.uint64)
@@ -74,49 +86,63 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-class Prints:
-    """Fingerprints of the n-grams of a run of words of one language, from prefix polynomials modulo 2 ** 64."""
-
-    def __init__(self, lang: str, words: list[bytes], known: _Words, bits: int):
-        self._pair = np.frombuffer(b"".join([known[w] for w in words]), np.uint64).reshape(-1, 2)
-        self._lang, self._mask, count = xxhash.xxh3_64_intdigest(lang.encode()), np.uint64((1 << bits) - 1), len(words)
-        breaks = (self._pair == np.frombuffer(known[_BREAK], np.uint64)).all(axis=1)
-        ends = np.where(breaks, np.arange(count), count)
-        #: Words from each place to the end of its piece.
-        self.left = (np.minimum.accumulate(ends[::-1])[::-1] if count else ends) - np.arange(count)
-        self._sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def _polynomial(self, which: int, at: np.ndarray, n: int) -> np.ndarray:
-        if which not in self._sums:
-            base = (_BASE, _CHECK_BASE)[which]
-            # Sum of word * base ** -place up to each place; times base ** place of the end it is the polynomial of the words.
-            down = np.cumsum(self._pair[:, which] * _powers(pow(base, -1, 1 << 64), len(self._pair)))
-            self._sums[which] = np.concatenate([np.zeros(1, np.uint64), down]), _powers(base, len(self._pair))
-        down, up = self._sums[which]
-        x = (down[at + n] - down[at]) * up[at + n - 1] if len(at) else np.zeros(0, np.uint64)
-        x = ((x ^ np.uint64(self._lang)) ^ (x >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
+class Polynomial:
+    """Prefix polynomial modulo 2 ** 64 over a run of words of one language: values of all n-grams at once."""
+
+    def __init__(self, lang: str, values: np.ndarray, base: int):
+        self._seed = np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))
+        # Sum of word * base ** -place up to each place; times base ** place of the end it is the polynomial of the words.
+        down = np.cumsum(values * _powers(pow(base, -1, 1 << 64), len(values)))
+        self._down, self._up = np.concatenate([np.zeros(1, np.uint64), down]), _powers(base, len(values))
+
+    def of(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Mixed values of the n-grams that begin at some places."""
+        if not len(at):
+            return np.zeros(0, np.uint64)
+        x = (self._down[at + n] - self._down[at]) * self._up[at + n - 1]
+        x = ((x ^ self._seed) ^ (x >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
         return x ^ (x >> np.uint64(29))
 
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the n-grams, and their fingerprints."""
-        at = np.flatnonzero(self.left >= n)
-        return at, self._polynomial(0, at, n) & self._mask
 
-    def check(self, at: np.ndarray, n: int) -> np.ndarray:
-        """Values of the other polynomial."""
-        return self._polynomial(1, at, n)
+class Numbers:
+    """Places and numbers of the n-grams of a run of word codes."""
+
+    def __init__(self, lang: str, codes: np.ndarray):
+        count = len(codes)
+        ends = np.where(codes == 0, np.arange(count), count)
+        # Words from each place to the end of its piece.
+        self._left = (np.minimum.accumulate(ends[::-1])[::-1] if count else ends) - np.arange(count)
+        spread = codes.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+        self._values, self._size = Polynomial(lang, spread ^ (spread >> np.uint64(31)), _BASE), count
+
+    def of(self, n: int, shorter: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """The n-grams whose parts of one word less are in a bitmap, all without one."""
+        at = np.flatnonzero(self._left >= n)
+        if shorter is not None:
+            places = np.flatnonzero(self._left >= n - 1)
+            fits = np.zeros(self._size + 1, bool)
+            fits[places] = _bit_of(shorter, self._values.of(places, n - 1) >> np.uint64(64 - NUMBER_BITS))
+            at = at[fits[at] & fits[at + 1]]
+        return at, self._values.of(at, n) >> np.uint64(64 - NUMBER_BITS)
 
 
 def pieces(docs: DataFrame) -> DataFrame:
-    """Stored table (row, lang, words): the text with its words joined by spaces and pieces separated by :data:`BREAK`."""
+    """Stored table (row, lang, words, codes): the text with its words joined by spaces and pieces separated by :data:`BREAK`, and
+    32 bits of a hash of each word, 0 for breaks.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Codes()
         for batch in batches:
-            found = [_squeezed((t.as_py() or "").encode("utf-8", "replace").translate(_TABLE)) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["row", "lang", "words"])
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                found = [_squeezed((t.as_py() or "").encode("utf-8", "replace").translate(_TABLE)) for t in part.column(2)]
+                codes = [b"".join([known[w] for w in body.split(b" ")]) if body else b"" for body in found]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.binary()), pa.array(codes, pa.binary())],
+                                                 names=["row", "lang", "words", "codes"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
                        F.col("text").cast("string").alias("text"))
-    return stored(rows.mapInArrow(run, "row long, lang string, words binary").where(F.octet_length("words") > 0), "pieces")
+    return stored(rows.mapInArrow(run, "row long, lang string, words binary, codes binary").where(F.octet_length("words") > 0), "pieces")
 
 
 def _squeezed(body: bytes) -> bytes:
@@ -124,31 +150,34 @@ def _squeezed(body: bytes) -> bytes:
     return b" ".join(filter(None, body.replace(b"\t", b" ").replace(_BREAK, b" A ").split(b" ")))
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], list[int], list[int]]]:
-    """Words of many rows of one language at a time, with the rows and where they begin."""
-    held: dict[str, tuple[list, list, list]] = defaultdict(lambda: ([], [], []))
+def _runs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, list[int], list[int], np.ndarray, list[bytes]]]:
+    """Rows (lang, row, codes, and words if asked for) of one language at a time, of about ``size`` words: the rows, where they begin, their
+    codes and words, a break after each.
+    """
+    held: dict[str, tuple[list, list, list, list]] = defaultdict(lambda: ([], [0], [], []))
     count = 0
+
+    def out():
+        for lang, (rows, starts, codes, words) in held.items():
+            yield lang, rows, starts[:-1], np.frombuffer(b"".join(codes), np.uint32), words
+        held.clear()
+
     for batch in batches:
-        for row, lang, body in zip(*batch.columns):
-            words, rows, starts = held[lang.as_py()]
-            found = body.as_py().split(b" ")
+        texts = batch.column(3) if batch.num_columns > 3 else [None] * batch.num_rows
+        for lang, row, body, text in zip(batch.column(0), batch.column(1), batch.column(2), texts):
+            rows, starts, codes, words = held[lang.as_py()]
+            body = body.as_py()
             rows.append(row.as_py())
-            starts.append(len(words))
-            words += found
-            words.append(_BREAK)
-            count += len(found) + 1
-            if count >= WORDS_AT_ONCE:
-                for key, value in held.items():
-                    yield key, *value
-                held.clear()
+            starts.append(starts[-1] + len(body) // 4 + 1)
+            codes += (body, _NO_CODE)
+            if text is not None:
+                words += text.as_py().split(b" ")
+                words.append(_BREAK)
+            count += len(body) // 4 + 1
+            if count >= size:
+                yield from out()
                 count = 0
-    for key, value in held.items():
-        yield key, *value
-
-
-def _number(prints: np.ndarray, bits: int) -> np.ndarray:
-    """The upper bits of fingerprints of so many bits."""
-    return prints >> np.uint64(max(0, bits - NUMBER_BITS))
+    yield from out()
 
 
 def _bit_of(bitmap: np.ndarray, numbers: np.ndarray) -> np.ndarray:
@@ -156,31 +185,18 @@ def _bit_of(bitmap: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _whose_parts(prints: Prints, n: int, shorter: np.ndarray, size: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and fingerprints of the n-grams whose parts of one word less are in the bitmap."""
-    places, code = prints.of(n - 1)
-    fits = np.zeros(size + 1, bool)
-    fits[places] = _bit_of(shorter, _number(code, bits))
-    at, code = prints.of(n)
-    keep = fits[at] & fits[at + 1]
-    return at[keep], code[keep]
-
-
-def count_numbers(rows: DataFrame, n: int, rule: Rule, shorter: np.ndarray | None) -> DataFrame:
-    """(number, count): occurrences of the n-grams that may be frequent, by the upper bits of their fingerprints."""
+def count_numbers(rows: DataFrame, n: int, shorter: np.ndarray | None) -> DataFrame:
+    """(number, count): occurrences of the n-grams that may be frequent, by numbers made of the codes of their words."""
     handed = rows.sparkSession.sparkContext.broadcast(shorter)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words()
-        for lang, words, _, _ in _runs(batches):
-            prints = Prints(lang, words, known, rule.bits)
-            code = prints.of(n)[1] if handed.value is None else _whose_parts(prints, n, handed.value, len(words), rule.bits)[1]
-            code = np.sort(_number(code, rule.bits))
-            first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(code[first].view(np.int64)), pa.array(np.diff(np.append(first, len(code))))],
+        for lang, _, _, codes, _ in _runs(batches, WORDS_AT_ONCE):
+            found = np.sort(Numbers(lang, codes).of(n, handed.value)[1])
+            first = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found[first].view(np.int64)), pa.array(np.diff(np.append(first, len(found))))],
                                              names=["number", "count"])
 
-    return rows.mapInArrow(run, "number long, count long").groupBy("number").agg(F.sum("count").alias("count"))
+    return rows.select("lang", "row", "codes").mapInArrow(run, "number long, count long").groupBy("number").agg(F.sum("count").alias("count"))
 
 
 def bitmap(numbers: DataFrame) -> np.ndarray:
@@ -203,16 +219,16 @@ def count_prints(rows: DataFrame, bitmaps: list[np.ndarray], rule: Rule) -> Data
     names = ["lang", "words", "print", "count", "row", "place", "check"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words()
-        for lang, words, numbers, starts in _runs(batches):
-            prints = Prints(lang, words, known, rule.bits)
+        known, mask = _Words(), np.uint64((1 << rule.bits) - 1)
+        for lang, numbers, starts, codes, words in _runs(batches, WORDS_AT_ONCE):
             numbers, starts = np.asarray(numbers, np.int64), np.asarray(starts, np.int64)
+            fits, pair = Numbers(lang, codes), np.frombuffer(b"".join([known[w] for w in words]), np.uint64).reshape(-1, 2)
+            prints, checks = Polynomial(lang, pair[:, 0], _BASE), Polynomial(lang, pair[:, 1], _CHECK_BASE)
             for n, own in enumerate(handed.value, 1):
-                at, code = prints.of(n) if n == 1 else _whose_parts(prints, n, handed.value[n - 2], len(words), rule.bits)
+                at, number = fits.of(n, handed.value[n - 2] if n > 1 else None)
                 total = len(at)
-                keep = _bit_of(own, _number(code, rule.bits))
-                at, code = at[keep], code[keep]
-                check = prints.check(at, n)
+                at = at[_bit_of(own, number)]
+                code, check = prints.of(at, n) & mask, checks.of(at, n)
                 order = np.argsort(code)
                 at, code, check = at[order], code[order], check[order]
                 new = np.ones(len(at), bool)
@@ -225,7 +241,8 @@ def count_prints(rows: DataFrame, bitmaps: list[np.ndarray], rule: Rule) -> Data
                     columns = [np.append(c, v) for c, v in zip(columns, (0, 0, total, 0, 0, 0))]
                 yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(columns[0]), np.int64))), *map(pa.array, columns)], names=names)
 
-    found = rows.mapInArrow(run, "lang string, words long, print long, count long, row long, place long, check long")
+    found = rows.select("lang", "row", "codes", "words").mapInArrow(
+        run, "lang string, words long, print long, count long, row long, place long, check long")
     return found.groupBy("lang", "words", "print").agg(
         F.sum("count").alias("count"), F.min("check").alias("low"), F.max("check").alias("high"),
         # Any occurrence will do; all places of a fingerprint in one row come from one task.
@@ -260,11 +277,13 @@ def recount(rows: DataFrame, collided: DataFrame, rule: Rule) -> DataFrame:
     handed = rows.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words()
-        for lang, words, _, _ in _runs(batches):
-            prints = Prints(lang, words, known, rule.bits)
+        known, mask = _Words(), np.uint64((1 << rule.bits) - 1)
+        for lang, _, _, codes, words in _runs(batches, WORDS_AT_ONCE):
+            fits = Numbers(lang, codes)
+            prints = Polynomial(lang, np.frombuffer(b"".join([known[w] for w in words]), np.uint64)[::2], _BASE)
             for n, own in enumerate(handed.value, 1):
-                at, code = prints.of(n)
+                at = fits.of(n, None)[0]
+                code = prints.of(at, n) & mask
                 keep = _bit_of(own, code)
                 seen = Counter((c, b" ".join(words[i:i + n])) for i, c in zip(at[keep].tolist(), code[keep].view(np.int64).tolist()))
                 for start in range(0, len(seen), 10_000):
@@ -274,7 +293,7 @@ def recount(rows: DataFrame, collided: DataFrame, rule: Rule) -> DataFrame:
                         pa.array([k[1].decode("utf-8", "replace") for k, _ in part]), pa.array([v for _, v in part], pa.int64())],
                         names=["lang", "words", "print", "phrase", "count"])
 
-    counts = (rows.mapInArrow(run, "lang string, words long, print long, phrase string, count long")
+    counts = (rows.select("lang", "row", "codes", "words").mapInArrow(run, "lang string, words long, print long, phrase string, count long")
               .groupBy("lang", "words", "print", "phrase").agg(F.sum("count").alias("count")).where(F.col("count") >= rule.least))
     # A bitmap lets others through, too.
     keys = collided.select(F.col("lang").alias("__lang"), F.col("words").alias("__words"), F.col("print").alias("__print"))
@@ -288,7 +307,7 @@ def frequent_phrases(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, D
     """
     rows, bitmaps = pieces(docs), []
     for n in range(1, rule.longest + 1):
-        numbers = count_numbers(rows, n, rule, bitmaps[-1] if bitmaps else None).where(F.col("count") >= rule.least)
+        numbers = count_numbers(rows, n, bitmaps[-1] if bitmaps else None).where(F.col("count") >= rule.least)
         bitmaps.append(bitmap(stored(numbers.select("number"), "numbers")))
     counts = stored(count_prints(rows, bitmaps, rule).where((F.col("count") >= rule.least) | (F.col("words") == 0)), "prints")
     totals = counts.where("words = 0").select("lang", F.col("count").alias("n"))
