@@ -142,7 +142,7 @@ def pieces(docs: DataFrame) -> DataFrame:
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
                        F.col("text").cast("string").alias("text"))
-    return stored(rows.mapInArrow(run, "row long, lang string, words binary, codes binary").where(F.octet_length("words") > 0), "pieces")
+    return stored(rows.mapInArrow(run, "row long, lang string, words binary, codes binary").where(F.octet_length("words") > 0), "pieces", "zstd")
 
 
 def _squeezed(body: bytes) -> bytes:

@@ -38,7 +38,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write a frame as a Parquet table in the shared folder and read it back.
 
     Work before the table is done once, also when executors are lost later.  The table is deleted when the application
@@ -46,7 +46,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/strataflow-llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
