@@ -36,6 +36,8 @@ _MARKER = re.compile(r"[ \t]*(?:(?:#+|>+|[*\-]+)[ \t]*)?(?:\*\*|\[|\(|<\|?|\|)?[
                      r"(?:\*\*)?(?:\|?>|\]|\)|\|)?(?:[ \t]*:(?:\*\*)?|(?<=[>\]|]))[ \t]*")
 #: Weight of a marker's own hint next to the learned counts.
 HINT_WEIGHT = 20.0
+#: Equal turns that one row stands for when results are given to each of them.
+COPIES = 1_000
 DEFAULT_ROLES = ["assistant", "system", "user"]
 
 
@@ -94,12 +96,13 @@ class Model:
 
 
 def _ordered(chats: DataFrame) -> DataFrame:
-    """Rows without repetition in conversation order, cut into partitions of rows; stored, with the number of the partition."""
+    """Distinct rows with their number of ``copies`` in conversation order, cut into partitions; stored, with the number of the partition."""
     rows = chats.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                         F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"),
                         (~held_out(F.col("conv_id"))).alias("teaches"))
     key = ["conv_id", "turn", F.xxhash64("text", "role"), "text", "role"]
-    spread = rows.dropDuplicates(["conv_id", "turn", "role", "text"]).repartitionByRange(*key).sortWithinPartitions(*key)
+    counted = rows.groupBy("conv_id", "turn", "role", "text", "teaches").agg(F.count(F.lit(1)).alias("copies"))
+    spread = counted.repartitionByRange(*key).sortWithinPartitions(*key)
     return stored(spread.withColumn("part", F.spark_partition_id()), "ordered")
 
 
@@ -132,10 +135,10 @@ def learn(rows: DataFrame) -> Model:
             for row in run:
                 same = before is not None and before["conv_id"] == row["conv_id"]
                 if row["teaches"] and row["role"] is not None:
-                    seen["role", row["role"], ""] += 1
+                    seen["role", row["role"], ""] += row["copies"]
                     for features in line_features((row["text"] or "").split("\n")):
                         for kind, value in features:
-                            seen[kind, row["role"], value] += 1
+                            seen[kind, row["role"], value] += row["copies"]
                     if same and before["role"] is not None:
                         seen["next", before["role"], row["role"]] += 1
                     if not same and before is not None:
@@ -239,8 +242,8 @@ def borders(summaries: dict[int, dict], size: int) -> dict[int, tuple[int | None
 def format_chats(chats: DataFrame) -> DataFrame:
     """conv_id, turn, piece, role, role_pred, opens, rendered for every piece of a row of ``chats`` that has one role.
 
-    ``chats``: conv_id, turn, role (null: unknown), text.  Rows repeated in all four columns count once; rows of a conversation
-    come by turn (nulls first), ties by a hash of text and role.  Null texts are empty lines; a null conversation id is a
+    ``chats``: conv_id, turn, role (null: unknown), text.  Rows equal in all four columns are one turn of the conversation, and each
+    of them gets its results; rows of a conversation come by turn (nulls first), ties by a hash of text and role.  Null texts are empty lines; a null conversation id is a
     conversation of its own.  ``rendered`` is the text without its speaker marker, after a ``<|role|>`` line where the role
     changes (``opens``).  Given roles only teach; predictions do not look at them.  Other columns are ignored.
     """
@@ -286,14 +289,27 @@ def format_chats(chats: DataFrame) -> DataFrame:
                     piece = piece + 1 if source is row else 0
                     name = model.roles[state]
                     opens = state != role
-                    out.append([source["conv_id"], source["turn"], piece, source["role"], name, opens, [f"<|{name}|>"] * opens + [text]])
+                    out.append([source["conv_id"], source["turn"], piece, source["role"], name, opens, source["copies"],
+                                [f"<|{name}|>"] * opens + [text]])
                     role, row = state, source
             for begin in range(0, len(out), 1024):
                 part_of = out[begin:begin + 1024]
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.bool_()]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[k] for x in part_of], t) for k, t in enumerate(kinds)] +
-                    [pa.array(["\n".join(x[6]) for x in part_of], pa.string())],
-                    names=["conv_id", "turn", "piece", "role", "role_pred", "opens", "rendered"])
-
-    return _parts(rows, render, "conv_id long, turn long, piece int, role string, role_pred string, opens boolean, rendered string")
+                    [pa.array(["\n".join(x[7]) for x in part_of], pa.string())],
+                    names=["conv_id", "turn", "piece", "role", "role_pred", "opens", "copies", "rendered"])
+
+    return _each_copy(stored(_parts(rows, render, "conv_id long, turn long, piece int, role string, role_pred string, opens boolean, "
+                                                  "copies long, rendered string"), "rendered"))
+
+
+def _each_copy(found: DataFrame) -> DataFrame:
+    """Every row as often as ``copies`` says.  Rows with many copies are dealt to tasks in blocks of them."""
+    columns = [c for c in found.columns if c != "copies"]
+    times = lambda n: F.explode(F.sequence(F.lit(1), n)).alias("copy")
+    few = found.where(F.col("copies") <= COPIES).select(*columns, times(F.col("copies")))
+    blocks = F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / COPIES))).alias("block")
+    many = found.where(F.col("copies") > COPIES).select("*", blocks).repartition("conv_id", "turn", "piece", "block")
+    many = many.select(*columns, times(F.least(F.lit(COPIES), F.col("copies") - F.col("block") * COPIES)))
+    return few.union(many).select(*columns)
