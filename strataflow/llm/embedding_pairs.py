@@ -44,7 +44,7 @@ def _valid(vectors: DataFrame) -> DataFrame:
     """Rows that can link: label and vector given, all components finite, not all zero."""
     v = F.transform(F.col("embedding"), lambda x: x.cast("double"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return (vectors.where(F.col("label").isNotNull() & F.col("embedding").isNotNull() & F.col("vec_id").isNotNull())
+    return (vectors.where(F.col("label").isNotNull() & F.col("embedding").isNotNull())
             .select("row", "vec_id", "label", v.alias("v")).where((F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0))
             .withColumn("size", F.size("v")))
 
@@ -69,11 +69,11 @@ def _cells(vectors: DataFrame, least: float) -> DataFrame:
                     reach = math.sqrt((2 - 2 * least) * (b - a) / size + SLACK)
                     out.append((row, label, size, block, int(math.floor(z[a] / reach)), x.tobytes()))
             names = ["row", "label", "size", "block", "cell", "x"]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+            kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, kinds)], names=names)
 
-    return vectors.select("row", F.col("label").cast("int"), "size", "v").mapInArrow(
-        run, "row long, label int, size int, block int, cell long, x binary")
+    return vectors.select("row", "label", "size", "v").mapInArrow(
+        run, "row long, label string, size int, block int, cell long, x binary")
 
 
 def _linked(group: pa.Table, least: float) -> pa.Table:
@@ -129,12 +129,14 @@ def _linked(group: pa.Table, least: float) -> pa.Table:
 def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of ``vectors`` (vec_id, embedding, label).
 
-    Rows with equal labels link at a cosine of at least ``least``; null labels, ids or vectors, zero vectors and those with a
-    null or non-finite component link with nothing, nor do vectors of different lengths.  Repeated rows are vectors of their
-    own (an id linked with itself counts).  A row's component is the smallest id reachable.  Other columns are ignored.
+    Rows with equal labels link at a cosine of at least ``least``; null labels or vectors, zero vectors and those with a
+    null or non-finite component link with nothing, nor do vectors of different lengths.  Labels of any type are compared as
+    text.  Repeated rows are vectors of their own (an id linked with itself counts).  A row's component is the smallest id
+    reachable, null if all ids there are null; a row with a null id is linked like others and never ``kept``.  Other columns
+    are ignored.
     """
-    # Rows are told apart by a number of their own, ordered like ids so that smallest rows have smallest ids.
-    numbered = stored(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.col("label").cast("int").alias("label"))
+    # Rows are told apart by a number of their own.
+    numbered = stored(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.col("label").cast("string").alias("label"))
                       .withColumn("row", F.monotonically_increasing_id()), "vectors")
     cells = stored(_cells(_valid(numbered), least), "cells")
     counts = cells.groupBy("label", "size", "block", "cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
@@ -171,4 +173,4 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     tree = stored(numbered.select("row", "vec_id").join(links, "row", "left").join(roots.select(F.col("node").alias("row"), "root"), "row", "left")
                   .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "row").alias("root")), "tree")
     least_id = stored(tree.groupBy("root").agg(F.min("vec_id").alias("component_id")), "least")
-    return tree.join(least_id, "root").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+    return tree.join(least_id, "root").select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))

@@ -137,3 +137,11 @@ def test_embedding_edges(spark):
     assert E.near_vectors(spark.createDataFrame([], schema)).count() == 0
     twice = spark.createDataFrame([(4, [1.0, 0.5], 1), (4, [1.0, 0.5], 1), (9, [2.0, 1.0], 1)], schema)
     assert sorted(map(tuple, E.near_vectors(twice).collect())) == [(4, 2, 4, True), (4, 2, 4, True), (9, 2, 4, False)]
+
+
+def test_embeddings_with_null_ids_and_labels_of_any_type(spark):
+    for kind, same, other in (("string", "a", "b"), ("long", 1 << 40, 1)):
+        rows = [(None, [1.0, 0.5], same), (7, [1.0, 0.5], same), (3, [1.0, 0.5], other), (None, [0.0, 1.0], same), (5, [1.0, 0.0], None)]
+        got = E.near_vectors(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")).collect()
+        assert sorted((r.vec_id or -1, r.n_links, r.component_id or -1, r.kept) for r in got) == [
+            (-1, 0, -1, False), (-1, 1, 7, False), (3, 0, 3, True), (5, 0, 5, True), (7, 1, 7, True)]
