@@ -58,7 +58,20 @@ def sample_texts(docs: DataFrame, sampling: Sampling = Sampling()) -> dict[str,
     parts: dict[str, list[tuple]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], str(r["doc_id"]), r["part"])):
         parts.setdefault(row["lang"], []).append(row["part"])
-    return {k: " ".join(v)[:sampling.per_language] for k, v in parts.items()}
+    return {k: shared_out(v, sampling.per_language) for k, v in parts.items()}
+
+
+def shared_out(parts: list[str], size: int) -> str:
+    """The parts joined by spaces, cut to ``size`` characters in all: each is cut at one length, so that all drawn documents teach."""
+    room, left = size + 1, len(parts)
+    limit = 0
+    for length in sorted(len(p) + 1 for p in parts):
+        # Short parts leave their rest to the longer ones.
+        limit = room // left
+        if length > limit:
+            break
+        room, left, limit = room - length, left - 1, length
+    return " ".join(p[:max(0, limit - 1)] for p in parts)[:size]
 
 
 class Alphabet:
