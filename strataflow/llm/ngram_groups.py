@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import small_batches, stored
 from .components import components
 
 #: Tokens told apart as common, most of them; their number bounds what tasks are handed.
@@ -116,6 +116,7 @@ def common_tokens(docs: DataFrame, rule: Rule) -> np.ndarray:
                 if size >= COUNTED:
                     yield out()
                     held, size = [], 0
+        _WORDS.clear()  # workers are used again
         yield out()
 
     counts = stored(docs.select(F.col("text").cast("string")).mapInArrow(run, "token long, n long")
@@ -160,6 +161,7 @@ def signatures(docs: DataFrame, common: np.ndarray, rule: Rule) -> DataFrame:
                             first.view(np.int64).tolist(), np.packbits(odd.astype(np.uint8)).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)] if out else
                                              [pa.array([], f.type) for f in schema], schema=schema)
+        _WORDS.clear()
 
     return docs.select(F.col("doc_id").cast("long"), _text_key().alias("key"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, key binary, n long, print binary, prefix array<long>, bits binary")
@@ -329,6 +331,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: Rule) ->
                 found = [shingles(t.as_py(), rule.words).tobytes() for t in fresh]
                 prints = [hashlib.blake2b(t, digest_size=16).digest() for t in found]
                 yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(found, pa.binary())], names=["print", "tokens"])
+        _WORDS.clear()
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, {}
@@ -376,6 +379,11 @@ def similar_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """The signatures of all rows, and (print, component_id, first) of all sets, ``first`` the row that stands for the component."""
+    with small_batches(docs.sparkSession):
+        return _joined(docs, rule)
+
+
+def _joined(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     common = common_tokens(rows, rule)
     signed = stored(signatures(rows, common, rule), "signatures")

@@ -200,4 +200,17 @@ def test_transcript_edges(spark):
     rows = [(None, 0, "user", "a"), (1, None, None, None), (1, 2, "user", ""), (1, 2, "user", ""), (1, 2, "assistant", "tie"), (2, 5, None, "y " * 50_000)]
     extra = spark.createDataFrame([(*r, 1, 2) for r in rows], CHATS + ", part int, opens int")
     got = T.format_chats(extra).collect()
-    assert len(got) == 5 and {r.role_pred for r in got} <= {"user", "assistant", "system"}
+    assert len(got) == 6 and {r.role_pred for r in got} <= {"user", "assistant", "system"}
+
+
+def test_every_copy_of_a_turn_has_its_result(spark, monkeypatch):
+    monkeypatch.setattr(T, "COPIES", 3)
+    rows = [(None, 1, "user", "User: hi")] * 8 + [(None, 1, "user", "User: hi there")] * 3 + [(4, 1, None, "Assistant: x\ny")] * 7
+    got = Counter((r.conv_id, r.piece, r.rendered.split("\n")[-1]) for r in T.format_chats(spark.createDataFrame(rows, CHATS)).collect())
+    assert got == {(None, 0, "hi"): 8, (None, 0, "hi there"): 3, (4, 0, "y"): 7}
+
+
+def test_all_drawn_parts_teach():
+    parts = ["a" * 10, "b" * 100, "c" * 2000, "d" * 2000]
+    assert [L.shared_out(parts, 1000).count(c) for c in "abcd"] == [10, 100, 443, 443]
+    assert L.shared_out(parts, 5000) == " ".join(parts) and len(L.shared_out(parts, 7)) <= 7 and L.shared_out([], 10) == ""
