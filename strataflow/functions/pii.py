@@ -25,7 +25,7 @@ def _keep_ends(v: Column, head: int, tail: int) -> Column:
     return F.concat(F.left(v, F.lit(head)), F.lit("****"), F.right(v, F.lit(tail)))
 
 
-# How a value is rewritten once its kind is known.  (?d) keeps "." from stopping at anything but \n.
+# How a value is rewritten once its kind is known.  (?d) keeps "." from stopping at anything but \n.
 _MASKS = {
     "email": lambda v: F.regexp_replace(v, r"(?d)([A-Za-z0-9._%+-])[A-Za-z0-9._%+-]*(@.*)", "$1****$2"),
     "phone": lambda v: F.regexp_replace(v, r"(\d{2})\d+(\d{2})", "$1****$2"),
