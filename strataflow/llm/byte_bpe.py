@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_row
+from .common import per_row, small_batches, stored
 
 #: Pieces longer than this many characters are encoded afresh each time.
 LONGEST_KEPT = 48
@@ -229,7 +229,10 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def encoded_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, ids, intact (decoding gives the text back) of every row; null texts count as empty."""
+    """doc_id, lang, source, n_tokens, ids, intact (decoding gives the text back) of every row; null texts count as empty.
+
+    The result is stored, so that few whole texts are handed to a worker at a time.
+    """
     def make():
         bpe = load(path, pattern)
 
@@ -239,4 +242,6 @@ def encoded_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         return work
 
     columns = [F.col("doc_id").cast("long"), *[F.col(c).cast("string") for c in ("lang", "source", "text")]]
-    return per_row(docs.select(*columns), "doc_id long, lang string, source string, n_tokens long, ids array<int>, intact boolean", make, rows=64)
+    rows = per_row(docs.select(*columns), "doc_id long, lang string, source string, n_tokens long, ids array<int>, intact boolean", make, rows=64)
+    with small_batches(docs.sparkSession):
+        return stored(rows, "encoded")

@@ -39,7 +39,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+#: Bytes of a row group of stored tables: what a task that writes whole texts or sets holds before it flushes.
+ROW_GROUP = 32 << 20
+
+
+def stored(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """Write a frame as a Parquet table in the shared folder and read it back.
 
     Work before the table is done once, also when executors are lost later.  The table is deleted when the application
@@ -47,7 +51,7 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/strataflow-llm/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).option("parquet.block.size", ROW_GROUP).parquet(path)
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)

@@ -213,7 +213,9 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that pass, with all their columns and no others."""
-    rated = stored(with_statistics(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text"))
-                   .select("row", "doc_id", "stats"), "rated")
+    # The text is carried once, beside the other columns.
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    rated = stored(with_statistics(docs.select(others.alias("row"), "doc_id", "text")).select("row", "doc_id", "text", "stats"), "rated")
     rules = learn(rated.select("doc_id", "stats"), labels)
-    return rated.where(~base_failed() & verdict(rules)).select("row.*")
+    return rated.where(~base_failed() & verdict(rules)).select(
+        *[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
