@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import one_line, run_label, strip
 from .blocks import carry_forward, integer_block, running_index
@@ -87,18 +87,29 @@ def number_error_groups(errors: DataFrame, job: str = "job_id", order: str = "or
     """Number the error sources of each job and the errors within each source.
 
     The source is the task named in the error text, else the task key.  Groups get numbers from 100 in order of first
-    appearance within the job; ``error_index`` counts from 1 within the group.  ``order`` is a unique integer.
+    appearance within the job; ``error_index`` counts from 1 within the group.  ``order`` is a unique integer.  Null jobs and
+    sources are groups like others.
+
+    Rows are shuffled once and stored with their places; all numbering works on one head row per (job, source, block).
     """
     text = one_line(F.col(error))
     named = F.nullif(F.regexp_extract(text, SOURCE_PATTERN, 1), F.lit(""))
     rows = errors.filter(F.col(error).isNotNull() & (F.col(error) != "")).withColumn("message", text) \
         .withColumn("source", F.coalesce(named, F.col(task))).drop(error)
-    block = integer_block(F.col(order), block_rows)
-    per_block = rows.groupBy(job, "source", block.alias("_block")).agg(F.min(order).alias("_first"))
-    groups = per_block.groupBy(job, "source").agg(F.min("_first").alias("_first"))
-    numbered = running_index(groups, [job], ["_first"], integer_block(F.col("_first"), block_rows), "group_no",
-                             FIRST_GROUP_NUMBER).drop("_first")
-    # Numbers are carried to the rows by way of (job, source, block), of which no value is frequent.
-    numbers = per_block.drop("_first").join(numbered, [job, "source"])
-    indexed = running_index(rows, [job, "source"], [order], block, "error_index").withColumn("_block", block)
-    return indexed.join(numbers, [job, "source", "_block"]).drop("_block")
+    inside = Window.partitionBy(job, "source", "_block")
+    # The one shuffle of all rows: place in the block, and the block's size and first row.
+    rows = stage(rows.withColumn("_block", integer_block(F.col(order), block_rows)).withColumns({
+        "_local": F.row_number().over(inside.orderBy(order)), "_n": F.count(F.lit(1)).over(inside)}), "numbering")
+    heads = rows.where("_local = 1").select(job, "source", "_block", F.col(order).alias("_at"), "_n")
+    group = Window.partitionBy(job, "source")
+    placed = heads.withColumns({
+        "_first": F.min("_at").over(group),
+        "_before": F.coalesce(F.sum("_n").over(group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    groups = placed.where("_at = _first").select(F.col(job).alias("_job"), "_first")
+    numbered = running_index(groups, ["_job"], ["_first"], integer_block(F.col("_first"), block_rows), "group_no", FIRST_GROUP_NUMBER)
+    # The first row of a group names it, as orders are unique.
+    numbers = placed.join(numbered.withColumnRenamed("_first", "_named"), F.col("_first") == F.col("_named")).select(
+        F.col(job).alias("_job"), F.col("source").alias("_source"), F.col("_block").alias("_place"), "_before", "group_no")
+    same = F.col(job).eqNullSafe(F.col("_job")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_block") == F.col("_place"))
+    indexed = rows.join(numbers, same).withColumn("error_index", (F.col("_local") + F.col("_before")).cast("bigint"))
+    return indexed.drop("_block", "_local", "_n", "_job", "_source", "_place", "_before")

@@ -106,31 +106,88 @@ def column_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("column").agg(F.sum("n").alias("total_issues"))
 
 
+METRICS = ("completeness_pct", "uniqueness_pct", "validity_pct")
+
+
 def quality_report(df: DataFrame, issues: DataFrame, columns=None, is_stored: bool = False) -> DataFrame:
-    """The report as rows ``(section, column, item, number)``.
+    """The report as rows ``(section, column, item, number)``, for issues that come as a table.
 
     Sections: ``summary`` (total rows, total issues), ``issues_by_column`` and ``quality_metrics``.  ``issues`` is read
-    several times; unless it ``is_stored`` already, its keys are stored first so that the data is checked once.
+    several times; unless it ``is_stored`` already, its keys are stored first so that the data is checked once.  The profile,
+    a row per column, is stored too: the table itself is scanned once.  For checks on the rows see :func:`checked_report`.
     """
     issues = issues.select("row_id", "column", "issue")
     if not is_stored:
         issues = stage(issues, "issues")
-    profile_flags = flagged_rows(issues)
-    metrics = quality_metrics(df, profile_flags, columns).select(
+    profile = stage(column_profile(df, columns).drop("flagged"), "profile")
+    flagged = profile.join(flagged_rows(issues), "column", "left").withColumn("flagged", F.coalesce("flagged", F.lit(0)))
+    metrics = metrics_of(flagged).select(
         F.lit("quality_metrics").alias("section"), "column",
-        F.inline(F.array(*[F.struct(F.lit(m).alias("item"), F.col(m).alias("number"))
-                           for m in ("completeness_pct", "uniqueness_pct", "validity_pct")])))
+        F.inline(F.array(*[F.struct(F.lit(m).alias("item"), F.col(m).alias("number")) for m in METRICS])))
     counts = issue_counts(issues)
     by_column = counts.select(F.lit("issues_by_column").alias("section"), "column", F.col("issue").alias("item"),
                               F.col("n").cast("double").alias("number"))
     none = F.lit(None).cast("string").alias("column")
-    rows = df.agg(F.count(F.lit(1)).alias("n")).select(
+    rows = profile.agg(F.coalesce(F.max("total_rows"), F.lit(0)).alias("n")).select(
         F.lit("summary").alias("section"), none, F.lit("total_rows").alias("item"), F.col("n").cast("double").alias("number"))
     total = issues.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("summary").alias("section"), none, F.lit("total_issues").alias("item"), F.col("n").cast("double").alias("number"))
     return rows.unionByName(total).unionByName(by_column).unionByName(metrics)
 
 
+def checked_report(df: DataFrame, checks: list[CellCheck], columns=None) -> DataFrame:
+    """The same report for checks on the rows themselves: one plan with one scan, and nothing is stored.
+
+    Cells are counted by (column, value) together with what each of the column's checks rejects, so one map-side combined
+    shuffle carries values, flags and issues.  From there on there is a row per column.  Rows are counted, not row ids: rows
+    that share an id are flagged one by one.  An empty table has zeros; a check whose column is not in ``columns`` is refused.
+    """
+    names = list(columns if columns is not None else df.columns)
+    by_column: dict[str, dict[str, list[Column]]] = {c: {} for c in names}
+    for check in checks:
+        if check.column not in by_column:
+            raise ValueError(f"no column {check.column!r} to check")
+        by_column[check.column].setdefault(check.issue, []).append(F.coalesce(check.flagged, F.lit(False)))
+    # A column's issues have places 0, 1, ... of which all columns share the counters.
+    places = max((len(issues) for issues in by_column.values()), default=0)
+    zero, number = F.lit(0).cast("bigint"), lambda tests: sum((t.cast("bigint") for t in tests[1:]), tests[0].cast("bigint"))
+
+    def cell(i: int, c: str) -> Column:
+        tests = list(by_column[c].values())
+        flag = any_of([t for group in tests for t in group]) if tests else F.lit(False)
+        return F.struct(F.lit(i).alias("position"), _value_key(df, c).alias("value"), flag.alias("flag"),
+                        *[(number(tests[k]) if k < len(tests) else zero).alias(f"i{k}") for k in range(places)])
+
+    cells = df.select(F.inline(F.array(*[cell(i, c) for i, c in enumerate(names)])))
+    sums = [F.sum(f"i{k}").alias(f"i{k}") for k in range(places)]
+    per_value = cells.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"), F.count_if("flag").alias("bad"), *sums)
+    per_column = per_value.groupBy("position").agg(
+        F.sum("n").alias("total_rows"), F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
+        F.count("value").alias("distinct_values"), F.sum("bad").alias("flagged"), *sums)
+    listing = df.sparkSession.createDataFrame(
+        [(i, c, list(by_column[c])) for i, c in enumerate(names)], "position int, `column` string, issues array<string>")
+    counters = ["total_rows", "non_null", "distinct_values", "flagged", *[f"i{k}" for k in range(places)]]
+    counted = listing.join(per_column, "position", "left").select(
+        "column", "issues", *[F.coalesce(F.col(c), zero).alias(c) for c in counters])
+    found = F.array(*[F.col(f"i{k}") for k in range(places)]) if places else F.array().cast("array<bigint>")
+    total = F.col("total_rows")
+    shares = dict(zip(METRICS, (percent(F.col("non_null"), total), percent(F.col("distinct_values"), total), percent(total - F.col("flagged"), total))))
+
+    def line(section: str, column: Column, item: Column, value: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), column.alias("column"), item.alias("item"), value.cast("double").alias("number"))
+
+    issue_lines = F.transform(F.col("issues"), lambda name, k: line("issues_by_column", F.col("column"), name, F.get(found, k)))
+    lines = F.concat(F.filter(issue_lines, lambda x: x["number"] > 0),
+                     F.array(*[line("quality_metrics", F.col("column"), F.lit(m), v) for m, v in shares.items()]))
+    # One row from as many as the table has columns.
+    whole = counted.agg(F.max("total_rows").alias("rows"), F.sum(F.aggregate(found, zero, lambda a, x: a + x)).alias("all"),
+                        F.flatten(F.collect_list(lines)).alias("lines"))
+    none = F.lit(None).cast("string")
+    summary = F.array(line("summary", none, F.lit("total_rows"), F.coalesce("rows", zero)),
+                      line("summary", none, F.lit("total_issues"), F.coalesce("all", zero)))
+    return whole.select(F.inline(F.concat(summary, F.col("lines"))))
+
+
 def longest_text(df: DataFrame, columns=None, sample_rows: int | None = None, order=None) -> DataFrame:
     """Longest text per column; over the first ``sample_rows`` rows of ``order`` when a sample is asked for."""
     names = list(columns if columns is not None else df.columns)

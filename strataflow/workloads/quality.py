@@ -181,7 +181,7 @@ _REPORT_METRICS = metrics_sql(DOCUMENT_COLUMNS, "documents", {
     c: f"count(*) FILTER ({non_ascii_sql(f'CAST({c} AS VARCHAR)')} OR {special_sql(f'CAST({c} AS VARCHAR)')})" for c in DOCUMENT_COLUMNS})
 
 
-@query("dq_report", f"""
+_REPORT_SQL = f"""
     WITH i AS ({CORRUPTION_SQL}), m AS ({_REPORT_METRICS})
     SELECT 'summary' AS section, CAST(NULL AS VARCHAR) AS "column", 'total_rows' AS item, CAST(count(*) AS DOUBLE) AS number FROM documents
     UNION ALL SELECT 'summary', NULL, 'total_issues', CAST(count(*) AS DOUBLE) FROM i
@@ -189,8 +189,19 @@ _REPORT_METRICS = metrics_sql(DOCUMENT_COLUMNS, "documents", {
     UNION ALL SELECT 'quality_metrics', "column", 'completeness_pct', completeness_pct FROM m
     UNION ALL SELECT 'quality_metrics', "column", 'uniqueness_pct', uniqueness_pct FROM m
     UNION ALL SELECT 'quality_metrics', "column", 'validity_pct', validity_pct FROM m
-""")
+"""
+
+
+@query("dq_report", _REPORT_SQL)
 def dq_report(t):
+    """Report straight from the checks: one scan."""
+    df = t.spread("documents")
+    return metrics.checked_report(df, checks.corruption_checks(df, DOCUMENT_COLUMNS))
+
+
+@query("dq_report_from_issues", _REPORT_SQL)
+def dq_report_from_issues(t):
+    """The same report from a table of issues."""
     df = t.spread("documents")
     issues = checks.find_issues(df, checks.corruption_checks(df, DOCUMENT_COLUMNS), "doc_id")
     return metrics.quality_report(df, issues)

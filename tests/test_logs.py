@@ -113,3 +113,18 @@ def test_report_from_the_newest_file(spark, tmp_path):
     text = "\n".join(r.value for r in spark.read.text(str(tmp_path / "out")).collect())
     assert "- TYPE_ERROR: 1" in text and "- OTHER_ERROR: 2" in text and "Error Group 2 [TYPE_ERROR - High]" in text
     assert "Run: 901_2026-02-23 08:00:00\nRun: 911_2026-02-23 08:30:00" in text
+
+
+def test_numbering_of_sparse_orders_and_null_jobs(spark):
+    """Orders with gaps of millions, blocks of one row, a job without an id: as a plain count per job and source."""
+    import random
+    rnd = random.Random(5)
+    orders = rnd.sample(range(10**12), 400)
+    rows = [(rnd.choice([None, 1, 1, 1, 2]), o, rnd.choice("abc"), "boom") for o in orders]
+    got = number_error_groups(spark.createDataFrame(rows, "job_id int, ord long, task_key string, error_text string"), block_rows=1 << 10).collect()
+    seen, groups, want = {}, {}, []
+    for job, at, source, _ in sorted(rows, key=lambda r: r[1]):
+        number = groups.setdefault(job, {}).setdefault(source, 100 + len(groups[job]))
+        seen[job, source] = seen.get((job, source), 0) + 1
+        want.append((at, job, source, number, seen[job, source]))
+    assert sorted((r.ord, r.job_id, r.source, r.group_no, r.error_index) for r in got) == want

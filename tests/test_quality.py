@@ -152,3 +152,33 @@ def test_catalog_run(spark, people, tmp_path):
     assert {r.table_id for r in issues.select("table_id").distinct().collect()} == {"t1"}
     report = spark.read.json(str(tmp_path / "report"))
     assert report.filter("item = 'total_issues'").first().number == issues.count()
+
+
+def report_rows(df):
+    return sorted((r.section, r.column or "", r.item, r.number) for r in df.collect())
+
+
+def test_report_of_checks_equals_the_report_of_issues(spark):
+    df = spark.createDataFrame([(1, "é", None), (2, "###", 1.0), (3, None, 0.0), (4, "plain", -0.0), (5, "é#%&*", 2.0)], "id int, t string, x double")
+    found = checks.corruption_checks(df) + checks.null_checks(df, {"t": False})
+    got = report_rows(metrics.checked_report(df, found))
+    assert got == report_rows(metrics.quality_report(df, checks.find_issues(df, found, "id")))
+    assert ("summary", "", "total_rows", 5.0) in got and ("issues_by_column", "t", "null_violation", 1.0) in got
+    assert ("quality_metrics", "x", "uniqueness_pct", 60.0) in got
+
+
+def test_report_of_an_empty_table_and_of_no_checks(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a")], "id int, t string")
+    for found in ([], checks.corruption_checks(df)):
+        empty = report_rows(metrics.checked_report(df.where("false"), found))
+        assert [r for r in empty if r[0] == "summary"] == [("summary", "", "total_issues", 0.0), ("summary", "", "total_rows", 0.0)] and len(empty) == 8
+        assert ("quality_metrics", "t", "uniqueness_pct", 50.0) in report_rows(metrics.checked_report(df, found))
+    with pytest.raises(ValueError):
+        metrics.checked_report(df, checks.corruption_checks(df, ["t"]), ["id"])
+
+
+def test_report_of_checks_reads_its_table_once(spark, tmp_path):
+    spark.range(50).select("id", F.col("id").cast("string").alias("t")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = metrics.checked_report(df, checks.corruption_checks(df))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
