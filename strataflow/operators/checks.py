@@ -135,6 +135,11 @@ def rules_of_table(tables: DataFrame, table_id, id_col: str = "table_id") -> dic
     row = parse_metadata(tables.filter(F.col(id_col) == F.lit(table_id))).first()
     if row is None:
         raise LookupError(f"no entry for table {table_id!r}")
+    return rules_of_row(row)
+
+
+def rules_of_row(row) -> dict:
+    """The same from a row of decoded metadata (:func:`parse_metadata`)."""
     columns = row["columns"] or []
     return {"full_name": row.asDict().get("full_name"),
             "expected_schema": {c.name: c.type_name for c in columns},

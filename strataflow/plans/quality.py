@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.checks import rules_of_table, tables_to_check, tag_table, validate_table
+from ..operators.checks import parse_metadata, rules_of_row, tables_to_check, tag_table, validate_table
 from ..operators.metrics import issue_counts, quality_report
 from ..operators.rules import (RuleSet, analyze, column_analysis, outcome, repair, repair_log, replace_corrupted,
                                required_completeness)
@@ -14,31 +17,51 @@ from ..sources.lake import read_table
 from ..sources.sinks import export, write_json
 
 
+OUTCOME = "table_id string, full_name string, state string, n_issues long, message string"
+
+
 def check_tables(spark: SparkSession, tables: DataFrame, out: str, now_epoch: int, load=None, row_ids=None,
-                 patterns: dict | None = None) -> DataFrame:
-    """Check every due table; issues and reports are written below ``out``.
+                 patterns: dict | None = None, parallel: int = 4) -> DataFrame:
+    """Check every due table; issues, reports and outcomes are written below ``out``.
 
     ``tables`` has ``table_id, full_name, metadata, updated_at, last_dq_checked``.  ``load(full_name)`` reads a table (default:
     by catalog name); ``row_ids`` maps a table's name to its key column.  The issues of a table are written first and the report
-    reads them back, so the data is checked once.  Metrics describe the unmasked data.  Returns the table list with
-    the check time stamped; the caller stores it.
+    reads them back, so the data is checked once.  Metrics describe the unmasked data.
+
+    ``parallel`` tables are worked on at a time, each in a scheduler pool of its own, so that a session with fair scheduling
+    shares its executors among them and a small table does not wait for a large one.  A table that cannot be read or checked
+    stops no other: ``out/outcome`` has a row for each due table, ``checked`` or ``failed`` with the reason.  Returns the table
+    list with the check time stamped on the checked ones only; the caller stores it.
     """
     load = load or (lambda name: read_table(spark, name))
-    due = tables_to_check(tables).select("table_id")
-    done = []
-    # The list of due tables is catalog metadata: one short id per table.
-    for row in due.collect():
-        rules = rules_of_table(tables, row.table_id)
-        df = load(rules["full_name"])
+    due = tables_to_check(tables)
+
+    def check(row) -> int:
+        rules, name = rules_of_row(row), row.full_name
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"quality-{row.table_id}")
+        df = load(name)
         issues_path = f"{out}/issues/table_id={row.table_id}"
-        row_id = (row_ids or {}).get(rules["full_name"])
-        found = validate_table(df, rules, row_id, (patterns or {}).get(rules["full_name"]), rules["pii_columns"] or None)
+        found = validate_table(df, rules, (row_ids or {}).get(name), (patterns or {}).get(name), rules["pii_columns"] or None)
         found.write.mode("overwrite").parquet(issues_path)
         stored = spark.read.schema(found.schema).parquet(issues_path)
         write_json(tag_table(quality_report(df, stored, is_stored=True), row.table_id), f"{out}/report/table_id={row.table_id}")
-        done.append((row.table_id,))
-    checked = spark.createDataFrame(done, due.schema) if done else due.limit(0)
-    return stamp_checked(tables, checked, now_epoch)
+        return stored.count()
+
+    def outcome_of(row) -> tuple:
+        try:
+            return row.table_id, row.full_name, "checked", check(row), None
+        except Exception as problem:  # whatever is wrong with one table is its outcome, not the end of the run
+            return row.table_id, row.full_name, "failed", None, str(problem).split("\n", 1)[0][:500]
+
+    # The list of due tables is catalog metadata, read and decoded once: a row and a list of columns per table.
+    rows = parse_metadata(due.select("table_id", "full_name", "metadata")).collect()
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        # Every thread starts from the caller's local properties; the pool it then sets is its own.
+        outcomes = list(pool.map(inheritable_thread_target(spark)(outcome_of), rows))
+    kind = due.schema["table_id"].dataType.simpleString()
+    result = spark.createDataFrame(outcomes, OUTCOME.replace("table_id string", f"table_id {kind}"))
+    write_json(result, f"{out}/outcome")
+    return stamp_checked(tables, result.where("state = 'checked'").select("table_id"), now_epoch)
 
 
 def repair_table(df: DataFrame, config: dict, row_id: str, flags: dict | None = None) -> dict[str, DataFrame]:

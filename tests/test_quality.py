@@ -154,6 +154,35 @@ def test_catalog_run(spark, people, tmp_path):
     assert report.filter("item = 'total_issues'").first().number == issues.count()
 
 
+def test_a_broken_table_stops_no_other(spark, people, tmp_path):
+    meta = json.dumps([{"name": "id", "type_name": "bigint", "nullable": False}, {"name": "name", "type_name": "string", "nullable": False}])
+    listing = [(k, f"main.t{k}", meta if k != 5 else None, 10, None) for k in range(8)]
+    tables = spark.createDataFrame(listing, "table_id long, full_name string, metadata string, updated_at bigint, last_dq_checked bigint")
+    pools = {}
+
+    def load(name):
+        if name == "main.t3":
+            raise LookupError("no such table")
+        if name == "main.t4":  # read without error, broken once it is computed
+            return people.withColumn("name", F.raise_error(F.lit("bad file")).cast("string"))
+        pools[name] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        return people
+
+    stamped = quality.check_tables(spark, tables, str(tmp_path), 99, load=load, row_ids={f"main.t{k}": "id" for k in range(8)}, parallel=3)
+    assert {r.table_id for r in stamped.where("last_dq_checked = 99").collect()} == {0, 1, 2, 5, 6, 7}
+    outcome = {r.table_id: r for r in spark.read.json(str(tmp_path / "outcome")).collect()}
+    assert [k for k, r in sorted(outcome.items()) if r.state == "failed"] == [3, 4] and outcome[3].message == "no such table"
+    counts = {r.table_id: r["count"] for r in spark.read.parquet(str(tmp_path / "issues")).groupBy("table_id").count().collect()}
+    assert all(outcome[k].n_issues == counts[k] for k in (0, 1, 2, 5, 6, 7))
+    assert pools["main.t0"] == "quality-0" and pools["main.t7"] == "quality-7"
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_a_run_without_due_tables(spark, tmp_path):
+    tables = spark.createDataFrame([("t", "main.t", None, 1, 5)], "table_id string, full_name string, metadata string, updated_at bigint, last_dq_checked bigint")
+    assert [r.last_dq_checked for r in quality.check_tables(spark, tables, str(tmp_path), 99).collect()] == [5]
+
+
 def report_rows(df):
     return sorted((r.section, r.column or "", r.item, r.number) for r in df.collect())
 
