@@ -8,6 +8,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.checks import parse_metadata, rules_of_row, tables_to_check, tag_table, validate_table
+from ..operators.layout import scratch
 from ..operators.metrics import issue_counts, quality_report
 from ..operators.rules import (RuleSet, analyze, column_analysis, outcome, repair, repair_log, replace_corrupted,
                                required_completeness)
@@ -44,7 +45,8 @@ def check_tables(spark: SparkSession, tables: DataFrame, out: str, now_epoch: in
         found = validate_table(df, rules, (row_ids or {}).get(name), (patterns or {}).get(name), rules["pii_columns"] or None)
         found.write.mode("overwrite").parquet(issues_path)
         stored = spark.read.schema(found.schema).parquet(issues_path)
-        write_json(tag_table(quality_report(df, stored, is_stored=True), row.table_id), f"{out}/report/table_id={row.table_id}")
+        with scratch(spark):
+            write_json(tag_table(quality_report(df, stored, is_stored=True), row.table_id), f"{out}/report/table_id={row.table_id}")
         return stored.count()
 
     def outcome_of(row) -> tuple:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import keep_latest
-from ..operators.layout import stage
+from ..operators.layout import scratch, stage
 from ..operators.sets import union_all
 from ..session import stream_checkpoint
 from ..plans.intake import BRONZE_LINE
@@ -93,11 +93,12 @@ def upsert_facts(lake: Lake, bronze: str, silver: str, transform: Callable[[Data
     batch's dates from the merged silver partitions.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = stage(transform(batch), "batch-rows")
-        dates = latest_into_partitions(lake, rows, silver, keys, [order], date_col)
-        if gold and to_gold:
-            touched = lake.read(silver).join(dates, F.col(date_col).eqNullSafe(F.col("_batch_date")), "left_semi")
-            lake.replace_partitions(to_gold(touched), gold, date_col, dates)
+        with scratch(lake.spark):
+            rows = stage(transform(batch), "batch-rows")
+            dates = latest_into_partitions(lake, rows, silver, keys, [order], date_col)
+            if gold and to_gold:
+                touched = lake.read(silver).join(dates, F.col(date_col).eqNullSafe(F.col("_batch_date")), "left_semi")
+                lake.replace_partitions(to_gold(touched), gold, date_col, dates)
 
     return upsert_stream(bronze_stream(lake, bronze), apply, silver, checkpoint)
 

@@ -1,11 +1,12 @@
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from strataflow.operators.logs import error_labels, group_errors, number_error_groups, parse_error_log
 from strataflow.operators.diagnose import error_report as build_report
-from strataflow.operators.layout import release
+from strataflow.operators.layout import release, scratch, shared_folder, stage
 from strataflow.plans import error_report
 from strataflow.sources.files import newest_file, read_log_lines
 
@@ -92,6 +93,19 @@ def test_staged_tables_are_released(spark):
     assert release(spark) == 2 and release(spark) == 0
 
 
+def test_a_scope_deletes_its_own_tables_only(spark):
+    release(spark)
+    outside = stage(spark.range(3), "outside")
+    with pytest.raises(ValueError), scratch(spark):
+        with scratch(spark):
+            inner = stage(spark.range(5), "inner")
+        outer = stage(spark.range(4), "outer")
+        raise ValueError
+    folder = shared_folder(spark).removeprefix("file://") + "/staged"
+    left = [n for n in os.listdir(folder) if n.startswith(("outside-", "inner-", "outer-")) and not n.endswith(".crc")]
+    assert len(left) == 1 and outside.count() == 3 and inner is not outer and release(spark) == 1
+
+
 def test_numbering(spark):
     rows = [(1, 10, "k1", "Task a failed"), (1, 11, "k2", "boom\r\nTask a again"), (1, 12, "k2", "boom"), (1, 13, "k3", None), (1, 14, "k1", "Task a"), (2, 15, "z", "q")]
     got = number_error_groups(spark.createDataFrame(rows, "job_id int, ord int, task_key string, error_text string"), block_rows=2)
