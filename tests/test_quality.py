@@ -211,3 +211,27 @@ def test_report_of_checks_reads_its_table_once(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "t"))
     plan = metrics.checked_report(df, checks.corruption_checks(df))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
+
+
+def test_first_issues_hold_few_rows(spark, tmp_path):
+    from strataflow.workloads import REGISTRY
+
+    spark.range(1, 41).selectExpr("id AS c_custkey", "concat('Customer#', id) AS c_name", "id % 25 AS c_nationkey",
+                                  "IF(id = 7, NULL, 'BUILDING') AS c_mktsegment").write.parquet(str(tmp_path / "customer.parquet"))
+    got = REGISTRY["pii_first_issues"](spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Window" not in plan and "Sort " not in plan
+    found = {}
+    for row in got.collect():
+        found.setdefault(row.column, []).append(int(row.row_id))
+    assert sorted(found["email"]) == [1, 2, 3, 4, 5] and all(len(ids) == 5 for ids in found.values())
+
+
+def test_first_issues_order(spark):
+    df = spark.createDataFrame([("10", "a@b.co", None), ("9", "c@d.co", "é"), ("x", "e@f.co", None), (None, "g@h.co", None), ("9", "ü@i.co", None)],
+                               "id string, mail string, name string")
+    every = checks.pii_checks(df, ["mail"]) + checks.corruption_checks(df, ["mail", "name"])
+    got = [(r["column"], r.row_id, r.issue) for r in checks.first_issues(df, every, "id", 3).collect()]
+    assert [g for g in got if g[0] == "name"] == [("name", "9", "corrupted_non_ascii")]
+    assert sorted(g[1:] for g in got if g[0] == "mail") == [("10", "pii_detected"), ("9", "corrupted_non_ascii"), ("9", "pii_detected")]
+    assert checks.first_issues(df, []).collect() == []
