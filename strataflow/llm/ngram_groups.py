@@ -10,7 +10,8 @@ used puts tokens that many documents share last, so that shared passages do not
    sets: the number of different bits bounds the symmetric difference from below.  No similar pair is lost.
 4. What is wanted are connected documents, so a bucket first hands on one candidate pair for each of its sets.  Those are
    verified against the whole sets.  Every candidate pair that verified links have not connected is then verified too.
-   So a bucket of n copies costs n verifications, not n * n.
+   So a bucket of n copies costs n verifications, not n * n.  Sketches of the sets, two parity bits a token, are compared
+   first; whole sets travel for what these leave.
 
 Buckets of tokens above a size are cut into chunks, and every pair of chunks is a bucket of its own.
 """
@@ -305,8 +306,52 @@ def _candidates(members: DataFrame, roots: DataFrame | None, forest: bool, rule:
     return found.groupBy("a", "b").agg(F.min("place").alias("place")).select("a", "b", "place.*")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar.
+def _sketch(tokens: np.ndarray) -> bytes:
+    """The size of a set and its parity bits, at least two for each token; a longer sketch folds to a shorter one."""
+    many = max(BITS, 1 << (2 * len(tokens) - 1).bit_length())
+    odd = np.bincount(((tokens >> np.uint64(8)) & np.uint64(many - 1)).astype(np.int64), minlength=many) & 1
+    return np.uint64(len(tokens)).tobytes() + np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _may_be_similar(one: bytes, two: bytes, rule: Rule) -> bool:
+    """False only for sets that are not similar: different parity bits bound the symmetric difference from below."""
+    (n, s), (m, t) = ((int.from_bytes(x[:8], "little"), np.frombuffer(x, np.uint8, offset=8)) for x in (one, two))
+    while len(s) != len(t):
+        if len(s) < len(t):
+            s, t = t, s
+        s = s[:len(s) // 2] ^ s[len(s) // 2:]
+    return bool(rule.enough((n + m - int(np.bitwise_count(s ^ t).sum(dtype=np.int64))) / 2, n + m))
+
+
+def _similar(one: bytes, two: bytes, rule: Rule) -> bool:
+    s, t = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+    return bool(rule.enough(_shared(s, t), len(s) + len(t)))
+
+
+def _verified(pairs: DataFrame, forest: bool, docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of similar whole sets that connect all that the similar ones among ``pairs`` connect.
+
+    Sketches of the sets leave few false pairs.  Of the rest, one pair for each set is compared by the whole sets; then
+    every pair that these do not connect (with ``forest`` there is one only).  So whole sets travel about as often as there
+    are sets, not pairs.
+    """
+    left = _decided(pairs, docs, sets, rule, True)
+    if forest:
+        return _decided(left, docs, sets, rule, False).select("a", "b")
+    if left.isEmpty():
+        return left.select("a", "b")
+    some = left.groupBy("b").agg(F.min(F.struct("a", "token", "left", "right")).alias("m")).select("m.a", "b", "m.token", "m.left", "m.right")
+    links = _decided(some, docs, sets, rule, False).select("a", "b")
+    roots = components(links)
+    of = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+    apart = ~F.coalesce("root_a", "a").eqNullSafe(F.coalesce("root_b", "b"))
+    rest = stored(left.join(some.select("a", "b"), ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
+                  .where(apart).select("a", "b", "token", "left", "right"), "rest")
+    return links if rest.isEmpty() else links.union(_decided(rest, docs, sets, rule, False).select("a", "b"))
+
+
+def _decided(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: Rule, sketched: bool) -> DataFrame:
+    """The pairs (a, b, token, left, right) whose whole sets are similar; with ``sketched``, whose sketches do not exclude it.
 
     Sets are made again from the texts of the documents concerned.  Each is sent once to every bucket chunk where it has pairs,
     whatever their number, and the pairs of the chunk follow it there.
@@ -328,33 +373,32 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: Rule) ->
                     if key not in done:
                         done.add(key)
                         fresh.append(text)
-                found = [shingles(t.as_py(), rule.words).tobytes() for t in fresh]
-                prints = [hashlib.blake2b(t, digest_size=16).digest() for t in found]
-                yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(found, pa.binary())], names=["print", "tokens"])
+                found = [shingles(t.as_py(), rule.words) for t in fresh]
+                prints = [hashlib.blake2b(t.tobytes(), digest_size=16).digest() for t in found]
+                bodies = [_sketch(t) if sketched else t.tobytes() for t in found]
+                yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(bodies, pa.binary())], names=["print", "body"])
         _WORDS.clear()
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, {}
+        at, held, fits = None, {}, _may_be_similar if sketched else _similar
         for batch in batches:
-            one, two = [], []
+            keep = []
             for token, left, right, turn, a, body in zip(*batch.columns):
                 key = (token.as_py(), left.as_py(), right.as_py())
                 if key != at:
                     at, held = key, {}
-                if turn.as_py() == 0:
-                    held[a.as_py()] = np.frombuffer(body.as_py(), np.uint64)
-                else:
-                    s, t = held[a.as_py()], held[body.as_py()]
-                    if rule.enough(_shared(s, t), len(s) + len(t)):
-                        one.append(a.as_py())
-                        two.append(body.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(one, pa.binary()), pa.array(two, pa.binary())], names=["a", "b"])
+                first = turn.as_py() == 0
+                if first:
+                    held[a.as_py()] = body.as_py()
+                keep.append(not first and fits(held[a.as_py()], held[body.as_py()], rule))
+            kept = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(k) for k in (4, 5, 0, 1, 2)], names=["a", "b", *place])
 
     keyed = docs.withColumn("key", _text_key())
-    picked = keyed.join(picks, _same_row("__id", "__key"), "left_semi").select("key", F.col("text").cast("string")).mapInArrow(load, "print binary, tokens binary")
-    bodies = picked.join(roles, "print").select(*place, F.lit(0).alias("turn"), F.col("print").alias("a"), F.col("tokens").alias("body"))
+    picked = keyed.join(picks, _same_row("__id", "__key"), "left_semi").select("key", F.col("text").cast("string")).mapInArrow(load, "print binary, body binary")
+    bodies = picked.join(roles, "print").select(*place, F.lit(0).alias("turn"), F.col("print").alias("a"), "body")
     sent = bodies.union(pairs.select(*place, F.lit(1), "a", F.col("b"))).repartition(*place).sortWithinPartitions(*place, "turn")
-    return stored(sent.mapInArrow(check, "a binary, b binary"), "links")
+    return stored(sent.mapInArrow(check, "a binary, b binary, token long, left int, right int"), "likely" if sketched else "links")
 
 
 def _shared(s: np.ndarray, t: np.ndarray) -> int:
@@ -396,8 +440,8 @@ def _joined(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     grouped = keyed.groupBy("group").agg(F.count(F.lit(1)).alias("sets"), F.first("prefix").alias("prefix"), F.first("n").alias("n"))
     buckets = stored(_buckets(grouped, rule), "buckets")
     members = stored(buckets.join(keyed.select("group", "print", "n", "bits"), "group").drop("group"), "members")
-    links = _verified(_candidates(members, None, True, rule), rows, sets, rule)
-    links = links.union(_verified(_candidates(members, components(links), False, rule), rows, sets, rule))
+    links = _verified(_candidates(members, None, True, rule), True, rows, sets, rule)
+    links = links.union(_verified(_candidates(members, components(links), False, rule), False, rows, sets, rule))
     return signed, _names(sets, links)
 
 

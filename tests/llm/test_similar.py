@@ -145,3 +145,39 @@ def test_embeddings_with_null_ids_and_labels_of_any_type(spark):
         got = E.near_vectors(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")).collect()
         assert sorted((r.vec_id or -1, r.n_links, r.component_id or -1, r.kept) for r in got) == [
             (-1, 0, -1, False), (-1, 1, 7, False), (3, 0, 3, True), (5, 0, 5, True), (7, 1, 7, True)]
+
+
+def test_sketches_lose_no_similar_pair(rng=np.random.default_rng(5)):
+    rule, passed = N.Rule(), 0
+    for n in (1, 2, 7, 255, 256, 257, 3_000):
+        one = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for drop in (0.0, 0.02, 0.05, 0.1, 0.2, 0.6):
+            kept = one[rng.random(len(one)) >= drop]
+            two = np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, int(drop * n), dtype=np.uint64)]))
+            if not len(two):
+                continue
+            similar = N._similar(one.tobytes(), two.tobytes(), rule)
+            may = N._may_be_similar(N._sketch(one), N._sketch(two), rule)
+            assert may or not similar
+            passed += may and not similar
+            assert not (may and drop >= 0.2 and n >= 255)
+    assert passed < 6
+
+
+def test_whole_sets_travel_for_likely_pairs_only(spark, monkeypatch):
+    """Texts that share a tenth of their shingles meet in buckets and pass the short signatures, but not the sketches."""
+    sent, decided = [], N._decided
+
+    def watched(pairs, docs, sets, rule, sketched):
+        if not sketched:
+            sent.append(pairs.count())
+        return decided(pairs, docs, sets, rule, sketched)
+
+    monkeypatch.setattr(N, "_decided", watched)
+    words = [f"w{k}" for k in range(6_000)]
+    texts = [" ".join(words[:300] + [f"x{d}y{k}" for k in range(2_700)]) for d in range(6)] + [" ".join(words[3_000:])] * 2
+    texts += [" ".join(words[3_000:] + ["tail"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in N.similar_documents(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 6, 7: 6, 8: 6}
+    assert sum(sent) <= 2
