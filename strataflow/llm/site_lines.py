@@ -20,6 +20,8 @@ from .common import stored
 _EDGES = " \t\n\x0b\x0c\r"
 #: Salts that spread the lines of one large site when they meet the site's page total.
 SALTS = 64
+#: Bits that tell which texts may lose lines: 8 MB handed to all tasks, whatever the number of texts.
+MARKS = 1 << 26
 
 
 def text_lines(text: Column) -> Column:
@@ -111,8 +113,32 @@ def clean_documents(docs: DataFrame, share: float = 0.2, least_pages: int = 3, l
     lost = repeated_lines(docs, share, least_pages, long_line, least_texts).select(
         F.col("site").alias("__site"), F.col("print").alias("__print"), F.col("drop").alias("__drop"))
     rows = docs.select(*kept, F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("__of"))
-    out = rows.join(lost, (F.col("source") == F.col("__site")) & (F.col("__of") == F.col("__print")), "left")
+    marked = rows.withColumn("__mark", _mark("source", "__of")).withColumn("__bucket", F.bitmap_bucket_number("__mark")).join(
+        F.broadcast(_marks(lost)), "__bucket", "left").withColumn("__may", F.col("source").isNotNull() & _is_set(F.col("__bits"), F.col("__mark")))
+    # Whole texts are shuffled only where they may lose lines, by the same plan for lists of any size.
+    joined = marked.where("__may").select(*kept, "__of").join(
+        lost.hint("merge"), (F.col("source") == F.col("__site")) & (F.col("__of") == F.col("__print")), "left").select(*kept, "__drop")
+    others = marked.where(~F.coalesce("__may", F.lit(False))).select(*kept, F.lit(None).cast(lost.schema["__drop"].dataType).alias("__drop"))
     text = F.when(F.col("__drop").isNull(), F.col("text").cast("string")).otherwise(F.array_join(F.filter(
         text_lines(F.col("text")), lambda x: ~F.array_contains("__drop", _digest(x))), "\n"))
     new = {"text": text, "n_chars": F.when(F.col("text").isNotNull(), F.length(text).cast("long")).otherwise(F.col("n_chars"))}
-    return out.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    return joined.union(others).select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+
+
+def _mark(site: str, print_: str) -> Column:
+    """The bit of a text of a site, from 1 on as the bitmap functions count."""
+    return F.pmod(F.xxhash64(site, print_), F.lit(MARKS)) + 1
+
+
+def _marks(lost: DataFrame) -> DataFrame:
+    """(__bucket, __bits): bitmaps of the bits of all texts that lose lines, at most ``MARKS`` bits in all."""
+    bit = _mark("__site", "__print")
+    return (lost.select(F.bitmap_bucket_number(bit).alias("__bucket"), F.bitmap_bit_position(bit).alias("at")).repartition("__bucket")
+            .groupBy("__bucket").agg(F.bitmap_construct_agg("at").alias("__bits")))
+
+
+def _is_set(bits: Column, mark: Column) -> Column:
+    """Whether a bitmap holds a bit; null without a bitmap."""
+    at = F.bitmap_bit_position(mark)
+    byte = F.conv(F.hex(F.substring(bits, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    return F.getbit(byte, (at % 8).cast("int")) == 1

@@ -136,3 +136,34 @@ def test_mix_edges(odd_docs, clashing, no_docs):
     out = M.mix(clashing)
     assert out.count() >= clashing.count() and out.columns == [c for c in clashing.columns if c not in ("epoch", "weight")] + ["epoch", "block_rank", "weight"]
     assert M.mix_documents(odd_docs).columns == odd_docs.columns
+
+
+def test_only_texts_that_lose_lines_are_shuffled(spark):
+    """Also when the lists of lost lines are too large to be handed to all tasks."""
+    passage = "A long passage that stands in forty of the eight hundred documents of its source."
+    rows = [(i, "\n".join([f"{i} has words of its own", *([passage] if i % 20 == 0 else []), f"{i} ends"]), "en", "big", 1) for i in range(800)]
+    docs = spark.createDataFrame([*rows, (800, passage, "en", None, 1), (801, None, "en", "big", 1)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = L.clean_documents(docs, share=0.2, least_pages=5, long_line=40, least_texts=10)
+        got = {r.doc_id: r for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == 802 and got[800].text == passage and got[801].text is None
+    assert sum(passage in (r.text or "") for r in got.values()) == 2
+    assert all(got[i].text == f"{i} has words of its own\n{i} ends" and got[i].n_chars == len(got[i].text) for i in range(800) if passage not in got[i].text)
+
+    def shuffled(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return shuffled(node.executedPlan())
+        if "QueryStage" in name:
+            return shuffled(node.plan())
+        own = 0
+        if name == "Exchange" and "text#" in node.output().toString():
+            own = node.metrics().apply("shuffleRecordsWritten").value()
+        return own + sum(shuffled(node.children().apply(k)) for k in range(node.children().size()))
+
+    assert 39 <= shuffled(out._jdf.queryExecution().executedPlan()) <= 45
