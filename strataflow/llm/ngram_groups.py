@@ -9,9 +9,10 @@ used puts tokens that many documents share last, so that shared passages do not
 3. The groups of a bucket are expanded to their sets.  Pairs are filtered by size, by position, and by the parity bits of the
    sets: the number of different bits bounds the symmetric difference from below.  No similar pair is lost.
 4. What is wanted are connected documents, so a bucket first hands on one candidate pair for each of its sets.  Those are
-   verified against the whole sets.  Every candidate pair that verified links have not connected is then verified too.
-   So a bucket of n copies costs n verifications, not n * n.  Sketches of the sets, two parity bits a token, are compared
-   first; whole sets travel for what these leave.
+   verified against the whole sets.  Then it hands on a spanning forest of the candidate pairs that verified links have not
+   connected, and at last every candidate pair that is still not connected.  So a bucket of n copies costs about n
+   verifications, not n * n.  Sketches of the sets, two parity bits a token, are compared first; whole sets travel for what
+   these leave.
 
 Buckets of tokens above a size are cut into chunks, and every pair of chunks is a bucket of its own.
 """
@@ -235,10 +236,35 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBat
         yield last
 
 
-def _pairs_of(part: pa.RecordBatch, forest: bool, rule: Rule) -> pa.RecordBatch:
+def _spanning(i: np.ndarray, j: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Places of pairs that connect all that the pairs (i, j) connect, without a circle.  ``labels``: the part each row is
+    in, named by numbers below its length; parts that become one get one label."""
+    chosen, left = [], np.flatnonzero(labels[i] != labels[j])
+    while len(left):
+        # The first pair of each part; then what is still apart.
+        tried = left[np.unique(labels[i[left]], return_index=True)[1]]
+        above = np.arange(len(labels))
+        for at, x, y in zip(tried.tolist(), labels[i[tried]].tolist(), labels[j[tried]].tolist()):
+            while above[x] != x:
+                above[x] = x = above[above[x]]
+            while above[y] != y:
+                above[y] = y = above[above[y]]
+            if x != y:
+                above[max(x, y)] = min(x, y)
+                chosen.append(at)
+        while (above[above] != above).any():
+            above = above[above]
+        labels[:] = above[labels]
+        left = left[labels[i[left]] != labels[j[left]]]
+    return np.array(sorted(chosen), np.int64)
+
+
+def _pairs_of(part: pa.RecordBatch, pick: str, rule: Rule) -> pa.RecordBatch:
     """Candidate pairs of whole buckets (token, left, right, part, n, pos, print, root, bits; sorted by print in a bucket).
 
-    ``forest``: each set with the first one before it that fits, a linear number; buckets with the same sets choose alike.
+    ``pick``: "first", each set with the one before it that fits best (buckets with the same sets choose alike); "tree", pairs
+    that connect all roots that candidate pairs connect, without a circle, those that fit best first; "all".  The first two
+    are a linear number.  ``far``: different bits in a thousand tokens of both sets.
     """
     token, left, right, chunk, n, pos = (part.column(k).to_numpy() for k in range(6))
     prints = part.column(6)
@@ -248,6 +274,7 @@ def _pairs_of(part: pa.RecordBatch, forest: bool, rule: Rule) -> pa.RecordBatch:
     begins[1:] = (token[1:] != token[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])
     start = np.maximum.accumulate(np.where(begins, np.arange(len(n)), 0))
     before = np.arange(len(n)) - start  # sets of the bucket that come before
+    labels = np.unique(np.column_stack([start.astype(np.uint64), roots]), axis=0, return_inverse=True)[1].ravel() if pick == "tree" else None
     many = np.cumsum(before)
     found: list[tuple[np.ndarray, np.ndarray]] = []
     at = 0
@@ -263,19 +290,22 @@ def _pairs_of(part: pa.RecordBatch, forest: bool, rule: Rule) -> pa.RecordBatch:
         i, j = i[keep], j[keep]
         apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
         keep = rule.enough((n[i] + n[j] - apart) / 2, n[i] + n[j])
-        i, j = i[keep], j[keep]
-        if forest and len(i):
-            first = np.unique(i, return_index=True)[1]
-            i, j = i[first], j[first]
-        found.append((i, j))
-    one, two = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, int) for k in (1, 0))
+        i, j, far = i[keep], j[keep], (1000 * apart[keep] // (n[i[keep]] + n[j[keep]])).astype(np.int32)
+        if pick != "all":
+            order = np.lexsort((j, i, far))
+            i, j, far = i[order], j[order], far[order]
+            some = np.unique(i, return_index=True)[1] if pick == "first" else _spanning(i, j, labels)
+            i, j, far = i[some], j[some], far[some]
+        found.append((i, j, far))
+    one, two, far = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int32) for k in (1, 0, 2))
     places = [part.column(k).take(pa.array(one)) for k in range(3)]
-    return pa.RecordBatch.from_arrays([prints.take(pa.array(one)), prints.take(pa.array(two)), *places], names=["a", "b", "token", "left", "right"])
+    return pa.RecordBatch.from_arrays([prints.take(pa.array(one)), prints.take(pa.array(two)), *places, pa.array(far, pa.int32())],
+                                      names=["a", "b", "token", "left", "right", "far"])
 
 
-def _candidates(members: DataFrame, roots: DataFrame | None, forest: bool, rule: Rule) -> DataFrame:
-    """Distinct candidate pairs (a, b) of the sets of all buckets, and the bucket and chunks (token, left, right) where they meet:
-    one for each set (``forest``), or all not connected yet."""
+def _candidates(members: DataFrame, roots: DataFrame | None, pick: str, rule: Rule) -> DataFrame:
+    """Candidate pairs (a, b) of the sets of all buckets, and the bucket and chunks (token, left, right) where they meet: one for
+    each set ("first"), or of those not connected yet all, each once ("all"), or a spanning forest in each bucket ("tree")."""
     # Chunks are bounded in sets and in tokens, as whole sets meet in them later.
     size = [F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK, F.sum("n") / CHUNK_TOKENS)).cast("int").alias("chunks")]
     if roots is None:
@@ -296,14 +326,20 @@ def _candidates(members: DataFrame, roots: DataFrame | None, forest: bool, rule:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _runs(batches, 3):
-            yield _pairs_of(part, forest, rule)
+            yield _pairs_of(part, pick, rule)
 
-    found = sorted_.mapInArrow(run, "a binary, b binary, token long, left int, right int")
-    found = found.select("a", "b", F.struct("token", "left", "right").alias("place"))
-    # At first, one partner for each set from all its buckets; then every pair once, in the least of its buckets.
-    if forest:
-        return found.groupBy("b").agg(F.min(F.struct("a", "place")).alias("m")).select("m.a", "b", "m.place.*")
-    return found.groupBy("a", "b").agg(F.min("place").alias("place")).select("a", "b", "place.*")
+    found = sorted_.mapInArrow(run, "a binary, b binary, token long, left int, right int, far int")
+    found = found.select("a", "b", F.struct("token", "left", "right").alias("place"), "far")
+    # At first, the best partner for each set from all its buckets.
+    if pick == "first":
+        return found.groupBy("b").agg(F.min(F.struct("far", "a", "place")).alias("m")).select("m.a", "b", "m.place.*")
+    found = found.select("a", "b", "place.*")
+    return found if pick == "tree" else _once(found)
+
+
+def _once(pairs: DataFrame) -> DataFrame:
+    """Every pair once, in the least of its buckets."""
+    return pairs.groupBy("a", "b").agg(F.min(F.struct("token", "left", "right")).alias("place")).select("a", "b", "place.*")
 
 
 def _sketch(tokens: np.ndarray) -> bytes:
@@ -440,8 +476,14 @@ def _joined(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     grouped = keyed.groupBy("group").agg(F.count(F.lit(1)).alias("sets"), F.first("prefix").alias("prefix"), F.first("n").alias("n"))
     buckets = stored(_buckets(grouped, rule), "buckets")
     members = stored(buckets.join(keyed.select("group", "print", "n", "bits"), "group").drop("group"), "members")
-    links = _verified(_candidates(members, None, True, rule), True, rows, sets, rule)
-    links = links.union(_verified(_candidates(members, components(links), False, rule), False, rows, sets, rule))
+    links = _verified(_candidates(members, None, "first", rule), True, rows, sets, rule)
+    # A large group of near copies is connected by a forest; what is left after it are few pairs, in buckets where it had any.
+    tree = stored(_candidates(members, components(links), "tree", rule), "tree")
+    if not tree.isEmpty():
+        links = links.union(_verified(_once(tree), False, rows, sets, rule))
+        open_ = members.join(tree.select("token").distinct(), "token", "left_semi")
+        rest = _candidates(open_, components(links), "all", rule).join(tree.select("a", "b").distinct(), ["a", "b"], "left_anti")
+        links = links.union(_verified(rest, False, rows, sets, rule))
     return signed, _names(sets, links)
 
 

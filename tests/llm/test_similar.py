@@ -181,3 +181,48 @@ def test_whole_sets_travel_for_likely_pairs_only(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in N.similar_documents(docs).collect()}
     assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 6, 7: 6, 8: 6}
     assert sum(sent) <= 2
+
+
+def test_spanning_forest(rng=np.random.default_rng(3)):
+    for n, many in ((1, 0), (30, 25), (200, 150), (60, 1500)):
+        i, j = rng.integers(0, n, (2, many))
+        labels = rng.integers(0, n, n)
+        parts = [("part", int(x)) for x in labels]
+        want = roots_of([(parts[a], parts[b]) for a, b in zip(i.tolist(), j.tolist())])
+        now = labels.copy()
+        some = N._spanning(i, j, now)
+        assert roots_of([(parts[i[k]], parts[j[k]]) for k in some.tolist()]) == {x: r for x, r in want.items() if sum(y == r for y in want.values()) > 1}
+        assert len(some) == len(want) - len(set(want.values()))  # no circle
+        assert all(now[a] == now[b] for a, b in zip(i.tolist(), j.tolist()))
+
+
+@pytest.mark.parametrize("rule", [N.Rule(), N.Rule(5, 4, 5)])
+def test_pairs_of_a_large_group_of_near_copies_grow_with_its_sets(rule):
+    """A bucket of copies at many distances from one text: thousands of candidate pairs, of which a forest is handed on."""
+    import pyarrow as pa
+
+    draw = random.Random(4)
+    base, texts, copy = [f"w{k}" for k in range(150)], [], []
+    for i in range(200):
+        copy = list(copy if i % 4 else base)
+        copy[draw.randrange(150)] = f"x{draw.randrange(400)}"
+        texts.append(" ".join(copy))
+    sets = {N.hashlib.blake2b(t.tobytes(), digest_size=16).digest(): t for t in (N.shingles(x, rule.words) for x in texts)}
+    prints = sorted(sets)
+    odd = lambda t: np.packbits((np.bincount((t >> np.uint64(40)).astype(np.int64) % N.BITS, minlength=N.BITS) & 1).astype(np.uint8)).tobytes()
+    many, token = len(prints), np.repeat([5, 6], len(prints))
+    zeros = pa.array(np.zeros(2 * many, np.int32))
+    part = pa.RecordBatch.from_arrays([pa.array(token), zeros, zeros, zeros, pa.array([len(sets[x]) for x in prints] * 2), zeros,
+                                       pa.array(prints * 2), pa.array(prints * 2), pa.array([odd(sets[x]) for x in prints] * 2)],
+                                      names=["token", "left", "right", "part", "n", "pos", "print", "root", "bits"])
+    all_, tree, first = (N._pairs_of(part, pick, rule).to_pylist() for pick in ("all", "tree", "first"))
+    assert len(all_) > 10 * many
+    pairs = lambda rows, k: [(r["a"], r["b"]) for r in rows if r["token"] == k]
+    for k in (5, 6):
+        want = roots_of(pairs(all_, k))
+        assert roots_of(pairs(tree, k)) == want
+        assert len(pairs(tree, k)) == len(want) - len(set(want.values()))
+        best = {}
+        for r in all_:
+            best[r["b"]] = min(best.get(r["b"], r["far"]), r["far"])
+        assert {r["b"]: r["far"] for r in first if r["token"] == k} == best
