@@ -142,6 +142,42 @@ def test_weights_learn_from_every_training_text(spark):
         assert A.fit(training, A.base_values(training)[0], RANKS, P.PATTERN, none)[1] is not None
 
 
+def test_padded_windows_by_brute_force(model):
+    m, ids = model
+    sequences = [w for t in ids for k in (0, 3) if len(w := np.concatenate([[m.classes.end], t]).astype(np.int32)[k:k + 9]) > 1]
+    rows, target, sizes = m._padded(sequences)
+    for ids, r, t, n in zip(sequences, rows, target, sizes):
+        feed = [m.classes.start if k == 0 and x == m.classes.end else m.classes.row[x] for k, x in enumerate(ids[:-1])]
+        assert n == len(ids) - 1 and r.tolist() == feed + [0] * (8 - n) and t.tolist() == [*m.classes.of[ids[1:]], *[0] * (8 - n)]
+    assert [a.size for a in m._padded([])] == [0, 0, 0]
+
+
+def test_windows_are_dealt_once_for_all_rounds(spark, monkeypatch):
+    # Every round trains the stored shards, whole ones; the weights are their averages, by windows.
+    draw = random.Random(3)
+    texts = [" ".join(draw.choice(["the", "cat", "sat", "upon", "a", "mat"]) for _ in range(draw.randint(0, 60))) for _ in range(60)]
+    training = spark.createDataFrame([(i % 50 or None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    words, shape, tables = A.base_values(training)[0], A.Shape(**{**SHAPE.__dict__, "shard": 80, "rounds": 3}), {}
+    real = A.stored
+    monkeypatch.setattr(A, "stored", lambda df, label: tables.setdefault(label, []).append(real(df, label)) or tables[label][-1])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    counts, flat = A.fit(training, words, RANKS, P.PATTERN, shape)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert {label: len(t) for label, t in tables.items()} == {"windows": 1, "shards": 1}
+    windows, shards = (tables[label][0].collect() for label in ("windows", "shards"))
+    shards = [[bytes(w) for w in r.windows] for r in shards]
+    assert len(shards) == -(-len(windows) // 80) > 2 and sorted(w for s in shards for w in s) == sorted(bytes(r.window) for r in windows)
+    classes = A.Classes(counts, A.load(RANKS, P.PATTERN).places, shape)
+    want = A.Attention(classes, shape).flat
+    for turn in range(3):
+        models = [A.Attention(classes, shape, want) for _ in shards]
+        for m, s in zip(models, shards):
+            m.train([np.frombuffer(w, "<u2").astype(np.int32) for w in s], seed=turn)
+        want = sum(m.flat.astype(float) * len(s) for m, s in zip(models, shards)).astype(float) / len(windows)
+        want = want.astype(np.float32)
+    assert np.allclose(flat, want, atol=1e-5)
+
+
 CHATS = "conv_id long, turn long, role string, text string"
 
 
