@@ -58,8 +58,9 @@ def check_tables(spark: SparkSession, tables: DataFrame, out: str, now_epoch: in
     # The list of due tables is catalog metadata, read and decoded once: a row and a list of columns per table.
     rows = parse_metadata(due.select("table_id", "full_name", "metadata")).collect()
     with ThreadPoolExecutor(max(1, parallel)) as pool:
-        # Every thread starts from the caller's local properties; the pool it then sets is its own.
-        outcomes = list(pool.map(inheritable_thread_target(spark)(outcome_of), rows))
+        # Every table starts from its own copy of the caller's local properties: one copy for all would share the pool set last.
+        work = [inheritable_thread_target(spark)(outcome_of) for _ in rows]
+        outcomes = list(pool.map(lambda run, row: run(row), work, rows))
     kind = due.schema["table_id"].dataType.simpleString()
     result = spark.createDataFrame(outcomes, OUTCOME.replace("table_id string", f"table_id {kind}"))
     write_json(result, f"{out}/outcome")
