@@ -3,7 +3,8 @@
 Two sets with a similarity of 0.9 share one of the first tenth of their tokens, in any order common to all (prefix filter).  The order
 used puts tokens that many documents share last, so that shared passages do not make candidates.
 
-1. Equal sets are collapsed, then sets with the same prefix and size form one group.
+1. Prefix tokens that no other document has in its prefix are left out by a bounded bitmap, before anything of the sets is
+   shuffled.  Equal sets are collapsed, then sets with the same prefix and size form one group.
 2. Groups that share a prefix token meet in a bucket; buckets with one set only are dropped at once, and of buckets with the
    same groups one is kept.
 3. The groups of a bucket are expanded to their sets.  Pairs are filtered by size, by position, and by the parity bits of the
@@ -25,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +38,9 @@ from .components import components
 COMMON = 100_000
 #: Tokens a task counts at once, and the least count it passes on.
 COUNTED, LEAST = 4_000_000, 2
+#: Bits of the marks of shared prefix tokens (at least 32 a part), and parts they are made in.  More tokens than this bitmap
+#: can tell apart cost rows of a shuffle, not results.
+MARKS, PARTS = 1 << 27, 256
 #: Sets per chunk of a bucket, and tokens of all of them.
 CHUNK = 2_048
 CHUNK_TOKENS = 2_000_000
@@ -64,19 +69,6 @@ class Rule:
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, as bytes; emptied when it has grown too large."""
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_digest(word)
-        return value
-
-
-_WORDS = _Hashes()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(29))) * _M2
     return x ^ (x >> np.uint64(32))
@@ -89,8 +81,8 @@ def shingles(text: str | None, size: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(found) < size:
         return np.array([xxhash.xxh3_64_intdigest(b"\x00".join([b"short", *found]))], np.uint64)
-    known = _WORDS
-    w = np.frombuffer(b"".join([known[x] for x in found]), np.uint64)
+    # Hashing a word again is cheaper than looking it up in a table larger than the processor's cache.
+    w = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, found)), np.uint64)
     tokens = w[:len(w) - size + 1]
     for k in range(1, size):
         tokens = _mix(tokens * _M1 + w[k:len(w) - size + 1 + k])
@@ -118,7 +110,6 @@ def common_tokens(docs: DataFrame, rule: Rule) -> np.ndarray:
                 if size >= COUNTED:
                     yield out()
                     held, size = [], 0
-        _WORDS.clear()  # workers are used again
         yield out()
 
     counts = stored(docs.select(F.col("text").cast("string")).mapInArrow(run, "token long, n long")
@@ -163,12 +154,106 @@ def signatures(docs: DataFrame, common: np.ndarray, rule: Rule) -> DataFrame:
                             first.view(np.int64).tolist(), np.packbits(odd.astype(np.uint8)).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)] if out else
                                              [pa.array([], f.type) for f in schema], schema=schema)
-        _WORDS.clear()
 
     return docs.select(F.col("doc_id").cast("long"), _text_key().alias("key"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, key binary, n long, print binary, prefix array<long>, bits binary")
 
 
+def _slots(tokens: np.ndarray) -> np.ndarray:
+    """32 bits of each token.  Prefix tokens are the smallest of their sets, so that they are mixed again."""
+    return (_mix(tokens.view(np.uint64) * _M1) >> np.uint64(32)).astype(np.uint32)
+
+
+def shared_marks(signed: DataFrame) -> np.ndarray:
+    """Bitmap of the slots of prefix tokens that at least two rows of ``signed`` have; a few others are marked, too.
+
+    Slots travel packed, a task's slots of a part in one row, each slot twice at most; every part of the bitmap is made by one
+    task, and only the bitmap comes to the driver.
+    """
+    bits, parts = MARKS, PARTS
+    fold = np.uint32(32 - (bits - 1).bit_length())
+    step = (1 << 32) // parts  # slots of a part
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out() -> pa.RecordBatch:
+            slots = np.sort(np.concatenate([np.zeros(0, np.uint32), *held]))
+            more = np.ones(len(slots), bool)
+            more[2:] = slots[2:] != slots[:-2]
+            slots = slots[more]
+            ends = [0, *np.searchsorted(slots, np.arange(1, parts, dtype=np.uint64) * np.uint64(step)).tolist(), len(slots)]
+            some = [k for k in range(parts) if ends[k] < ends[k + 1]]
+            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([slots[ends[k]:ends[k + 1]].tobytes() for k in some], pa.binary())],
+                                              names=["part", "slots"])
+
+        for batch in batches:
+            held.append(_slots(batch.column(0).flatten().to_numpy()))
+            size += len(held[-1])
+            if size >= COUNTED:
+                yield out()
+                held, size = [], 0
+        yield out()
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def out() -> pa.RecordBatch:
+            slots = np.sort(np.concatenate(held))
+            twice = slots[1:][slots[1:] == slots[:-1]] - np.uint32(at * step)
+            marked = np.zeros(bits // parts, np.uint8)
+            marked[twice >> fold] = 1
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([np.packbits(marked).tobytes()], pa.binary())],
+                                              names=["part", "marks"])
+
+        for batch in batches:
+            for part, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if part != at:
+                    if held:
+                        yield out()
+                    at, held = part, []
+                held.append(np.frombuffer(body.as_py(), np.uint32))
+        if held:
+            yield out()
+
+    sent = signed.where("n > 0").select("prefix").mapInArrow(send, "part int, slots binary")
+    made = sent.repartition("part").sortWithinPartitions("part").mapInArrow(mark, "part int, marks binary")
+    marks = np.zeros((parts, bits // parts // 8), np.uint8)
+    for row in made.collect():
+        marks[row.part] = np.frombuffer(row.marks, np.uint8)
+    return marks.ravel()
+
+
+def with_shared(signed: DataFrame, marks: np.ndarray) -> DataFrame:
+    """The rows of ``signed`` that have a set, with the shared tokens of their prefixes (arrays pos and token) and their groups.
+
+    A group are the sets with the same prefix and size, named by a digest of both.  Sets that share no prefix token have no
+    partner, so that nothing but their size is kept.
+    """
+    handed = signed.sparkSession.sparkContext.broadcast(marks)
+    fold = np.uint32(32 - (8 * len(marks) - 1).bit_length())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = handed.value
+        for batch in batches:
+            prefix, n = batch.column(4), batch.column(2).to_pylist()
+            tokens, ends = prefix.flatten().to_numpy(), np.concatenate([[0], np.cumsum(prefix.value_lengths().to_numpy())])
+            bit = _slots(tokens) >> fold
+            shared = (known[bit >> np.uint32(3)] >> (np.uint32(7) - (bit & np.uint32(7))) & 1).astype(bool)
+            many = np.concatenate([[0], np.cumsum(shared)])[ends]
+            pos = np.arange(len(tokens)) - np.repeat(ends[:-1], np.diff(ends))
+            some = np.diff(many) > 0
+            groups = [hashlib.blake2b(tokens[ends[k]:ends[k + 1]].tobytes(), digest_size=16, salt=n[k].to_bytes(8, "little")).digest() if some[k] else None
+                      for k in range(len(n))]
+            bits = pa.compute.if_else(pa.array(some), batch.column(5), pa.scalar(None, pa.binary()))
+            lists = (pa.ListArray.from_arrays(pa.array(many, pa.int32()), pa.array(v[shared], t)) for v, t in ((pos, pa.int32()), (tokens, pa.int64())))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(groups, pa.binary()), *lists, bits],
+                                             names=["doc_id", "key", "n", "print", "group", "pos", "token", "bits"])
+
+    return signed.where("n > 0").select("doc_id", "key", "n", "print", "prefix", "bits").mapInArrow(
+        run, "doc_id long, key binary, n long, print binary, group binary, pos array<int>, token array<long>, bits binary")
+
+
 def _text_key() -> Column:
     """Digest of a text.  With the id, which may be null or repeat, it tells rows apart but for those equal in both."""
     return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
@@ -186,7 +271,7 @@ def _same_row(id_: str, key: str) -> Column:
 
 def _buckets(groups: DataFrame, rule: Rule) -> DataFrame:
     """(token, group, pos): the groups that share a prefix token, once for tokens with the same groups, and groups with several sets."""
-    rows = groups.select("group", "sets", "n", F.posexplode("prefix").alias("pos", "token"))
+    rows = groups.select("group", "sets", "n", F.inline(F.arrays_zip("pos", "token")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from map(several, _runs(batches, 1))
@@ -413,7 +498,6 @@ def _decided(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: Rule, ske
                 prints = [hashlib.blake2b(t.tobytes(), digest_size=16).digest() for t in found]
                 bodies = [_sketch(t) if sketched else t.tobytes() for t in found]
                 yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(bodies, pa.binary())], names=["print", "body"])
-        _WORDS.clear()
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, fits = None, {}, _may_be_similar if sketched else _similar
@@ -467,13 +551,11 @@ def _joined(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     common = common_tokens(rows, rule)
     signed = stored(signatures(rows, common, rule), "signatures")
-    sets = stored(signed.where("n > 0").groupBy("print").agg(
-        _first_row().alias("row"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
-        .select("print", "row.*", "n", "prefix", "bits"), "sets_of")
-    # Groups: equal prefix and size, named by a digest of both.
-    key = F.sha2(F.concat_ws(",", F.col("n").cast("string"), F.transform("prefix", lambda x: x.cast("string"))), 256)
-    keyed = sets.withColumn("group", F.unhex(F.substring(key, 1, 32)))
-    grouped = keyed.groupBy("group").agg(F.count(F.lit(1)).alias("sets"), F.first("prefix").alias("prefix"), F.first("n").alias("n"))
+    sets = stored(with_shared(signed, shared_marks(signed)).groupBy("print").agg(
+        _first_row().alias("row"), *(F.first(c).alias(c) for c in ("n", "group", "pos", "token", "bits")))
+        .select("print", "row.*", "n", "group", "pos", "token", "bits"), "sets_of")
+    keyed = sets.where(F.col("group").isNotNull())
+    grouped = keyed.groupBy("group").agg(F.count(F.lit(1)).alias("sets"), *(F.first(c).alias(c) for c in ("pos", "token", "n")))
     buckets = stored(_buckets(grouped, rule), "buckets")
     members = stored(buckets.join(keyed.select("group", "print", "n", "bits"), "group").drop("group"), "members")
     links = _verified(_candidates(members, None, "first", rule), True, rows, sets, rule)

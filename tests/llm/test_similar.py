@@ -226,3 +226,36 @@ def test_pairs_of_a_large_group_of_near_copies_grow_with_its_sets(rule):
         for r in all_:
             best[r["b"]] = min(best.get(r["b"], r["far"]), r["far"])
         assert {r["b"]: r["far"] for r in first if r["token"] == k} == best
+
+
+def sized(draw, n):
+    return " ".join("".join(draw.choice("abcdefgh") for _ in range(8)) for _ in range(n))
+
+
+def test_only_shared_prefix_tokens_are_shuffled(spark):
+    draw = random.Random(4)
+    base = sized(draw, 300)
+    rows = [(i, sized(draw, 300)) for i in range(300)] + [(1000, base), (1001, base + " more words at the end"), (1002, ""), (1003, None), (1004, "few")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = N.signatures(docs, N.common_tokens(docs, N.Rule()), N.Rule()).cache()
+    marks = N.shared_marks(signed)
+    assert np.bitwise_count(marks).sum() < 200
+    kept = {r.doc_id: r for r in N.with_shared(signed, marks).collect()}
+    assert set(kept) == {r[0] for r in rows} - {1002, 1003}
+    prefixes = {r.doc_id: r.prefix for r in signed.collect()}
+    both = set(prefixes[1000]) & set(prefixes[1001])
+    assert both and all(both <= set(kept[k].token) for k in (1000, 1001))
+    assert all([prefixes[k][p] for p in r.pos] == list(r.token) for k, r in kept.items())
+    # A set that shares no token carries nothing but its size; a few are marked because 32 bits of two tokens are equal.
+    assert sum(r.group is None and not r.token and r.bits is None for r in kept.values()) >= 295
+
+
+@pytest.mark.parametrize("marks, parts, counted", [(1 << 11, 256, 500), (1 << 13, 4, 100)])
+def test_a_full_bitmap_of_marks_loses_no_pair(spark, families, marks, parts, counted, monkeypatch):
+    for name, value in (("MARKS", marks), ("PARTS", parts), ("COUNTED", counted)):
+        monkeypatch.setattr(N, name, value)
+    sets = shingle_sets(families, 3)
+    ids = [i for i in sets if sets[i]]
+    want = roots_of([(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if 10 * len(sets[a] & sets[b]) >= 9 * len(sets[a] | sets[b])])
+    got = N.similar_documents(spark.createDataFrame(families, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(sets[i]), want.get(i, i)) for i in sets}
