@@ -129,6 +129,24 @@ def test_windows_overlap_by_half():
     assert all(f - b >= shape.window / 2 for b, f, _ in cut[1:])
 
 
+def test_windows_of_several_sequences_at_once():
+    for shape in (A.Shape(), SHAPE, A.Shape(window=7, step=7)):
+        sizes = np.array([0, 1, *range(2, 80), 500])
+        want = [(i, *w) for i, n in enumerate(sizes.tolist()) for w in A.windows(n, shape)]
+        assert [tuple(r) for r in A.all_windows(sizes, shape).tolist()] == want
+    assert A.all_windows(np.array([], int), SHAPE).shape == (0, 4)
+
+
+def test_groups_by_brute_force(model):
+    m, ids = model
+    target = m.classes.of[np.concatenate(ids)]
+    order, groups = m._by_group(target)
+    assert order.tolist() == sorted(range(len(target)), key=lambda i: target[i] // SHAPE.group)
+    for g, begin, end in groups:
+        assert begin < end and set((target[order[begin:end]] // SHAPE.group).tolist()) == {g}
+    assert sum(end - begin for _, begin, end in groups) == len(target)
+
+
 def test_weights_learn_from_every_training_text(spark):
     # The registered setting; of a few texts, or of texts with one id, a draw by id may take none.
     texts = [f"text number {i} tells of the cat that sat upon the mat " * (i % 4 + 1) for i in range(12)]
